@@ -19,7 +19,7 @@ SIZES, BITS, DIM = (2, 3, 4), 15, 16
 #: Texts of each language that the model is fitted on (about), and passes over them.
 PER_LANGUAGE, EPOCHS = 400, 4
 #: Share of training texts of known language that the rejection threshold may turn away, and its highest value.
-REJECTED_SHARE, HIGHEST_REJECT = 0.001, 0.5
+REJECTED_SHARE, HIGHEST_REJECT = 0.001, 0.4
 UNDETERMINED = "und"
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontam, neardup, topk, warc
+from spanloom.llm import decontam, langid, neardup, pieces, pii, quality, secretscan, topk, toxicity, warc
+from spanloom.llm.learn import fold
+from spanloom.llm.matches import spelled
 from spanloom.session import ship_package
 
 
@@ -95,11 +97,68 @@ from d join c on c.node = d.doc_id left join n on n.doc_id = d.doc_id
 """
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(spelled("base_spans"), 256).alias("base_sha256"), spelled("spans").alias("spans"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return _scored(toxicity.score(docs, model), 0.5)
+
+
+def _scored(found: DataFrame, limit: float) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"))
+
+
+def model_path() -> str:
+    """The piece model: a file that every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, model_path())
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secretscan.find(docs, secretscan.train(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(spelled("base_spans"), 256).alias("base_sha256"), spelled("spans").alias("spans"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return _scored(quality.score(docs, model), 0.3)
+
+
 def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
+        "op2_language_id": op2_language_id,
+        "op3_pii": op3_pii,
+        "op4_toxicity": op4_toxicity,
+        "op5_pieces": op5_pieces,
         "op6_warc": op6_warc,
         "op7_decontamination": op7_decontamination,
+        "op8_secrets": op8_secrets,
+        "op9_quality": op9_quality,
         "op10_near_dedup": op10_near_dedup,
     }
 
