@@ -15,8 +15,9 @@ from spanloom.llm.components import connected_components
 from spanloom.llm.shared import broadcast_if_small, drop_table, write_table
 
 REGISTERS, ROWS = 128, 4
-#: Buckets of more members are checked by blocks that carry the sets; members of one block.
-SMALL_BUCKET, BLOCK = 64, 768
+#: Buckets of more members are checked by blocks that carry the sets. A task holds two blocks: of about
+#: this many members each, and of this many set elements (8 bytes each).
+SMALL_BUCKET, BLOCK, BLOCK_ELEMENTS = 64, 2048, 4 << 20
 #: Ids of documents to check that are broadcast at most (16 MB of longs).
 BROADCAST_IDS = 2_000_000
 
@@ -170,8 +171,8 @@ def near_duplicates(
     classes = made.groupBy("digest").agg(F.min("id").alias("rep"), F.min(F.struct("n", "regs")).alias("x"))
     reps = write_table(classes.select("digest", "rep", "x.n", "x.regs"), "classes")
     copies = made.select("digest", "id").join(reps.select("digest", "rep"), "digest").where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    bands = reps.select("rep", F.posexplode(F.expr(f"transform(sequence(0, {m // ROWS - 1}), i -> xxhash64(i, substring(regs, i * {2 * ROWS} + 1, {2 * ROWS})))")).alias("band_no", "band"))
-    hubs = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.count("*").alias("size"), F.min("band_no").alias("band_no")).where("size > 1")
+    bands = reps.select("rep", "n", F.posexplode(F.expr(f"transform(sequence(0, {m // ROWS - 1}), i -> xxhash64(i, substring(regs, i * {2 * ROWS} + 1, {2 * ROWS})))")).alias("band_no", "band"))
+    hubs = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.count("*").alias("size"), F.sum("n").alias("elements"), F.min("band_no").alias("band_no")).where("size > 1")
     buckets = write_table(bands.select("band", "rep").join(hubs, "band").where("rep != hub"), "buckets")
 
     one = reps.select("rep", "n", "regs")
@@ -196,14 +197,14 @@ def near_duplicates(
 
     links = confirmed(likely(buckets.select("rep", "hub").distinct()))
     comps = write_table(connected_components(links), "components")
-    placed = buckets.where("size > 2").join(comps, F.col("rep") == F.col("node"), "left").select("band", "band_no", "rep", "size", F.coalesce("component", "rep").alias("comp"))
+    placed = buckets.where("size > 2").join(comps, F.col("rep") == F.col("node"), "left").select("band", "band_no", "rep", "size", "elements", F.coalesce("component", "rep").alias("comp"))
     placed = write_table(placed, "placed")
     open_ = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("band")
     members = write_table(placed.join(open_, "band", "left_semi").join(one, "rep"), "members")
     schema = "a long, b long"
     small = members.where(f"size <= {SMALL_BUCKET}").selectExpr("band", "band_no", "rep", "comp", "n", "regs", "0L as block", "0L as own", "0L as other")
     more = confirmed(small.groupBy("band").applyInArrow(_pairs_of_bucket(least, percent, False), schema))
-    large = members.where(f"size > {SMALL_BUCKET}").selectExpr("*", f"cast(ceil(size / {BLOCK}) as long) as blocks").selectExpr("*", "pmod(xxhash64(rep), blocks) as block")
+    large = members.where(f"size > {SMALL_BUCKET}").selectExpr("*", f"cast(ceil(greatest(size / {BLOCK}, elements / {BLOCK_ELEMENTS})) as long) as blocks").selectExpr("*", "pmod(xxhash64(rep), blocks) as block")
     large = large.withColumn("pair", F.explode(F.expr("transform(sequence(0L, blocks - 1), o -> struct(least(o, block) as own, greatest(o, block) as other))")))
     large = large.selectExpr("band", "band_no", "rep", "comp", "n", "regs", "block", "pair.own as own", "pair.other as other")
     with_sets = large.join(sets_of(members.where(f"size > {SMALL_BUCKET}").select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep"), "rep")
