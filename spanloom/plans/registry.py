@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from spanloom.plans import q_aggregate, q_interval, q_order, q_reads, q_relational, q_sequence, q_sources, q_stats
+from spanloom.plans.book import ORACLES, QUERIES
+
+MODULES = (q_aggregate, q_interval, q_order, q_reads, q_relational, q_sequence, q_sources, q_stats)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return line.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    """Fractional methylation over fixed windows of the interval table."""
+    return QUERIES["w1_fixed_windows"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
