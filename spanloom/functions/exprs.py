@@ -179,10 +179,10 @@ def format_g(x) -> Column:
     under -4 or over 5. Halves of the shortest decimal form are rounded up."""
     x = _c(x).cast("double")
     digits = F.format_string("%.5e", x)
-    e = F.regexp_extract(digits, r"e([+-]\d+)$", 1).cast("int")
+    e = F.regexp_extract(digits, r"e([+-]\d+)$", 1).try_cast("int")
     mantissa = F.regexp_replace(F.regexp_replace(F.split(digits, "e")[0], "0+$", ""), "[.]$", "")
-    wide = F.concat(mantissa, F.lit("e"), F.regexp_extract(digits, r"e([+-])", 1), F.lpad(F.abs(e).cast("string"), 2, "0"))
+    wide = F.concat(mantissa, F.lit("e"), F.regexp_extract(digits, r"e([+-])", 1), F.when(F.abs(e) < 10, F.concat(F.lit("0"), F.abs(e).cast("string"))).otherwise(F.abs(e).cast("string")))
     places = F.greatest(F.lit(0), 5 - e)
     fixed = F.coalesce(*[F.when(places == k, F.format_string(f"%.{k}f", x)) for k in range(0, 11)])
     fixed = F.when(F.instr(fixed, ".") > 0, F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), "[.]$", "")).otherwise(fixed)
-    return F.when(x == 0, F.lit("0")).when((e < -4) | (e >= 6), wide).otherwise(fixed)
+    return F.when(x.isNotNull() & (x == 0), F.lit("0")).when((e < -4) | (e >= 6), wide).when(x.isNotNull(), fixed)

@@ -40,3 +40,10 @@ def mixed_strands(exons: DataFrame) -> DataFrame:
 def collapse_exons(exons: DataFrame, genes: DataFrame) -> DataFrame:
     """Exons with the bounds of their genes."""
     return exons.join(genes.select("locus", F.col("start").alias("gene_start"), F.col("stop").alias("gene_stop")), "locus")
+
+
+def nested(genes: DataFrame, exons: DataFrame) -> DataFrame:
+    """Each gene with its isoforms' exons: (locus, isoforms: array of (isoform, exons: array of (start, stop)))."""
+    own = exons.groupBy("locus", "isoform").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("exons"))
+    models = own.groupBy("locus").agg(F.array_sort(F.collect_list(F.struct("isoform", "exons"))).alias("isoforms"))
+    return genes.join(models, "locus")

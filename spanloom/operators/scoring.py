@@ -51,3 +51,10 @@ def scored(df: DataFrame, keys: list[str], scorer: str) -> DataFrame:
     """df's rows grouped by keys and scored; fractional groups without any c or t are left out."""
     out = df.groupBy(*keys).agg(*SCORERS[scorer]())
     return out.where("sum_c + sum_t > 0") if scorer == "fractional_methylation" else out
+
+
+def base_frequencies(reads: DataFrame, seq: str = "bases") -> DataFrame:
+    """(pos, a, c, g, t, n): shares of the bases at each position of sequences."""
+    cut = reads.select(F.posexplode(F.split(F.upper(F.col(seq)), "")).alias("pos", "base")).where("base in ('A', 'C', 'G', 'T')")
+    share = lambda b: (F.count_if(F.col("base") == b) / F.count("*")).alias(b.lower())
+    return cut.groupBy("pos").agg(*[share(b) for b in "ACGT"], F.count("*").alias("n"))

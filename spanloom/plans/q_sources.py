@@ -295,3 +295,37 @@ def _(gff):
 def _(gff):
     parsed = T.parse_gff(_lines(gff, "sequence", "source", "feature", "start", "stop", "score", "strand", F.lit("."), F.concat(F.lit("ID="), "id", F.lit(";ln="), F.col("ln").cast("string"))))
     return R.equal_to(parsed, ID="AT7").select(X.attribute("attributes", "ID").alias("id"), X.attribute("attributes", "ln").cast("long").alias("ln"))
+
+
+@query("a9_position_frequencies", "reads", ", p as (select i - 1 as pos, substr(bases, i, 1) as base from reads, unnest(range(1, length(bases) + 1)) t(i)) select cast(pos as int) as pos, " + ", ".join(f"round(count(*) filter (base = '{b}') / count(*), 9) as {b.lower()}" for b in "ACGT") + ", cast(count(*) as bigint) as n from p group by 1")
+def _(reads):
+    from spanloom.operators.scoring import base_frequencies
+
+    return base_frequencies(reads).select("pos", *[F.round(b, 9).alias(b) for b in "acgt"], "n")
+
+
+@query("j19_nested_exons", "exons", ", g as (select locus, min(start) as gene_start from exons group by 1), m as (select locus, isoform, string_agg(start || '-' || stop, ' ' order by start, stop) as e from exons group by 1, 2) select locus, gene_start, string_agg(isoform || ':' || e, ';' order by isoform) as model from m join g using (locus) group by 1, 2")
+def _(exons):
+    from spanloom.operators.genes import nested
+
+    genes = exons.groupBy("locus").agg(F.min("start").alias("gene_start"))
+    one = lambda i: F.concat(i["isoform"], F.lit(":"), F.array_join(F.transform(i["exons"], lambda x: F.concat_ws("-", x["start"], x["stop"])), " "))
+    return nested(genes, exons).select("locus", "gene_start", F.array_join(F.transform("isoforms", one), ";").alias("model"))
+
+
+@query("k7_eland_from_bowtie", "hits_a", """ select "read" || chr(9) || 'ACGT' || chr(9) || case mismatches when 0 then '1:0:0' when 1 then '0:1:0' else '0:0:1' end || chr(9) || chrom || ':' || coord || case when strand = '-' then 'R' else 'F' end || mismatches as value from hits_a""")
+def _(hits):
+    snps = F.concat_ws(",", F.slice(F.array(F.lit("3:A>C"), F.lit("9:G>T")), F.lit(1), F.col("mismatches").cast("int")))
+    lines = hits.select(F.concat_ws("\t", "read", "strand", "chrom", F.col("coord").cast("string"), F.lit("ACGT"), F.lit("IIII"), F.lit("0"), snps).alias("value"))
+    return K.eland_line(T.parse_bowtie(lines).withColumn("chrom", F.col("target")))
+
+
+@query("o3_sorted_within", "gff", " select sequence, start, id, ln from gff")
+def _(gff):
+    return T.by_sequence(gff).select("sequence", "start", "id", "ln")
+
+
+@query("u2_custom_aggregate", "gff", " select feature, round(exp(avg(ln(score))), 4) as geometric from gff group by 1")
+def _(gff):
+    """A user's own aggregate as an expression: the geometric mean."""
+    return gff.groupBy("feature").agg(F.round(F.exp(F.avg(F.log("score"))), 4).alias("geometric"))

@@ -83,6 +83,6 @@ def _(a, b):
     return out.select("sequence", "start", F.round("score", 6).alias("difference"))
 
 
-@query("f25_density", "sites", ", s as (select min(score) as a, max(score) as b, count(*) as n from sites), g as (select k, a - 0.3 + k * (b - a + 0.6) / 100 as x, n from s, range(101) t(k)) select round(x, 6) as x, round(sum(exp(-0.5 * ((x - score) / 0.1) * ((x - score) / 0.1))) / (max(n) * 0.1 * sqrt(2 * pi())), 5) as pdf from g, sites group by 1")
+@query("f25_density", "sites", ", s as (select min(score) as a, max(score) as b, count(*) as n from sites), g as (select k, a - 0.3 + k * (b - a + 0.6) / 100 as x, n from s, range(101) t(k)) select round(x, 9) as x, round(sum(exp(-0.5 * ((x - score) / 0.1) * ((x - score) / 0.1))) / (max(n) * 0.1 * sqrt(2 * pi())), 5) as pdf from g, sites group by 1")
 def _(sites):
-    return S.density(sites, "score", 101, 0.1).select(F.round("x", 6).alias("x"), F.round("pdf", 5).alias("pdf"))
+    return S.density(sites, "score", 101, 0.1).select(F.round("x", 9).alias("x"), F.round("pdf", 5).alias("pdf"))
