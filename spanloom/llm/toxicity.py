@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 
 from spanloom.llm import words
 from spanloom.llm.learn import labelled_texts, logistic, sigmoid
-from spanloom.llm.subwords import MARKED, Stream
+from spanloom.llm.subwords import LETTERS, MARKED, Stream
 
 SIZES, BITS, DIM = (3, 4, 5, 6), 16, 12
 #: Labelled texts of each label that the model is fitted on (about), and their words at most.
 PER_LABEL, MOST_WORDS = 1500, 200_000
 TOP = 3
+#: Log odds between which word scores count: those of a number or a missing word, and of a clear case.
+PLAIN, CLEAR = -4.0, 8.0
 
 
 @dataclass
@@ -26,11 +28,11 @@ class Model:
     #: For each bucket, what one n-gram adds to the log odds of its word; the last, for no n-gram, is zero.
     table: np.ndarray
     bias: float
-    #: Weights of 1, the mean of the highest word scores, and the logarithm of the number of words.
+    #: Weights of 1, the highest word score, the second, and the logarithm of the number of words.
     final: np.ndarray
 
     def word_scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The log odds of each word, and each row's bounds among the words."""
+        """The log odds of each word, and each row's bounds among the words; numbers count as ordinary words."""
         stream = Stream(data, offsets, MARKED)
         starts, ends, bounds = stream.words()
         total, count = np.zeros(len(starts)), np.zeros(len(starts))
@@ -41,17 +43,19 @@ class Model:
             some = hi > lo
             total[some] += run[hi[some]] - run[lo[some]]
             count[some] += hi[some] - lo[some]
-        return total / np.maximum(count, 1) + self.bias, bounds
+        score = total / np.maximum(count, 1) + self.bias
+        letters = np.concatenate(([0], np.cumsum(LETTERS[stream.bytes] != 0)))
+        return np.where(letters[ends] > letters[starts], score, PLAIN), bounds
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """A row for each text: 1, the mean of its three highest word scores, the logarithm of its words."""
-        out = np.ones((len(offsets) - 1, 3))
+        """A row for each text: 1, its highest and second word scores, the logarithm of its words."""
+        out = np.ones((len(offsets) - 1, 4))
         for i, j in words.slices(offsets, 1 << 18):
             score, bounds = self.word_scores(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                own = score[a:b]
-                top = np.partition(own, b - a - TOP)[b - a - TOP :] if b - a > TOP else own
-                out[i + k, 1:] = (top.mean() if b > a else self.bias - 4, np.log1p(b - a))
+                top = np.sort(score[a:b])[-2:] if b - a < 3 else np.partition(score[a:b], b - a - 2)[b - a - 2 :]
+                second, first = ([PLAIN, PLAIN] + top.tolist())[-2:]
+                out[i + k, 1:] = np.clip(first, PLAIN, CLEAR), np.clip(second, PLAIN, CLEAR), np.log1p(b - a)
         return out
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -80,12 +84,12 @@ def _bags(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(texts: list[str], label: np.ndarray, counts: dict, seed: int = 5) -> Model:
     """Trains on the words of three quarters of the texts, whose labels the words take over; then again with
-    only the highest words of each toxic text, as most of its words are ordinary. The last quarter sets the
+    only the likeliest words of each toxic text, as most of its words are ordinary. The last quarter sets the
     weights that turn word scores into a text's probability at the labels' true rates."""
     rng = np.random.default_rng(seed)
     if len(set(label.tolist())) < 2:
         rate = float(label.mean()) if len(label) else 0.0
-        return Model(np.zeros((1 << BITS) + 1, np.float32), 0.0, np.array([20.0 * rate - 10.0, 0.0, 0.0]))
+        return Model(np.zeros((1 << BITS) + 1, np.float32), 0.0, np.array([20.0 * rate - 10.0, 0.0, 0.0, 0.0]))
     order = rng.permutation(len(texts))
     held, own = order[: len(order) // 4], order[len(order) // 4 :]
     if len(set(label[held].tolist())) < 2 or len(set(label[own].tolist())) < 2:
@@ -98,25 +102,29 @@ def fit(texts: list[str], label: np.ndarray, counts: dict, seed: int = 5) -> Mod
     number = {w: i for i, w in enumerate(names)}
     bucket, bounds = _bags(names)
     size = np.diff(bounds)
-    emb, v, bias = rng.normal(0, 0.1, (1 << BITS, DIM)), rng.normal(0, 0.3, DIM), 0.0
-    clean = np.array([good[w] for w in names], float) * balance
+    at = [np.array([number[w] for w in t if w in number], np.int64) for t in sets]
+    half = rng.permutation(len(at)) % 2
 
-    def passes(toxic: np.ndarray, epochs: int) -> None:
-        nonlocal v, bias
+    def count(docs, of=at) -> np.ndarray:
+        return np.bincount(np.concatenate([np.zeros(0, np.int64), *[of[i] for i in docs]]), minlength=len(names)).astype(float)
+
+    def learned(toxic: np.ndarray, clean: np.ndarray, epochs: int = 4) -> tuple[np.ndarray, float]:
+        """What each n-gram adds to a word's log odds, and the bias, from words with toxic and clean counts."""
+        emb, v, bias = rng.normal(0, 0.1, (1 << BITS, DIM)), rng.normal(0, 0.3, DIM), 0.0
         weight = toxic + clean
         target = toxic / np.maximum(weight, 1e-9)
-        weight = np.sqrt(weight)
+        weight = np.clip(np.sqrt(weight), 0, 4)
         chosen = np.flatnonzero((weight > 0) & (size > 0))
         for epoch in range(epochs):
             rate = 0.5 * (1 - epoch / epochs)
             rng.shuffle(chosen)
-            for at in range(0, len(chosen), 512):
-                w = chosen[at : at + 512]
+            for start in range(0, len(chosen), 512):
+                w = chosen[start : start + 512]
                 n = size[w]
                 first = np.concatenate(([0], np.cumsum(n)[:-1]))
                 idx = bucket[np.repeat(bounds[w] - first, n) + np.arange(n.sum())]
                 h = np.add.reduceat(emb[idx], first, axis=0) / n[:, None]
-                g = np.clip(weight[w], 0, 4) * (sigmoid(h @ v + bias) - target[w])
+                g = weight[w] * (sigmoid(h @ v + bias) - target[w])
                 # a two-class softmax moves every n-gram of a word along the one difference of its rows
                 pull, often = np.bincount(idx, np.repeat(g, n), 1 << BITS), np.bincount(idx, minlength=1 << BITS)
                 moved = np.flatnonzero(often)
@@ -125,17 +133,19 @@ def fit(texts: list[str], label: np.ndarray, counts: dict, seed: int = 5) -> Mod
                 v -= 0.2 * rate * (h.T @ g) / np.sqrt(len(w))
                 emb[moved] -= step[:, None] * old[None]
                 bias -= 0.02 * rate * g.mean()
-
-    passes(np.array([bad[w] for w in names], float), 4)
-    for _ in range(2):
-        score = np.add.reduceat((emb @ v)[bucket], np.minimum(bounds[:-1], max(0, len(bucket) - 1))) / np.maximum(size, 1)
-        toxic = np.zeros(len(names))
-        for s, t in zip(sets, y):
-            if t:
-                at = np.array([number[w] for w in s if w in number], np.int64)
-                toxic[at[np.argsort(-score[at], kind="stable")[: max(TOP, len(at) // 30)]]] += 1
-        passes(toxic, 3)
-    model = Model(np.append(emb @ v, 0.0).astype(np.float32), float(bias), np.zeros(3))
+        return emb @ v, bias
+
+    # each half of the texts picks its toxic words by what the other half taught
+    picked = list(at)
+    for k in (0, 1):
+        other = [i for i in range(len(at)) if half[i] != k]
+        gain, _ = learned(count([i for i in other if y[i]]), balance * count([i for i in other if not y[i]]))
+        score = np.add.reduceat(np.append(gain[bucket], 0.0), np.minimum(bounds[:-1], len(bucket))) / np.maximum(size, 1)
+        for i in range(len(at)):
+            if half[i] == k and y[i]:
+                picked[i] = at[i][np.argsort(-score[at[i]], kind="stable")[: max(TOP, len(at[i]) // 30)]]
+    gain, bias = learned(count(np.flatnonzero(y == 1), picked), balance * count(np.flatnonzero(y == 0)))
+    model = Model(np.append(gain, 0.0).astype(np.float32), float(bias), np.zeros(4))
     x = model.features(*words.text_bytes(pa.array([texts[i] for i in held], pa.string())))
     z = label[held]
     true = np.array([counts.get(k, 1) / max(1, (z == k).sum()) for k in (0, 1)], float)
