@@ -193,6 +193,7 @@ def near_duplicates(
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
         links = write_table(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), "confirmed")
         drop_table(sets)
+        drop_table(pairs)
         return links
 
     links = confirmed(likely(buckets.select("rep", "hub").distinct()))
@@ -210,6 +211,8 @@ def near_duplicates(
     with_sets = large.join(sets_of(members.where(f"size > {SMALL_BUCKET}").select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep"), "rep")
     hot = write_table(with_sets.groupBy("band", "own", "other").applyInArrow(_pairs_of_bucket(least, percent, True), schema), "hot")
     joined = connected_components(links.unionByName(more).unionByName(hot).unionByName(copies))
+    for done in (reps, buckets, comps, placed, members, links, more, hot):
+        drop_table(done)
     found = table.select("id", "n").join(joined, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

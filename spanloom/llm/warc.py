@@ -19,8 +19,10 @@ from spanloom.llm.shared import shared_dir, write_table
 
 #: Bytes between two selected records that one read may skip over, and bytes of one read at most.
 GAP, READ = 64 << 10, 8 << 20
-#: A new archive file begins after this many bytes; records of one read task lie in one such file.
+#: A new archive file begins after this many bytes.
 FILE_BYTES = 64 << 20
+#: Bytes of records of one read task (about), and of a run of records that stays together.
+TASK_BYTES, RUN_BYTES = 16 << 20, 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, record_type string, refers_to long"
 
@@ -167,9 +169,11 @@ def _read(folder: str):
 
 def read_archives(folder: str, index: DataFrame) -> DataFrame:
     """(page_id, url, record_type, digest, refers_to, payload_bytes, payload) of the records in index,
-    which may be any selection of its rows. They are dealt by file and run of offsets, sorted, and
-    read in ranges that join records lying close together. Revisits have a null payload."""
-    chosen = index.select("file", "offset", "length").repartition("file", F.expr(f"offset div {FILE_BYTES // 8}")).sortWithinPartitions("file", "offset")
+    which may be any selection of its rows. They are dealt by file and run of offsets to tasks of about
+    TASK_BYTES of records each (index rows are small, so their own size says nothing), sorted, and read in
+    ranges that join records lying close together. Revisits have a null payload."""
+    total = index.agg(F.sum("length")).first()[0] or 0
+    chosen = index.select("file", "offset", "length").repartition(max(1, -(-total // TASK_BYTES)), "file", F.expr(f"offset div {RUN_BYTES}")).sortWithinPartitions("file", "offset")
     return chosen.mapInArrow(_read(folder), "page_id long, url string, record_type string, digest string, refers_to long, payload_bytes long, payload binary")
 
 
