@@ -48,18 +48,14 @@ def attribute_map(text) -> Column:
     """Tokens `key=value` between semicolons, both sides trimmed; a bare token is the value of Note.
 
     The last of equal keys wins, and a trailing `*` of the whole string is no part of it."""
-    plain = F.regexp_replace(_c(text), r"\*$", "")
-    tokens = F.filter(F.transform(F.split(plain, ";"), lambda x: F.trim(x)), lambda x: x != "")
-    pairs = F.transform(
-        tokens,
-        lambda x: F.struct(
-            F.when(F.instr(x, "=") > 0, F.trim(F.split(x, "=")[0])).otherwise(F.lit("Note")).alias("key"),
-            F.when(F.instr(x, "=") > 0, F.trim(F.get(F.split(x, "="), F.lit(1)))).otherwise(x).alias("value"),
-        ),
-    )
-    # one entry for each key: the last
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]))
+    t = F.regexp_replace(_c(text), r"\*$", "")
+    t = F.regexp_replace(F.trim(t), r"\s*([;=])\s*", "$1")
+    t = F.regexp_replace(t, "=([^=;]*)=[^;]*", "=$1")
+    t = F.regexp_replace(t, "(^|;)([^=;]+)(?=;|$)", "$1Note=$2")
+    t = F.regexp_replace(t, "^;+|;+$|;(?=;)", "")
+    # an entry goes where its key comes again
+    t = F.regexp_replace(t, r"(?:^|(?<=;))([^=;]*)=[^;]*;(?=(?:.*;)?\1=)", "")
+    return F.coalesce(F.str_to_map(F.nullif(t, F.lit("")), F.lit(";"), F.lit("=")), F.create_map().cast("map<string,string>"))
 
 
 def has_asterisk(text) -> Column:

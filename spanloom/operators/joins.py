@@ -15,30 +15,35 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
-def _binned(a: DataFrame, b: DataFrame, width: int) -> DataFrame:
-    """Overlapping pairs by an equal join on (sequence, bin): both sides are exploded to the bins they
-    cover, and a pair counts only in the first bin that both cover."""
-    x = a.withColumn("__bin", F.explode(F.expr(f"sequence(start div {width}, stop div {width})")))
-    y = b.withColumn("__b_bin", F.explode(F.expr(f"sequence(b_start div {width}, b_stop div {width})")))
-    first = F.greatest(F.expr(f"start div {width}"), F.expr(f"b_start div {width}"))
-    on = (F.col("sequence") == F.col("b_sequence")) & (F.col("__bin") == F.col("__b_bin"))
-    return x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & (F.col("__bin") == first)).drop("__bin", "__b_bin")
+def _keys(start: str, stop: str, width: int, own: str) -> Column:
+    """The (kind, bin) keys of an interval. Short ones meet short ones in bins of `width`; where one side is long,
+    both sides use bins COARSE times as wide. Kinds name the lengths of the left and the right side."""
+    fine, coarse = (f"transform(sequence({start} div {w}, {stop} div {w}), b -> struct('{{}}' as kind, b as bin))" for w in (width, width * COARSE))
+    short_other, long_other = ("SL", "LS") if own == "left" else ("LS", "SL")
+    short = f"concat({fine.format('SS')}, {coarse.format(short_other)})"
+    long_ = f"concat({coarse.format(long_other)}, {coarse.format('LL')})"
+    return F.expr(f"case when {stop} - {start} < {MOST_BINS * width} then {short} else {long_} end")
 
 
 def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: bool = True) -> DataFrame:
     """Every pair of rows of the same sequence whose closed intervals share a base; b's columns get `b_`.
 
-    Intervals over MOST_BINS bins would be repeated too often: with long_intervals they are joined on bins
-    COARSE times as wide. Rows of null or reversed bounds pair with nothing."""
-    fine = "start <= stop"
-    a, b = a.where(fine), prefixed(b.where(fine), "b_")
-    if not long_intervals:
-        return _binned(a, b, width)
-    limit = MOST_BINS * width
-    short_a, long_a = a.where(f"stop - start < {limit}"), a.where(f"stop - start >= {limit}")
-    short_b, long_b = b.where(f"b_stop - b_start < {limit}"), b.where(f"b_stop - b_start >= {limit}")
-    out = _binned(short_a, short_b, width)
-    return out.unionByName(_binned(long_a, b, width * COARSE)).unionByName(_binned(short_a, long_b, width * COARSE))
+    Both sides are exploded to the bins they cover and joined on (sequence, bin), so rows of one sequence are dealt
+    over many tasks; a pair counts only in the first bin that both cover. Intervals over MOST_BINS bins would be
+    repeated too often: they, and what they meet, are joined in bins COARSE times as wide in the same join.
+    long_intervals=False leaves that out where none is so long. Rows of null or reversed bounds pair with nothing."""
+    a, b = a.where("start <= stop"), prefixed(b.where("start <= stop"), "b_")
+    if long_intervals:
+        x = a.withColumn("__key", F.explode(_keys("start", "stop", width, "left")))
+        y = b.withColumn("__b_key", F.explode(_keys("b_start", "b_stop", width, "right")))
+    else:
+        x = a.withColumn("__key", F.explode(F.expr(f"transform(sequence(start div {width}, stop div {width}), b -> struct('SS' as kind, b as bin))")))
+        y = b.withColumn("__b_key", F.explode(F.expr(f"transform(sequence(b_start div {width}, b_stop div {width}), b -> struct('SS' as kind, b as bin))")))
+    on = (F.col("sequence") == F.col("b_sequence")) & (F.col("__key.kind") == F.col("__b_key.kind")) & (F.col("__key.bin") == F.col("__b_key.bin"))
+    first = F.greatest("start", "b_start")
+    wide = F.when(F.col("__key.kind") == "SS", F.lit(width)).otherwise(F.lit(width * COARSE))
+    pairs = x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & (F.col("__key.bin") == F.floor(first / wide)))
+    return pairs.drop("__key", "__b_key")
 
 
 def overlaps_literal(df: DataFrame, sequence: str | None, ranges: list[tuple[int, int]], feature: str | None = None) -> DataFrame:

@@ -36,10 +36,12 @@ def chunks(fasta: DataFrame, size: int, flank: int = 0) -> DataFrame:
 
 
 def kmers(fasta: DataFrame, k: int, size: int = 1 << 16) -> DataFrame:
-    """(kmer, n) over all sequences, overlapping; long sequences are cut into pieces that share k - 1 bases."""
-    parts = chunks(fasta, size, k - 1).where(F.length("part") >= k)
-    words = parts.select(F.explode(F.expr(f"transform(sequence(1, length(part) - {k} + 1), i -> substring(part, i, {k}))")).alias("kmer"))
-    return words.groupBy("kmer").agg(F.count("*").alias("n"))
+    """(kmer, n) over all sequences, overlapping; long sequences are cut into pieces that share k - 1 bases.
+
+    Sequences are ASCII: k-mers are taken from bytes, where any place is reached at once."""
+    parts = chunks(fasta, size, k - 1).where(F.length("part") >= k).select(F.col("part").cast("binary").alias("part"))
+    words = parts.select("part", F.explode(F.expr(f"sequence(1, length(part) - {k} + 1)")).alias("i")).select(F.substring("part", F.col("i"), F.lit(k)).alias("kmer"))
+    return words.groupBy("kmer").agg(F.count("*").alias("n")).select(F.col("kmer").cast("string").alias("kmer"), "n")
 
 
 def expected_kmers(fasta: DataFrame, k: int) -> DataFrame:

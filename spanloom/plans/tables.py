@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.session import spread
+
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASES = ("ACGT" * 7)[:26] * 2
 _DNA = f"translate(regexp_replace(text, '[^A-Za-z]', '', 'g'), '{LETTERS}', '{BASES}')"
@@ -126,7 +128,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in ADAPTERS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     base, columns = ADAPTERS[name]
-    rows = spark.read.parquet(f"{sf_dir}/{base}.parquet")
+    rows = spread(spark.read.parquet(f"{sf_dir}/{base}.parquet"))
     return rows.selectExpr(*[c.replace(", 'g')", ")").replace('"read"', "`read`") for c in columns])
 
 

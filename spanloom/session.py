@@ -1,4 +1,4 @@
-"""Makes the package importable in Python workers."""
+"""The package in Python workers, and scans of few splits."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -26,3 +26,9 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("spanloom", os.path.relpath(full, root)))
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, as of one small file, dealt to all of them; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
