@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.llm import words
-from spanloom.llm.learn import sample_by_label
+from spanloom.llm.learn import LONGEST_SAMPLE, sample_by_label
 from spanloom.llm.subwords import LETTERS, Stream
 
 SIZES, BITS, DIM = (2, 3, 4), 15, 16
@@ -115,7 +115,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 3) -> Model:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fits a model on about per_language texts of each language of docs (at most 256 languages)."""
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null")
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.length("text") <= LONGEST_SAMPLE)
     sample, counts = sample_by_label(rows, "lang", "key", per_language)
     got = sorted((r.key, r.lang, r.text) for r in sample.limit(max(1, 2 * per_language * len(counts))).collect())
     return fit([t for _, _, t in got], [k for _, k, _ in got])

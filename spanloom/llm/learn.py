@@ -10,6 +10,8 @@ from spanloom.llm.shared import drop_table, write_table
 
 #: Labels that a sample tells apart at most: the most frequent.
 MOST_LABELS = 256
+#: Characters that a text of a training sample may have, so that the sample's size has a bound.
+LONGEST_SAMPLE = 200_000
 
 
 def fold(column: str, parts: int):
@@ -37,7 +39,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, per_label: in
     rows = labels.where(F.col(label).isin(0, 1) & (fold(id_col, folds) != held_out)).groupBy(id_col).agg(F.max(label).alias("label"))
     rows, counts = sample_by_label(rows.select(F.col(id_col).alias("key"), "label"), "label", "key", per_label)
     chosen = write_table(rows, "sample")
-    found = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("sample_text")).where("sample_text is not null").join(F.broadcast(chosen), "key")
+    found = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("sample_text")).where(F.length("sample_text") <= LONGEST_SAMPLE).join(F.broadcast(chosen), "key")
     got = found.select("key", "label", "sample_text").limit(4 * per_label).collect()
     drop_table(chosen)
     seen: dict[tuple[int, int], int] = {}

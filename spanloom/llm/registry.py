@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from spanloom.llm import decontam, langid, neardup, pieces, pii, quality, secretscan, topk, toxicity, warc
 from spanloom.llm.learn import fold
 from spanloom.llm.matches import spelled
-from spanloom.session import ship_package
+from spanloom.session import ship_package, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
