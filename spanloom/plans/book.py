@@ -14,7 +14,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, tables: str, sql: str | None = None):
     """Registers a function of the named tables; sql follows the adapters among them as a SELECT or as further
-    common table expressions (beginning with a comma)."""
+    common table expressions (beginning with a comma), with `recursive:` in front where one of these is recursive."""
     names = tables.split()
 
     def add(f):
@@ -30,7 +30,12 @@ def query(name: str, tables: str, sql: str | None = None):
             from spanloom.plans.tables import ADAPTERS
 
             own = [n for n in names if n in ADAPTERS]
-            ORACLES[name] = f"{with_sql(*own)} {sql}" if own else (sql.lstrip().removeprefix(",") if not sql.lstrip().startswith(",") else "with " + sql.lstrip()[1:])
+            text = sql.strip().removeprefix("recursive:")
+            if own:
+                text = f"{with_sql(*own)} {text}"
+            elif text.startswith(","):
+                text = "with " + text[1:]
+            ORACLES[name] = text.replace("with ", "with recursive ", 1) if sql.startswith("recursive:") else text
         return f
 
     return add

@@ -112,13 +112,21 @@ def _(genes):
     return W.running_offset(genes.withColumn("length", F.expr("stop - start + 1")), "sequence", ["start", "locus"], "length").select("locus", F.col("offset").alias("offset_"))
 
 
-@query("w10_scaffold_groups", "genes", None)
+_PACK = (
+    "recursive:, o as (select sequence, locus, stop - start + 1 as length, row_number() over (partition by sequence order by locus) as k from genes)"
+    ", f(sequence, locus, length, k, pack, pack_offset) as (select sequence, locus, length, k, cast(0 as bigint), cast(0 as bigint) from o where k = 1"
+    " union all select o.sequence, o.locus, o.length, o.k, case when f.pack_offset + f.length >= 2000 then f.pack + 1 else f.pack end, case when f.pack_offset + f.length >= 2000 then 0 else f.pack_offset + f.length end from f join o on o.sequence = f.sequence and o.k = f.k + 1)"
+    " select sequence, locus, length, pack, pack_offset, pack_offset + length as pack_end from f"
+)
+
+
+@query("w10_scaffold_groups", "genes", _PACK)
 def _(genes):
-    """Scaffolds packed in order into groups of at least 100,000 bases; each group restarts the offsets."""
+    """Scaffolds packed in order into groups of at least 2,000 bases; each group restarts the offsets."""
     from spanloom.operators.packing import pack_in_order
 
     rows = genes.select("sequence", "locus", F.expr("stop - start + 1").alias("length"))
-    return pack_in_order(rows, "sequence", ["locus"], "length", 100_000)
+    return pack_in_order(rows, "sequence", ["locus"], "length", 2000)
 
 
 @query("w13_shared_islands", "sites sites_b", ", p as (select a.*, b.c as bc, b.t as bt from sites a join sites_b b on a.sequence = b.sequence and a.start = b.start)" + _ISLE.format(t="p", d=20) + " select sequence, cast(island as bigint) as island, min(start) as start, max(stop) as stop, round(sum(c) / nullif(sum(c + t), 0), 9) as a_score, round(sum(bc) / nullif(sum(bc + bt), 0), 9) as b_score from i group by 1, 2")
@@ -191,13 +199,43 @@ def _(gff):
     return S.bin_quartiles(gff.where("c > 10").select(F.col("ln").alias("bin"), F.col("id").alias("locus"), "score")).withColumn("mean", F.round("mean", 6))
 
 
-@query("w7_dense_bins", "gff genes", None)
+def _ends(five: bool, strategy: int) -> str:
+    """Common table expressions of the bins of one end under one stop strategy."""
+    at_start = "(strand <> '-')" if five else "(strand = '-')"
+    clip = (
+        ", f as (select sequence, locus, strand, anchor, lo as flag_start, hi as flag_stop from b)"
+        if strategy == 0
+        else ", f as (select sequence, locus, strand, anchor, case when at_start then greatest(lo, coalesce(prev + 1, lo)) else greatest(lo, start) end as flag_start, case when at_start then least(hi, stop) else least(hi, coalesce(nxt - 1, hi)) end as flag_stop from b)"
+    )
+    return (
+        _NB + f", a as (select *, {at_start} as at_start, case when {at_start} then start else stop end as anchor from g)"
+        ", b as (select *, greatest(0, anchor - 100) as lo, anchor + 100 as hi from a)" + clip + ""
+        ", p as (select f.locus, f.strand, x.feature, cast(floor((x.start - (f.anchor - 100)) / 20) as bigint) as bin, x.score * ((least(x.stop, f.flag_stop) - greatest(x.start, f.flag_start) + 1) / (x.stop - x.start + 1)) as s"
+        " from gff x join f on x.sequence = f.sequence and x.start <= f.flag_stop and x.stop >= f.flag_start where f.flag_start <= f.flag_stop)"
+        ", q as (select locus, feature, case when strand = '-' then 9 - bin else bin end as bin, s from p where bin >= 0 and bin < 10)"
+    )
+
+
+_DENSE = _ends(True, 0) + (
+    ", m as (select locus, bin, avg(s) as score from q group by 1, 2), d as (select locus, unnest(range(0, 10)) as bin from (select distinct locus from genes) l)"
+    " select locus, string_agg(coalesce(cast(cast(round(score / pi()) as bigint) as varchar), 'na'), ',' order by bin) as scores from d left join m using (locus, bin) group by 1"
+)
+
+
+@query("w7_dense_bins", "gff genes", _DENSE)
 def _(gff, genes):
-    return W.dense_bins(W.ends_bins(gff, W.offset_regions(genes, 100, True), 100, 20, 64), genes, 10)
+    dense = W.dense_bins(W.ends_bins(gff, W.offset_regions(genes, 100, True), 100, 20, 64), genes, 10)
+    return dense.select("locus", F.array_join(F.transform("scores", lambda x: F.coalesce(F.round(x / F.pi()).cast("long").cast("string"), F.lit("na"))), ",").alias("scores"))
+
+
+def _matrix_part(group: str, five: bool, strategy: int) -> str:
+    rows = _ends(five, strategy).removeprefix(",")
+    return f"(with {rows}, m as (select locus, bin, avg(s) as score from q where feature = '{group}' group by 1, 2) select '{group}' as \"group\", '{'5p' if five else '3p'}' as side, cast({strategy} as int) as strategy, bin, cast(round(avg(score) / pi()) as bigint) as mean, cast(count(*) as bigint) as n from m group by bin)"
 
 
-@query("x6_ends_matrix", "gff genes", None)
+@query("x6_ends_matrix", "gff genes", " select * from (" + " union all ".join(_matrix_part(k, five, s) for k in "AN" for five in (True, False) for s in (0, 2)) + ") z")
 def _(gff, genes):
     from spanloom.plans.pipelines import ends_matrix
 
-    return ends_matrix({"A": gff.where("feature = 'A'"), "N": gff.where("feature = 'N'")}, genes, 100, 20, (0, 2), 64)
+    out = ends_matrix({"A": gff.where("feature = 'A'"), "N": gff.where("feature = 'N'")}, genes, 100, 20, (0, 2), 64)
+    return out.withColumn("mean", F.round(F.col("mean") / F.pi()).cast("long"))
