@@ -126,13 +126,15 @@ def winner_reads(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("read", "winner", "mm_a", "mm_b", F.coalesce(F.col("coord_a") != F.col("coord_b"), F.lit(False)).alias("coordinates_differ"))
 
 
-def pair_mates(left: DataFrame, right: DataFrame, offset: int, distance: int, trust_right: bool = False) -> DataFrame:
+def pair_mates(left: DataFrame, right: DataFrame, offset: int, distance: int, trust_right: bool = False, seed: int | None = None) -> DataFrame:
     """Mates of two tables of hits (read, chrom, coord, length, chrom_length, strand, hit), read by read.
 
-    (read, tag, left_coord, right_coord, score): tag names how many hits each end has (NM none, U one, R many).
-    One hit on both ends: the right end is placed if the pair fits. One against many, or many against many: the
-    nearest pair that fits within [offset, offset + distance]; others stay unplaced. A single end is placed if
-    it is the left one, or with trust_right."""
+    (read, tag, left_coord, right_coord, score, left_random, right_random): tag names how many hits each end has (NM
+    none, U one, R many). One hit on both ends: the right end is placed if the pair fits. One against many, or many
+    against many: the nearest pair that fits within [offset, offset + distance]; others stay unplaced, or with a seed
+    are placed at one of their hits by chance (the right end only with trust_right) and marked. A single left end is
+    placed, a single right end without a left one only with trust_right. The chance depends on read, hit and seed
+    alone, so a repeated task places the same."""
     n_left = left.groupBy("read").agg(F.count("hit").alias("l"))
     n_right = right.groupBy("read").agg(F.count("hit").alias("r"))
     counts = n_left.join(n_right, "read", "full").select("read", F.coalesce("l", F.lit(0)).alias("l"), F.coalesce("r", F.lit(0)).alias("r"))
@@ -141,14 +143,38 @@ def pair_mates(left: DataFrame, right: DataFrame, offset: int, distance: int, tr
     score = X.pair_distance("a_coord", "b_coord", "a_chrom_length")
     pairs = a.join(b, "read").where("a_chrom = b_chrom and a_strand <> b_strand").withColumn("score", score).where(F.col("score") <= offset + distance)
     best = best_per(pairs, ["read"], ["score", "a_hit", "b_hit", "a_coord", "b_coord"]).select("read", "a_coord", "b_coord", "score")
-    one_a = best_per(a, ["read"], ["a_hit", "a_coord"]).select("read", F.col("a_coord").alias("only_a"))
-    one_b = best_per(b, ["read"], ["b_hit", "b_coord"]).select("read", F.col("b_coord").alias("only_b"))
+    chance = lambda end: F.xxhash64("read", f"{end}_hit", F.lit(seed or 0))
+    one_a = a.groupBy("read").agg(F.min_by("a_coord", F.struct("a_hit", "a_coord")).alias("only_a"), F.min_by("a_coord", F.struct(chance("a"), "a_hit", "a_coord")).alias("any_a"))
+    one_b = b.groupBy("read").agg(F.min_by("b_coord", F.struct("b_hit", "b_coord")).alias("only_b"), F.min_by("b_coord", F.struct(chance("b"), "b_hit", "b_coord")).alias("any_b"))
     found = counts.join(best, "read", "left").join(one_a, "read", "left").join(one_b, "read", "left")
     kind = lambda c: F.when(F.col(c) == 0, "NM").when(F.col(c) == 1, "U").otherwise("R")
     fits = F.col("score").isNotNull() & ((F.col("score") >= offset) | ((F.col("l") == 1) & (F.col("r") == 1)))
-    at_left = F.when(F.col("l") == 1, F.col("only_a")).when(fits, F.col("a_coord"))
-    at_right = F.when(fits, F.col("b_coord")).when((F.col("l") == 0) & (F.col("r") == 1) & F.lit(trust_right), F.col("only_b"))
-    return found.select("read", F.concat(kind("l"), F.lit("/"), kind("r")).alias("tag"), at_left.alias("left_coord"), at_right.alias("right_coord"), F.when(fits, F.col("score")).alias("score"))
+    by_chance = F.lit(seed is not None) & ~F.coalesce(fits, F.lit(False))
+    left_random = by_chance & (F.col("l") > 1)
+    right_random = by_chance & (F.col("r") > 1) & F.lit(trust_right)
+    at_left = F.when(F.col("l") == 1, F.col("only_a")).when(fits, F.col("a_coord")).when(left_random, F.col("any_a"))
+    at_right = F.when(fits, F.col("b_coord")).when((F.col("l") == 0) & (F.col("r") == 1) & F.lit(trust_right), F.col("only_b")).when(right_random, F.col("any_b"))
+    return found.select("read", F.concat(kind("l"), F.lit("/"), kind("r")).alias("tag"), at_left.alias("left_coord"), at_right.alias("right_coord"), F.when(fits, F.col("score")).alias("score"), left_random.alias("left_random"), right_random.alias("right_random"))
+
+
+def mate_rows(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two interval rows for each pair of pair_mates(), left end first: (read, end, sequence, source, feature, start,
+    stop, score, strand, frame). An end without a place has `.` for its sequence, and zeros; the source is the tag, with
+    `*` where the place was taken by chance; the score counts the end's hits. Hits also have seq and mismatches."""
+    parts = []
+    for end, hits in (("left", left), ("right", right)):
+        count = hits.groupBy("read").agg(F.count("hit").alias("hits"), F.max("seq").alias("seq"))
+        placed = hits.where("hit is not null").select("read", F.col("coord").alias(f"{end}_coord"), "chrom", "length", "strand", "mismatches").dropDuplicates(["read", f"{end}_coord"])
+        rows = pairs.join(placed, ["read", f"{end}_coord"], "left").join(count, "read", "left")
+        there = F.col(f"{end}_coord").isNotNull()
+        zero = F.lit(0).cast("long")
+        parts.append(rows.select(
+            "read", F.lit(end).alias("end"), F.when(there, F.col("chrom")).otherwise(".").alias("sequence"),
+            F.concat("tag", F.when(F.col(f"{end}_random"), "*").otherwise("")).alias("source"), F.concat_ws(":", "read", "seq").alias("feature"),
+            F.coalesce(f"{end}_coord", zero).alias("start"), F.coalesce(F.expr(f"{end}_coord + length - 1"), zero).alias("stop"),
+            F.coalesce("hits", zero).alias("score"), F.when(there, F.col("strand")).otherwise(".").alias("strand"), F.when(there, F.col("mismatches").cast("string")).otherwise(".").alias("frame"),
+        ))
+    return parts[0].unionByName(parts[1])
 
 
 def mate_products(left: DataFrame, right: DataFrame, insert: int, variance: int) -> DataFrame:

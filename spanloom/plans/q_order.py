@@ -179,6 +179,11 @@ def _(genes):
     return running_total(genes.withColumn("one", F.lit(1)), ["stop", "locus"], "one", "k").select("locus", "stop", "k")
 
 
+@query("o4_multi_key_sort", "hits_a", """ select "read", hit, chrom, coord from hits_a order by "read", hit, coord""")
+def _(hits):
+    return R.sort_rows(hits.select("read", "hit", "chrom", "coord"), "read", "hit", "coord")
+
+
 @query("o6_argmax", "gff", " select sequence, max_by(id || ':' || ln, struct_pack(a := score, b := id, c := ln)) as best from gff group by 1")
 def _(gff):
     return gff.groupBy("sequence").agg(F.max_by(F.concat_ws(":", "id", "ln"), F.struct("score", "id", "ln")).alias("best"))

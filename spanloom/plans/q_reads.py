@@ -69,17 +69,27 @@ def _(fasta):
     return rows.groupBy("read_no").agg(F.sum(cg).alias("cg"), F.sum(c).alias("c"))
 
 
-@query("j11_mate_pairs", "hits_a hits_b", """
+_PAIRS = """
 , la as (select "read", count(*) as l from hits_a group by 1), lb as (select "read", count(*) as r from hits_b group by 1),
 n as (select coalesce(la."read", lb."read") as "read", coalesce(l, 0) as l, coalesce(r, 0) as r from la full join lb on la."read" = lb."read"),
 p as (select a."read", a.coord as ac, b.coord as bc, a.hit as ah, b.hit as bh, abs((a.chrom_length - a.coord + 1) - b.coord) as score from hits_a a join hits_b b on a."read" = b."read" and a.chrom = b.chrom and a.strand <> b.strand),
 q as (select * from p where score <= 5000 qualify row_number() over (partition by "read" order by score, ah, bh, ac, bc) = 1),
 oa as (select "read", coord from hits_a qualify row_number() over (partition by "read" order by hit, coord) = 1),
-f as (select n."read", l, r, ac, bc, score, oa.coord as only_a, score is not null and (score >= 40 or (l = 1 and r = 1)) as fits from n left join q on q."read" = n."read" left join oa on oa."read" = n."read")
-select "read", case when l = 0 then 'NM' when l = 1 then 'U' else 'R' end || '/' || case when r = 0 then 'NM' when r = 1 then 'U' else 'R' end as tag,
+f as (select n."read", l, r, ac, bc, score, oa.coord as only_a, score is not null and (score >= 40 or (l = 1 and r = 1)) as fits from n left join q on q."read" = n."read" left join oa on oa."read" = n."read")"""
+
+
+@query("j11_mate_pairs", "hits_a hits_b", _PAIRS + """ select "read", case when l = 0 then 'NM' when l = 1 then 'U' else 'R' end || '/' || case when r = 0 then 'NM' when r = 1 then 'U' else 'R' end as tag,
  case when l = 1 then only_a when fits then ac end as left_coord, case when fits then bc end as right_coord, case when fits then score end as score from f""")
 def _(a, b):
-    return J.pair_mates(a, b, 40, 4960)
+    return J.pair_mates(a, b, 40, 4960).drop("left_random", "right_random")
+
+
+@query("j11_mate_rows", "hits_a hits_b", _PAIRS + """, m as (select f."read", case when l = 0 then 'NM' when l = 1 then 'U' else 'R' end || '/' || case when r = 0 then 'NM' when r = 1 then 'U' else 'R' end as tag, case when l = 1 then only_a when fits then ac end as lc, case when fits then bc end as rc, l, r from f)
+select "read", 'left' as "end", tag as source, coalesce(lc, 0) as start, coalesce(lc + 35, 0) as stop, cast(l as bigint) as score from m
+union all select "read", 'right', tag, coalesce(rc, 0), coalesce(rc + 35, 0), cast(r as bigint) from m""")
+def _(a, b):
+    a, b = (h.withColumn("seq", F.lit("ACGT")) for h in (a, b))
+    return J.mate_rows(J.pair_mates(a, b, 40, 4960), a, b).select("read", "end", "source", "start", "stop", "score")
 
 
 @query("j12_mate_products", "hits_a hits_b", """, p as (select a."read", a.chrom as sequence, a.coord as start, b.coord as b_start, greatest(a.coord, b.coord) + 35 - least(a.coord, b.coord) + 1 as insert_ from hits_a a join hits_b b on a."read" = b."read" and a.chrom = b.chrom and a.strand <> b.strand) select "read", sequence, start, b_start, insert_, count(*) over (partition by "read") = 1 as "unique" from p where abs(insert_ - 10000) <= 6000""")

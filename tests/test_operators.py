@@ -102,6 +102,11 @@ def test_mates(spark):
     got = {r.read: (r.tag, r.left_coord, r.right_coord, r.score) for r in J.pair_mates(left, right, 50, 200).collect()}
     assert got == {"p": ("U/U", 100, 700, 201), "q": ("U/R", 10, 900, 91), "n": ("NM/U", None, None, None), "o": ("U/NM", 5, None, None)}
     assert {r.read: r.right_coord for r in J.pair_mates(left, right, 50, 200, trust_right=True).collect()}["n"] == 50
+    far = J.pair_mates(left, right, 5000, 1, trust_right=True, seed=3).where("read = 'q'").first()
+    assert far.right_random and far.right_coord in (100, 900) and not far.left_random and far.left_coord == 10
+    rows = J.mate_rows(J.pair_mates(left, right, 50, 200), *(h.withColumns({"seq": F.lit("ACGT"), "mismatches": F.lit(1)}) for h in (left, right)))
+    got = {(r.read, r.end): (r.sequence, r.start, r.stop, r.score, r.strand) for r in rows.collect()}
+    assert len(got) == 8 and got["p", "right"] == ("c", 700, 735, 1, "-") and got["n", "left"] == (".", 0, 0, 0, ".") and got["q", "right"] == ("c", 900, 935, 2, "-")
 
 
 def test_patch_and_difference(spark):
