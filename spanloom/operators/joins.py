@@ -15,13 +15,19 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
-def _keys(start: str, stop: str, width: int, own: str) -> Column:
-    """The (kind, bin) keys of an interval. Short ones meet short ones in bins of `width`; where one side is long,
-    both sides use bins COARSE times as wide. Kinds name the lengths of the left and the right side."""
-    fine, coarse = (f"transform(sequence({start} div {w}, {stop} div {w}), b -> struct('{{}}' as kind, b as bin))" for w in (width, width * COARSE))
-    short_other, long_other = ("SL", "LS") if own == "left" else ("LS", "SL")
-    short = f"concat({fine.format('SS')}, {coarse.format(short_other)})"
-    long_ = f"concat({coarse.format(long_other)}, {coarse.format('LL')})"
+#: Kinds of pairs by the lengths of the left and right side: both short, right long, left long, both long.
+SS, SL, LS, LL = range(4)
+
+
+def _keys(start: str, stop: str, width: int, left: bool) -> Column:
+    """The keys 4 * bin + kind of an interval. Short ones meet short ones in bins of `width`; where one side is long,
+    both sides use bins COARSE times as wide."""
+
+    def bins(w: int, kind: int) -> str:
+        return f"transform(sequence({start} div {w}, {stop} div {w}), b -> 4 * b + {kind})"
+
+    short = f"concat({bins(width, SS)}, {bins(width * COARSE, SL if left else LS)})"
+    long_ = f"concat({bins(width * COARSE, LS if left else SL)}, {bins(width * COARSE, LL)})"
     return F.expr(f"case when {stop} - {start} < {MOST_BINS * width} then {short} else {long_} end")
 
 
@@ -33,17 +39,17 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: b
     repeated too often: they, and what they meet, are joined in bins COARSE times as wide in the same join.
     long_intervals=False leaves that out where none is so long. Rows of null or reversed bounds pair with nothing."""
     a, b = a.where("start <= stop"), prefixed(b.where("start <= stop"), "b_")
+    first = "greatest(start, b_start)"
     if long_intervals:
-        x = a.withColumn("__key", F.explode(_keys("start", "stop", width, "left")))
-        y = b.withColumn("__b_key", F.explode(_keys("b_start", "b_stop", width, "right")))
+        x = a.withColumn("__key", F.explode(_keys("start", "stop", width, True)))
+        y = b.withColumn("__b_key", F.explode(_keys("b_start", "b_stop", width, False)))
+        in_first = f"__key = 4 * ({first} div (case when pmod(__key, 4) = {SS} then {width}L else {width * COARSE}L end)) + pmod(__key, 4)"
     else:
-        x = a.withColumn("__key", F.explode(F.expr(f"transform(sequence(start div {width}, stop div {width}), b -> struct('SS' as kind, b as bin))")))
-        y = b.withColumn("__b_key", F.explode(F.expr(f"transform(sequence(b_start div {width}, b_stop div {width}), b -> struct('SS' as kind, b as bin))")))
-    on = (F.col("sequence") == F.col("b_sequence")) & (F.col("__key.kind") == F.col("__b_key.kind")) & (F.col("__key.bin") == F.col("__b_key.bin"))
-    first = F.greatest("start", "b_start")
-    wide = F.when(F.col("__key.kind") == "SS", F.lit(width)).otherwise(F.lit(width * COARSE))
-    pairs = x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & (F.col("__key.bin") == F.floor(first / wide)))
-    return pairs.drop("__key", "__b_key")
+        x = a.withColumn("__key", F.explode(F.expr(f"sequence(start div {width}, stop div {width})")))
+        y = b.withColumn("__b_key", F.explode(F.expr(f"sequence(b_start div {width}, b_stop div {width})")))
+        in_first = f"__key = {first} div {width}"
+    on = (F.col("sequence") == F.col("b_sequence")) & (F.col("__key") == F.col("__b_key"))
+    return x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & F.expr(in_first)).drop("__key", "__b_key")
 
 
 def overlaps_literal(df: DataFrame, sequence: str | None, ranges: list[tuple[int, int]], feature: str | None = None) -> DataFrame:

@@ -12,8 +12,11 @@ from spanloom.operators.scoring import scored
 
 
 def last_stop(df: DataFrame) -> DataFrame:
-    """(sequence, upper): the end of each sequence's last row by start."""
-    return df.groupBy("sequence").agg(F.max(F.struct("start", "stop"))["stop"].alias("upper"))
+    """(sequence, upper): the end of each sequence's last row by start, then by end.
+
+    Both are packed in one decimal, whose maximum is kept in a hash table; a struct's would need a sort."""
+    packed = F.expr("cast(start as decimal(18, 0)) * 1000000000000000000BD + stop")
+    return df.groupBy("sequence").agg(F.max(packed).alias("__last")).select("sequence", F.expr("cast(pmod(__last, 1000000000000000000BD) as bigint)").alias("upper"))
 
 
 def fixed_windows(uppers: DataFrame, width: int, step: int) -> DataFrame:

@@ -18,7 +18,7 @@ def ranges(spark, n, seed, longest):
     rng = random.Random(seed)
     rows = []
     for i in range(n):
-        a = rng.randrange(10_000)
+        a = rng.randrange(-2_000, 10_000)
         rows.append((f"chr{rng.randrange(3)}", a, a + rng.choice([0, 1, rng.randrange(longest)]), i))
     return spark.createDataFrame(rows + [("chr0", None, 5, -1), ("chr0", 9, 3, -2), (None, 1, 9, -3)], INTERVAL)
 
