@@ -36,6 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a mark; every document stays, and n_chars follows its text."""
+    ship_package(spark)
     found = secretscan.redact(docs, secretscan.train(docs))
     return found.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
 
@@ -43,7 +44,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of each text, their number, and whether decoding gave the text back."""
     ship_package(spark)
-    found = pieces.encode(docs, model_path())
+    found = pieces.encode(docs.select("doc_id", "text"), model_path())
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

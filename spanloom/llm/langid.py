@@ -121,21 +121,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit([t for _, _, t in got], [k for _, k, _ in got])
 
 
-def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """df with lang_pred, score (the calibrated probability of lang_pred) and rejected.
+def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """df's columns (those in keep, or all) with lang_pred, score (the calibrated probability of lang_pred) and rejected.
 
     A null text or one without a letter is `und` with score 0 and is rejected, and so is every text if the
     model knows no language; other texts are rejected when their score is under the model's threshold.
     Columns of df that have these names are replaced."""
-    kept = [c for c in df.columns if c.lower() not in ("lang_pred", "score", "rejected", "has_letter")]
-    rows = df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
+    kept = [c for c in keep or df.columns if c.lower() not in ("lang_pred", "score", "rejected")]
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`"), F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)))
+    rows = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    shared, at = df.sparkSession.sparkContext.broadcast(model), kept.index(text_col)
+    shared, at = df.sparkSession.sparkContext.broadcast(model), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
-            letter = batch.column(len(kept)).to_numpy(zero_copy_only=False)
+        for batch in (part for whole in batches for part in words.parts(whole, at)):
+            letter = batch.column(at + 1).to_numpy(zero_copy_only=False)
             if m.languages:
                 p = m.probabilities(*words.text_bytes(batch.column(at)))
                 best = p.argmax(axis=1)
@@ -144,6 +145,6 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 letter = np.zeros(len(letter), bool)
                 name, score = np.full(len(letter), UNDETERMINED, object), np.zeros(len(letter))
             name, score = np.where(letter, name, UNDETERMINED), np.where(letter, score, 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score), pa.array(~letter | (score < m.reject))], [*kept, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(name, pa.string()), pa.array(score), pa.array(~letter | (score < m.reject))], [*kept, "lang_pred", "score", "rejected"])
 
     return rows.mapInArrow(run, schema)

@@ -48,7 +48,8 @@ def _sketches(shingle: int, m: int):
 def _set_bytes(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in _sets(batch.column(1), shingle)], pa.binary())], ["id", "set"])
+            for part in words.parts(batch, 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in _sets(part.column(1), shingle)], pa.binary())], ["id", "set"])
 
     return run
 

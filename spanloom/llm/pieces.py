@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanloom.llm import words
+
 SPACE = "▁"
 #: Words kept in each of the two generations of a worker's memo.
 MEMO = 200_000
@@ -288,26 +290,26 @@ def encoder(model_path: str) -> Encoder:
     return Encoder(model_path)
 
 
-def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
-    """df with its texts' ids (array of int) and the text that decoding the ids gives.
+def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """df's columns (those in keep, or all) with its texts' ids (array of int) and the text that decoding the ids gives.
 
     Exactly the sentencepiece library's ids for a BPE model, without begin or end ids; a null text
     counts as empty. Columns of df that have these names are replaced. model_path must be readable by
     every executor. Rows stay in their partitions; nothing is shuffled."""
-    kept = [c for c in df.columns if c.lower() not in (ids_col.lower(), decoded_col.lower())]
+    kept = [c for c in keep or df.columns if c.lower() not in (ids_col.lower(), decoded_col.lower())]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType())), T.StructField(decoded_col, T.StringType())])
-    at = kept.index(text_col)
+    at = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model_path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for part in words.parts(batch, at, 2 << 20):
                 raw = [e.encode(t or "") for t in part.column(at).to_pylist()]
                 ids = [np.frombuffer(x, "<i4") for x in raw]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(raw))]))
                 text = pa.array([e.decode(x) for x in ids], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, column, text], [*kept, ids_col, decoded_col])
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], column, text], [*kept, ids_col, decoded_col])
 
-    return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    rows = df.select(*[F.col(f"`{c}`") for c in [*kept, text_col]])
+    return rows.toDF(*[f"c{i}" for i in range(at + 1)]).mapInArrow(run, schema)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.llm import words
@@ -129,16 +130,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label:
     return fit(*labelled_texts(docs, labels, label, per_label, folds, held_out))
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """df with the share of label 1 among the neighbours of each whole text; null and empty texts are
+def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", keep: list[str] | None = None) -> DataFrame:
+    """df's columns (those in keep, or all) with the share of label 1 among the neighbours of each whole text; null and empty texts are
     compared as texts without words. A column of that name is replaced."""
-    kept = [c for c in df.columns if c.lower() != score_col.lower()]
+    kept = [c for c in keep or df.columns if c.lower() != score_col.lower()]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(score_col, T.DoubleType())])
-    shared, at = df.sparkSession.sparkContext.broadcast(model), kept.index(text_col)
+    shared, at = df.sparkSession.sparkContext.broadcast(model), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m = shared.value
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.vote(m.project(*words.text_bytes(batch.column(at)))))], [*kept, score_col])
+        m = shared.value
+        for batch in (part for whole in batches for part in words.parts(whole, at)):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(m.vote(m.project(*words.text_bytes(batch.column(at)))))], [*kept, score_col])
 
-    return df.select(*[f"`{c}`" for c in kept]).mapInArrow(run, schema)
+    rows = df.select(*[F.col(f"`{c}`") for c in [*kept, text_col]])
+    return rows.toDF(*[f"c{i}" for i in range(at + 1)]).mapInArrow(run, schema)

@@ -101,7 +101,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
     model = langid.train(docs.where(~held_out))
-    found = langid.identify(docs.select("doc_id", "text"), model)
+    found = langid.identify(docs, model, keep=["doc_id"])
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
@@ -114,7 +114,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return _scored(toxicity.score(docs, model), 0.5)
+    return _scored(toxicity.score(docs, model, keep=["doc_id"]), 0.5)
 
 
 def _scored(found: DataFrame, limit: float) -> DataFrame:
@@ -131,7 +131,7 @@ def model_path() -> str:
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pieces.encode(docs, model_path())
+    found = pieces.encode(docs, model_path(), keep=["doc_id"])
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -145,7 +145,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
-    return _scored(quality.score(docs, model), 0.3)
+    return _scored(quality.score(docs, model, keep=["doc_id"]), 0.3)
 
 
 def queries() -> dict:

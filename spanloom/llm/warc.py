@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm import words
 from spanloom.llm.shared import shared_dir, write_table
 
 #: Bytes between two selected records that one read may skip over, and bytes of one read at most.
@@ -32,7 +33,7 @@ def payload_digest(payload: bytes) -> str:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in words.parts(whole, 2)):
         html = [(x.as_buffer() if x.is_valid else None) for x in batch.column(2).cast(pa.binary())]
         digest = [payload_digest(x or b"") for x in html]
         size = [len(x) if x is not None else 0 for x in html]

@@ -62,6 +62,12 @@ def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
         i = min(j, n)
 
 
+def parts(batch: pa.RecordBatch, at: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about `most` bytes in a text column, so that what a task holds stays small."""
+    for i, j in slices(text_bytes(batch.column(at))[1], most):
+        yield batch.slice(i, j - i)
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of maximal runs of kept bytes within each row, and the first run of each row (and their number)."""
     n = len(data)
