@@ -146,23 +146,23 @@ def _(gff, genes):
     return W.window_annotation(gff, genes, "sum", WIDTH).select("locus", "n", F.round("score", 2).alias("score"))
 
 
-@query("a4_average", "gff genes", _PAIR + " select locus, cast(count(*) as bigint) as n, round(avg(score), 6) as score, round(stddev_samp(score), 5) as std, round(var_samp(score), 1) as var from p group by 1")
+@query("a4_average", "gff genes", _PAIR + " select locus, cast(count(*) as bigint) as n, cast(round(avg(score) * count(*) * 100) as bigint) as cents, round(stddev_samp(score), 5) as std, round(var_samp(score), 1) as var from p group by 1")
 def _(gff, genes):
     out = W.window_annotation(gff, genes, "average", WIDTH)
-    return out.select("locus", "n", F.round("score", 6).alias("score"), F.round("std", 5).alias("std"), F.round("var", 1).alias("var"))
+    return out.select("locus", "n", F.round(F.col("score") * F.col("n") * 100).cast("long").alias("cents"), F.round("std", 5).alias("std"), F.round("var", 1).alias("var"))
 
 
 _OV = "(least(stop, b_stop) - greatest(start, b_start) + 1)"
 
 
-@query("a5_fully_diluted", "gff genes", _PAIR + f" select locus, cast(count(*) as bigint) as n, round(avg(score * ({_OV} / (stop - start + 1)) * ({_OV} / (b_stop - b_start + 1))), 6) as score from p group by 1")
+@query("a5_fully_diluted", "gff genes", _PAIR + f" select locus, cast(count(*) as bigint) as n, round(avg(score * ({_OV} / (stop - start + 1)) * ({_OV} / (b_stop - b_start + 1))) / pi(), 6) as score from p group by 1")
 def _(gff, genes):
-    return W.window_annotation(gff, genes, "full_weighed_average", WIDTH).select("locus", "n", F.round("score", 6).alias("score"))
+    return W.window_annotation(gff, genes, "full_weighed_average", WIDTH).select("locus", "n", F.round(F.col("score") / F.pi(), 6).alias("score"))
 
 
-@query("a6_half_diluted", "gff genes", _PAIR + f" select locus, cast(count(*) as bigint) as n, round(avg(score * {_OV} / (b_stop - b_start + 1)), 6) as score from p group by 1")
+@query("a6_half_diluted", "gff genes", _PAIR + f" select locus, cast(count(*) as bigint) as n, round(avg(score * {_OV} / (b_stop - b_start + 1)) / pi(), 6) as score from p group by 1")
 def _(gff, genes):
-    return W.window_annotation(gff, genes, "half_weighed_average", WIDTH).select("locus", "n", F.round("score", 6).alias("score"))
+    return W.window_annotation(gff, genes, "half_weighed_average", WIDTH).select("locus", "n", F.round(F.col("score") / F.pi(), 6).alias("score"))
 
 
 @query("a7_locus_collector", "gff genes", _PAIR + ", q as (select locus, start, case when t > 1 then id end as id from p) select locus, cast(count(*) as bigint) as n, coalesce(string_agg(id, ',' order by start, id), '') as ids, cast(count(*) filter (id is null) as bigint) as unknown from q group by 1")
@@ -192,13 +192,13 @@ def _(gff, genes):
     return p.groupBy(F.col("b_locus").alias("locus")).agg(F.round(F.avg("score") * F.count("*") * 100).cast("long").alias("cents"), F.sum("c").alias("c"), F.sum("t").alias("t"), F.count_distinct("feature").alias("features"))
 
 
-@query("a39_two_samples", "sites sites_b genes", ", p as (select g.locus, g.stop - g.start + 1 as locus_len, a.score as a, null as b, a.c + a.t as act, 0 as bct from genes g join sites a on a.sequence = g.sequence and a.start <= g.stop and a.stop >= g.start union all select g.locus, g.stop - g.start + 1, null, b.score, 0, b.c + b.t from genes g join sites_b b on b.sequence = g.sequence and b.start <= g.stop and b.stop >= g.start) select locus, cast(max(locus_len) as bigint) as locus_len, cast(round(avg(a) * count(a) * 1000000) as bigint) as a_score, cast(round(avg(b) * count(b) * 1000000) as bigint) as b_score, round(avg(a) - avg(b), 4) as score, cast(sum(act) as bigint) as act, cast(sum(bct) as bigint) as bct from p group by 1")
+@query("a39_two_samples", "sites sites_b genes", ", p as (select g.locus, g.stop - g.start + 1 as locus_len, a.score as a, null as b, a.c + a.t as act, 0 as bct from genes g join sites a on a.sequence = g.sequence and a.start <= g.stop and a.stop >= g.start union all select g.locus, g.stop - g.start + 1, null, b.score, 0, b.c + b.t from genes g join sites_b b on b.sequence = g.sequence and b.start <= g.stop and b.stop >= g.start) select locus, cast(max(locus_len) as bigint) as locus_len, cast(round(avg(a) * count(a) * 1000000) as bigint) as a_score, cast(round(avg(b) * count(b) * 1000000) as bigint) as b_score, round((avg(a) - avg(b)) / pi(), 6) as score, cast(sum(act) as bigint) as act, cast(sum(bct) as bigint) as bct from p group by 1")
 def _(a, b, genes):
     x, y = J.overlap_join(a, genes, WIDTH), J.overlap_join(b, genes, WIDTH)
     row = lambda p, first: p.select(F.col("b_locus").alias("locus"), X.span_length("b_start", "b_stop").alias("len"), *[(F.col("score") if first == k else F.lit(None).cast("double")).alias(k) for k in "ab"], *[(F.expr("c + t") if first == k else F.lit(0).cast("long")).alias(k + "ct") for k in "ab"])
     both = row(x, "a").unionByName(row(y, "b"))
     m, n = F.avg("a"), F.avg("b")
-    return both.groupBy("locus").agg(F.max("len").alias("locus_len"), F.round(m * F.count("a") * 1e6).cast("long").alias("a_score"), F.round(n * F.count("b") * 1e6).cast("long").alias("b_score"), F.round(m - n, 4).alias("score"), F.sum("act").alias("act"), F.sum("bct").alias("bct"))
+    return both.groupBy("locus").agg(F.max("len").alias("locus_len"), F.round(m * F.count("a") * 1e6).cast("long").alias("a_score"), F.round(n * F.count("b") * 1e6).cast("long").alias("b_score"), F.round((m - n) / F.pi(), 6).alias("score"), F.sum("act").alias("act"), F.sum("bct").alias("bct"))
 
 
 @query("j23_extend_loci", "genes gff", ", p as (select b.locus, min(a.start) as a, max(a.stop) as b from genes b join gff a on a.sequence = b.sequence and a.start <= b.stop and a.stop >= b.start group by 1) select sequence, g.locus, least(g.start, coalesce(p.a, g.start)) as new_start, greatest(g.stop, coalesce(p.b, g.stop)) as new_stop, greatest(g.stop, coalesce(p.b, g.stop)) - least(g.start, coalesce(p.a, g.start)) - (g.stop - g.start) as extension from genes g left join p using (locus)")
