@@ -220,9 +220,9 @@ def _(sites, genes):
     return J.best_per(J.overlap_join(sites, box, WIDTH), ["id"], ["b_start", "b_locus"]).select("id", F.col("b_locus").alias("locus"))
 
 
-@query("w7_ends_profile", "gff genes", _REG0 + ", p as (select f.locus, f.strand, cast(floor((a.start - (f.anchor - 20 * 5)) / 20) as bigint) as bin, a.score * ((least(a.stop, f.flag_stop) - greatest(a.start, f.flag_start) + 1) / (a.stop - a.start + 1)) as s from gff a join f on a.sequence = f.sequence and a.start <= f.flag_stop and a.stop >= f.flag_start), q as (select locus, case when strand = '-' then 9 - bin else bin end as bin, s from p where bin >= 0 and bin < 10) select locus, bin, round(avg(s), 6) as score, cast(count(*) as bigint) as n from q group by 1, 2")
+@query("w7_ends_profile", "gff genes", _REG0 + ", p as (select f.locus, f.strand, cast(floor((a.start - (f.anchor - 20 * 5)) / 20) as bigint) as bin, a.score * ((least(a.stop, f.flag_stop) - greatest(a.start, f.flag_start) + 1) / (a.stop - a.start + 1)) as s from gff a join f on a.sequence = f.sequence and a.start <= f.flag_stop and a.stop >= f.flag_start), q as (select locus, case when strand = '-' then 9 - bin else bin end as bin, s from p where bin >= 0 and bin < 10) select locus, bin, round(avg(s) / pi(), 4) as score, cast(count(*) as bigint) as n from q group by 1, 2")
 def _(gff, genes):
-    return W.ends_bins(gff, W.offset_regions(genes, 100, True), 100, 20, WIDTH).withColumn("score", F.round("score", 6))
+    return W.ends_bins(gff, W.offset_regions(genes, 100, True), 100, 20, WIDTH).withColumn("score", F.round(F.col("score") / F.pi(), 4))
 
 
 @query("p9_read_filter", "gff genes", _PAIR + " select id, ln, locus from p where strand = '+' and (least(stop, b_stop) - greatest(start, b_start) + 1) >= 0.7 * (stop - start + 1) and c >= 20")
