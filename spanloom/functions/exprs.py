@@ -174,11 +174,17 @@ def format_g(x) -> Column:
     """A number as %g writes it: six significant digits, no trailing zeros, an exponent
     under -4 or over 5. Halves of the shortest decimal form are rounded up."""
     x = _c(x).cast("double")
-    digits = F.format_string("%.5e", x)
-    e = F.regexp_extract(digits, r"e([+-]\d+)$", 1).try_cast("int")
-    mantissa = F.regexp_replace(F.regexp_replace(F.split(digits, "e")[0], "0+$", ""), "[.]$", "")
-    wide = F.concat(mantissa, F.lit("e"), F.regexp_extract(digits, r"e([+-])", 1), F.when(F.abs(e) < 10, F.concat(F.lit("0"), F.abs(e).cast("string"))).otherwise(F.abs(e).cast("string")))
-    places = F.greatest(F.lit(0), 5 - e)
-    fixed = F.coalesce(*[F.when(places == k, F.format_string(f"%.{k}f", x)) for k in range(0, 11)])
-    fixed = F.when(F.instr(fixed, ".") > 0, F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), "[.]$", "")).otherwise(fixed)
-    return F.when(x.isNotNull() & (x == 0), F.lit("0")).when((e < -4) | (e >= 6), wide).when(x.isNotNull(), fixed)
+
+    def spelled(d: Column) -> Column:
+        """From d = -d.ddddde+ee: the six digits with a point moved to its place."""
+        m = F.translate(F.regexp_extract(d, r"^-?([0-9.]+)e", 1), ".", "")
+        e = F.regexp_extract(d, r"e([+-]\d+)$", 1).try_cast("int")
+        strip = lambda t: F.regexp_replace(t, r"[.]?0*$", "")
+        part = lambda a, n: F.substring(m, a, n)
+        wide = F.concat(strip(F.concat(part(F.lit(1), F.lit(1)), F.lit("."), part(F.lit(2), F.lit(9)))), F.regexp_extract(d, r"(e[+-]\d+)$", 1))
+        plain = F.when(e >= 0, F.concat(part(F.lit(1), e + 1), F.lit("."), part(e + 2, F.lit(9)))).otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), m))
+        return F.concat(F.when(d.startswith("-"), "-").otherwise(""), F.when((e < -4) | (e >= 6), wide).otherwise(strip(plain)))
+
+    # an array of one binds the digits, so they are written once
+    text = F.transform(F.array(F.format_string("%.5e", x)), spelled)[0]
+    return F.when(x.isNotNull(), F.when(x == 0, F.lit("0")).otherwise(text))
