@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import decontam, langid, neardup, pieces, secretscan
 from spanloom.llm.registry import model_path
-from spanloom.llm.shared import write_table
+from spanloom.llm.shared import without_ids, write_table
 from spanloom.session import ship_package
 
 
@@ -31,7 +31,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drops documents that hold ten consecutive words of a benchmark item, or all words of a shorter one."""
     ship_package(spark)
     found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10)
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, "doc_id", found.where("contaminated")).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

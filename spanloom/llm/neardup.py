@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import sketch, words
 from spanloom.llm.components import connected_components
-from spanloom.llm.shared import broadcast_if_small, drop_table, write_table
+from spanloom.llm.shared import broadcast_if_small, drop_table, without_ids, write_table
 
 REGISTERS, ROWS = 128, 4
 #: Buckets of more members are checked by blocks that carry the sets. A task holds two blocks: of about
@@ -221,5 +221,4 @@ def near_duplicates(
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """Rows of df, one document of each group: that with the smallest id. Rows of null id stay."""
-    gone = near_duplicates(df, id_col, text_col, shingle, percent).where("not kept").select(id_col)
-    return df.join(gone, id_col, "left_anti")
+    return without_ids(df, id_col, near_duplicates(df, id_col, text_col, shingle, percent).where("not kept"), BROADCAST_IDS)

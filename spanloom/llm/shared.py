@@ -45,9 +45,8 @@ def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """name, with underscores added until no column of df has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
+    """df without the rows whose id is in ids. The ids are written and counted first: up to most_rows (16 MB of
+    longs) they are broadcast and the rows of df stay where they are; more are joined by a shuffle."""
+    gone = write_table(ids.select(id_col).distinct(), "ids")
+    return df.join(broadcast_if_small(gone, most_rows), id_col, "left_anti")

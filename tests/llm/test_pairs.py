@@ -201,3 +201,14 @@ def test_warc_members_are_records(spark):
     text = gzip.decompress(raw[row.offset : row.offset + row.length])
     assert text.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and text.endswith(b"<p>\r\n\r\n")
     assert row.digest == warc.base64.b32encode(hashlib.sha1(b"<p>").digest()).decode()
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_rows_without_ids(odd, most):
+    from spanloom.llm.shared import without_ids
+
+    gone = odd.where("doc_id in (2, 10) or doc_id is null")
+    left = without_ids(odd, "doc_id", gone, most)
+    assert sorted((r.doc_id or -1) for r in left.collect()) == [-1, 1, 3, 4, 5, 6, 7, 8, 9, 12]
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) or most == 0
