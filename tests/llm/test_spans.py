@@ -36,6 +36,23 @@ def test_personal_data_added_spans(spark, docs):
     assert out[0] == "mail [PII] now" and out[3] == texts[3]
 
 
+def test_personal_data_among_other_digits(spark, docs):
+    """Every window of a run is a candidate: cards in a row, a number before a phone, lists, a decoy before a card."""
+    texts = {
+        "x 7536784127813050 4845168114407329 y": [("card", "7536784127813050"), ("card", "4845168114407329")],
+        "Room 12 555-123-4567 now": [("phone", "555-123-4567")],
+        "call 504-555-2652 504-555-9821 212-555-0000 x": [("phone", "504-555-2652"), ("phone", "504-555-9821"), ("phone", "212-555-0000")],
+        "decoy 1234567890123456 4845168114407329 z": [("card", "4845168114407329")],
+        "ssn 123-45-6789 x": [("ssn", "123-45-6789")],
+        "write ann [at] site [dot] org. Then go": [("email", "ann [at] site [dot] org")],
+        "from 2021-03-04 12 to 1999 2000": [],
+        "call 504-555-2652 " * 500: [("phone", "504-555-2652")] * 500,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in pii.find(df, pii.train(docs)).collect():
+        assert [(s.kind, r.text[s.start : s.end]) for s in sorted(r.spans, key=lambda s: s.start)] == texts[r.text]
+
+
 def test_secret_base_spans(rows, docs):
     model = secretscan.train(docs)
     for df in (rows, docs):
