@@ -53,6 +53,16 @@ def test_personal_data_among_other_digits(spark, docs):
         assert [(s.kind, r.text[s.start : s.end]) for s in sorted(r.spans, key=lambda s: s.start)] == texts[r.text]
 
 
+def test_personal_data_model_is_not_taught_by_unlabelled_rows(spark, docs, none):
+    """A corpus of local phones and social security numbers doesn't teach that these are ordinary."""
+    full = spark.range(3000).selectExpr("concat('call (504) 555-', lpad(id, 4, '0'), ' or ssn 123-45-', lpad(id, 4, '1'), ' x') as text")
+    models = [pii.train(df) for df in (full, docs, none)]
+    assert models[0] == models[1] == models[2]
+    assert all(0 < t < 1 for t in models[0].thresholds.values())
+    assert pii.find(full, models[0]).agg({"*": "count"}).first()[0] == 3000
+    assert {tuple(s.kind for s in r.spans) for r in pii.find(full, models[0]).collect()} == {("phone", "ssn")}
+
+
 def test_secret_base_spans(rows, docs):
     model = secretscan.train(docs)
     for df in (rows, docs):
