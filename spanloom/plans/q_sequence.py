@@ -144,8 +144,9 @@ def _(fasta):
 
 @query("f28_simulated_reads", "fasta", None)
 def _(fasta):
-    """Reads with random C to T conversion, for tests."""
-    cut = fasta.select("seq_id", F.explode(F.array(F.substring("seq", 1, 50))).alias("bases"))
+    """Reads of up to 50 bases, one after another over each whole sequence, with random C to T conversion, for tests."""
+    at = fasta.select("seq_id", "seq", F.explode(F.expr("sequence(1, greatest(length(seq), 1), 50)")).alias("at"))
+    cut = at.select("seq_id", F.substring("seq", F.col("at"), F.lit(50)).alias("bases"))
     return cut.select("seq_id", F.array_join(F.transform(F.split("bases", ""), lambda b: F.when((b == "C") & (F.rand(3) < 0.7), "T").otherwise(b)), "").alias("bases"))
 
 
