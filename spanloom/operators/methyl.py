@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import exprs as X
+from spanloom.operators.ordering import Along
 
 #: Positions with more calls than this in sequences other than organelles are masked.
 MASK_ABOVE = 20
@@ -98,8 +99,8 @@ def seeker_counts(calls: DataFrame) -> DataFrame:
 
 def paired_neighbours(single_c: DataFrame) -> DataFrame:
     """Rows with c > 1 of which a neighbouring row has c > 1 too; organelles are left out."""
-    w = Window.partitionBy("sequence").orderBy("start", "stop", "id", "ln")
-    rows = single_c.where(~F.lower("sequence").rlike("^chr[cm]")).withColumn("__l", F.lag("c").over(w)).withColumn("__r", F.lead("c").over(w))
+    rows = Along(single_c.where(~F.lower("sequence").rlike("^chr[cm]")), ["sequence"], ["start", "stop", "id", "ln"])
+    rows = rows.neighbour("c", "__l").neighbour("c", "__r", following=True).done()
     return rows.where("c > 1 and (coalesce(__l, 0) > 1 or coalesce(__r, 0) > 1)").drop("__l", "__r")
 
 

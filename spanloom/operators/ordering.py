@@ -1,18 +1,79 @@
-"""Running totals over a whole table without one task that holds it."""
+"""Sums, neighbours and reaches along an order without one task that holds a table or a group.
+
+A table is dealt once by ranges of its order. Within a range, windows do the work; what a row needs from
+the ranges before or after it is carried over by a table of one row for each range and group.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.storage import write_table
+
+#: Rows of a range (about); a table of fewer stays one range.
+RANGE_ROWS = 200_000
+PART = "__part"
+
+
+def ranged(df: DataFrame, order: list[str], rows: int | None = None) -> tuple[DataFrame, int]:
+    """(df with the number of its range in __part, number of ranges).
+
+    The ranges are cut once, on a table that is written: a plan that deals the same rows twice may cut them at other
+    places each time. Their number comes from a count."""
+    parts = -(-df.count() // (rows or RANGE_ROWS))
+    if parts <= 1:
+        return df.withColumn(PART, F.lit(0)), 1
+    return write_table(df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), "ranges"), parts
+
+
+class Along:
+    """Windows over the rows of each group in a total order, by ranges.
+
+    Rows are dealt by ranges of (keys, order), so a group's rows lie in neighbouring ranges; each method adds a column."""
+
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], rows: int | None = None):
+        self.keys, self.order = keys, order
+        self.rows, self.parts = ranged(df, [*keys, *order], rows)
+        self.here = Window.partitionBy(PART, *keys).orderBy(*order)
+        self.ranges = Window.partitionBy(*keys).orderBy(PART)
+
+    def _add(self, name: str, local: Column, own: Column, carried, both) -> Along:
+        """Adds both(local, carried(own of each of the group's ranges)); a single range has nothing to carry."""
+        if self.parts == 1:
+            self.rows = self.rows.withColumn(name, both(local, None))
+            return self
+        groups = [f"__g{i}" for i in range(len(self.keys))]
+        table = self.rows.groupBy(PART, *self.keys).agg(own.alias("__own"))
+        table = table.withColumn("__carried", carried(F.col("__own"))).drop("__own").toDF("__p", *groups, "__carried")
+        on = self.rows[PART] == table["__p"]
+        for g, k in zip(groups, self.keys):
+            on = on & self.rows[k].eqNullSafe(table[g])
+        self.rows = self.rows.join(table, on).withColumn(name, both(local, F.col("__carried"))).drop("__p", *groups, "__carried")
+        return self
+
+    def total(self, value: str, name: str, before: bool = False) -> Along:
+        """The sum of a column over the group's rows up to this one, or (before) over those ahead of it; 0 for none."""
+        local = F.sum(value).over(self.here.rowsBetween(Window.unboundedPreceding, -1 if before else 0))
+        nought = lambda x: F.lit(0) if x is None else F.coalesce(x, F.lit(0))
+        return self._add(name, local, F.sum(value), lambda own: F.sum(own).over(self.ranges.rowsBetween(Window.unboundedPreceding, -1)), lambda x, y: nought(x) + nought(y))
+
+    def highest_before(self, value: str, name: str) -> Along:
+        """The highest value of the group's rows ahead of this one; null for none."""
+        ahead = Window.unboundedPreceding, -1
+        local = F.max(value).over(self.here.rowsBetween(*ahead))
+        return self._add(name, local, F.max(value), lambda own: F.max(own).over(self.ranges.rowsBetween(*ahead)), lambda x, y: x if y is None else F.greatest(x, y))
+
+    def neighbour(self, value: str, name: str, following: bool = False) -> Along:
+        """The value of the row ahead of this one, or of the following one; null for none."""
+        edge, step = (F.min_by, F.lead) if following else (F.max_by, F.lag)
+        held = F.struct(F.col(value).alias("v"))
+        return self._add(name, step(held).over(self.here), edge(held, F.struct(*self.order)), lambda own: step(own).over(self.ranges), lambda x, y: (x if y is None else F.coalesce(x, y))["v"])
+
+    def done(self) -> DataFrame:
+        return self.rows.drop(PART)
 
-def running_total(df: DataFrame, order: list[str], value: str, name: str, parts: int = 32) -> DataFrame:
-    """df with the sum of `value` over all rows up to this one in the given (total) order.
 
-    Rows are dealt by ranges of the order and summed within each range; what goes before a range is the sum of
-    the earlier ranges' totals, of which there are `parts`."""
-    cut = df.repartitionByRange(parts, *order).withColumn("__rt_part", F.spark_partition_id())
-    local = cut.withColumn("__rt_sum", F.sum(value).over(Window.partitionBy("__rt_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    totals = cut.groupBy("__rt_part").agg(F.sum(value).alias("__rt_all"))
-    before = totals.withColumn("__rt_before", F.coalesce(F.sum("__rt_all").over(Window.orderBy("__rt_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__rt_part", "__rt_before")
-    return local.join(F.broadcast(before), "__rt_part").withColumn(name, F.col("__rt_before") + F.col("__rt_sum")).drop("__rt_part", "__rt_sum", "__rt_before")
+def running_total(df: DataFrame, order: list[str], value: str, name: str, rows: int | None = None) -> DataFrame:
+    """df with the sum of `value` over all rows up to this one in the given (total) order."""
+    return Along(df, [], order, rows).total(value, name).done()

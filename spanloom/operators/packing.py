@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.shared import write_table
-from spanloom.operators.ordering import running_total
+from spanloom.storage import write_table
+from spanloom.operators.ordering import ranged, running_total
 
 
 def pack_in_order(df: DataFrame, sequence: str, order: list[str], length: str, least: int) -> DataFrame:
@@ -42,13 +42,13 @@ def pack_in_order(df: DataFrame, sequence: str, order: list[str], length: str, l
     return out.withColumn("pack_end", F.col("pack_offset") + F.col(length))
 
 
-def _next_starts(rows: DataFrame, least: int, parts: int = 32) -> DataFrame:
+def _next_starts(rows: DataFrame, least: int) -> DataFrame:
     """(__k, __next): the first row of the same sequence that has `least` or more between its start and row __k's.
 
     Rows and the places looked for are sorted together by ranges; each place takes the first row behind it, from a
     later range by a table of the ranges' first rows."""
     both = rows.select("__seq", "__at", F.lit(1).alias("__is_row"), "__k").unionByName(rows.select("__seq", (F.col("__at") + least).alias("__at"), F.lit(0).alias("__is_row"), "__k"))
-    cut = write_table(both.repartitionByRange(parts, "__seq", "__at", "__is_row", "__k").withColumn("__part", F.spark_partition_id()), "packing")
+    cut, _ = ranged(both, ["__seq", "__at", "__is_row", "__k"])
     place = F.when(F.col("__is_row") == 1, F.struct("__k", "__seq"))
     behind = Window.partitionBy("__part").orderBy("__seq", "__at", "__is_row", "__k").rowsBetween(0, Window.unboundedFollowing)
     found = cut.withColumn("__here", F.first(place, ignorenulls=True).over(behind))

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from spanloom.operators.ordering import Along
+
+
 def _cells() -> tuple[Column, ...]:
     return tuple(F.col(f"n{k}").cast("double") for k in ("11", "12", "21", "22"))
 
@@ -104,13 +107,13 @@ def bin_profile(bins: DataFrame) -> DataFrame:
 def bin_quartiles(bins: DataFrame) -> DataFrame:
     """Mean and the elements int(n * q) of each bin's sorted scores, q = 1/4, 1/2, 3/4.
 
-    Ranks are counted in a window instead of collecting a bin's scores in one array."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("bin").orderBy("score", "locus")
-    ranked = bins.where("score is not null").withColumn("__k", F.row_number().over(w) - 1).withColumn("__n", F.count("*").over(Window.partitionBy("bin")))
-    pick = lambda q: F.max(F.when(F.col("__k") == F.floor(F.col("__n") * q), F.col("score")))
-    return ranked.groupBy("bin").agg(F.avg("score").alias("mean"), pick(0.25).alias("q1"), pick(0.5).alias("q2"), pick(0.75).alias("q3"), F.count("*").alias("n"))
+    Ranks are running totals by ranges of (bin, score), so no task holds a bin."""
+    rows = bins.where("score is not null").withColumn("__one", F.lit(1))
+    ranked = Along(rows, ["bin"], ["score", "locus"]).total("__one", "__k", before=True).done()
+    size = rows.groupBy(F.col("bin").alias("__bin")).agg(F.count("*").alias("n"), F.avg("score").alias("mean"))
+    ranked = ranked.join(size, F.col("bin").eqNullSafe(F.col("__bin")))
+    pick = lambda q: F.max(F.when(F.col("__k") == F.floor(F.col("n") * q), F.col("score")))
+    return ranked.groupBy("bin").agg(F.first("mean").alias("mean"), pick(0.25).alias("q1"), pick(0.5).alias("q2"), pick(0.75).alias("q3"), F.first("n").alias("n"))
 
 
 def weighted_vector(df: DataFrame, vector: str, weight: str) -> DataFrame:

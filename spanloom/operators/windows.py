@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import exprs as X
 from spanloom.operators.joins import BIN, overlap_join
-from spanloom.operators.ordering import running_total
+from spanloom.operators.ordering import Along, running_total
 from spanloom.operators.scoring import scored
 
 
@@ -64,38 +64,47 @@ def sliding_by_start(df: DataFrame, width: int, step: int) -> DataFrame:
     return out.withColumn("score", F.try_divide("sum_c", F.expr("sum_c + sum_t")))
 
 
-def by_coordinate(*more: str) -> Window:
-    return Window.partitionBy("sequence").orderBy("start", "stop", *more)
+def by_coordinate(df: DataFrame, *more: str) -> Along:
+    """The rows of each sequence by start and end; `more` completes the order."""
+    return Along(df, ["sequence"], ["start", "stop", *more])
 
 
-def islands(df: DataFrame, distance: int, *more: str, also: Column | None = None) -> DataFrame:
-    """df with an island number for each sequence: a row starts a new one if it begins more than `distance`
-    after all rows before it end, or where `also` holds. `more` completes the order."""
-    w = by_coordinate(*more)
-    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = reach.isNull() | (F.col("start") - reach > distance)
+def _islands(along: Along, distance: int, also: Column | None = None) -> DataFrame:
+    new = F.col("__reach").isNull() | (F.col("start") - F.col("__reach") > distance)
     if also is not None:
         new = new | F.coalesce(also, F.lit(False))
-    return df.withColumn("__new", new.cast("int")).withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    along.highest_before("stop", "__reach")
+    along.rows = along.rows.withColumn("__new", new.cast("int"))
+    return along.total("__new", "island").done().drop("__reach", "__new")
+
+
+def islands(df: DataFrame, distance: int, *more: str) -> DataFrame:
+    """df with an island number for each sequence: a row starts a new one if it begins more than `distance`
+    after all rows before it end. `more` completes the order."""
+    return _islands(by_coordinate(df, *more), distance)
+
 
+def merge_adjacent(df: DataFrame, distance: int, *more: str, log: bool = False, keys: list[str] | None = None) -> DataFrame:
+    """Islands as single rows: bounds, rows, and the sum of scores (of powers of two if they are logarithms).
 
-def merge_adjacent(df: DataFrame, distance: int, *more: str, log: bool = False) -> DataFrame:
-    """Islands as single rows: bounds, rows, and the sum of scores (of powers of two if they are logarithms)."""
+    keys names columns of attributes: each becomes the comma-joined list of its distinct values, sorted, where an
+    island has one. Lists are as long as an island has different values."""
     score = F.log2(F.sum(F.pow(F.lit(2.0), "score"))) if log else F.sum("score")
-    return islands(df, distance, *more).groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"), score.alias("score")).withColumn("length", X.span_length())
+    lists = [F.nullif(F.array_join(F.array_sort(F.collect_set(F.col(k).cast("string"))), ","), F.lit("")).alias(k) for k in keys or []]
+    return islands(df, distance, *more).groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"), score.alias("score"), *lists).withColumn("length", X.span_length())
 
 
 def collapse_adjacent(df: DataFrame, distance: int, tolerance: float, *more: str) -> DataFrame:
     """Rows joined to the one before while they are near and their scores differ by at most `tolerance`."""
-    w = by_coordinate(*more)
-    apart = F.abs(F.col("score") - F.lag("score").over(w)) > tolerance
-    return islands(df.withColumn("__apart", apart), distance, *more, also=F.col("__apart")).groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.avg("score").alias("score"), F.count("*").alias("n"))
+    along = by_coordinate(df, *more).neighbour("score", "__before")
+    rows = _islands(along, distance, F.abs(F.col("score") - F.col("__before")) > tolerance)
+    return rows.groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.avg("score").alias("score"), F.count("*").alias("n"))
 
 
 def gaps(df: DataFrame, *more: str) -> DataFrame:
     """Stretches between rows, and before the first one: [end before + 1, start - 1], with score 0."""
-    reach = F.max("stop").over(by_coordinate(*more).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("__reach", F.coalesce(reach, F.lit(0).cast("long"))).where("start > __reach + 1").select("sequence", (F.col("__reach") + 1).alias("start"), (F.col("start") - 1).alias("stop"), F.lit(0.0).alias("score"))
+    rows = by_coordinate(df, *more).highest_before("stop", "__reach").done()
+    return rows.withColumn("__reach", F.coalesce("__reach", F.lit(0).cast("long"))).where("start > __reach + 1").select("sequence", (F.col("__reach") + 1).alias("start"), (F.col("start") - 1).alias("stop"), F.lit(0.0).alias("score"))
 
 
 def partition_slices(df: DataFrame, column: str, parts: int, *more: str) -> DataFrame:
@@ -110,8 +119,9 @@ def offset_regions(loci: DataFrame, distance: int, five_prime: bool, strategy: i
     """Regions around the 5' or 3' ends. Strategy 0: end -+ distance; 2: also not beyond the locus's other end
     nor into its neighbours; 6: also keep_off bases away from the other end. A missing neighbour bounds nothing,
     unless drop_last asks for the loss of each sequence's last locus. Regions turned round are left out."""
-    w = by_coordinate("locus")
-    previous, following = F.lag("stop").over(w), F.lead("start").over(w)
+    if strategy in (2, 6):
+        loci = by_coordinate(loci, "locus").neighbour("stop", "__previous").neighbour("start", "__following", following=True).done()
+    previous, following = F.col("__previous"), F.col("__following")
     plus = F.col("strand") != "-"
     at_start = plus if five_prime else ~plus
     anchor = F.when(at_start, F.col("start")).otherwise(F.col("stop"))
@@ -123,7 +133,7 @@ def offset_regions(loci: DataFrame, distance: int, five_prime: bool, strategy: i
     elif strategy != 0:
         raise ValueError(f"stop strategy {strategy} is not defined")
     out = loci.withColumn("anchor", anchor).withColumn("flag_start", low).withColumn("flag_stop", high)
-    return out.where("flag_start <= flag_stop")
+    return out.where("flag_start <= flag_stop").drop("__previous", "__following")
 
 
 def ends_bins(df: DataFrame, regions: DataFrame, distance: int, bin_width: int, width: int = BIN) -> DataFrame:
@@ -147,8 +157,7 @@ def dense_bins(bins: DataFrame, loci: DataFrame, n: int) -> DataFrame:
 
 def running_offset(df: DataFrame, group: str, order: list[str], length: str) -> DataFrame:
     """df with the sum of the lengths of the rows before it in its group."""
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("offset", F.coalesce(F.sum(length).over(w), F.lit(0)).cast("long"))
+    return Along(df, [group], order).total(length, "offset", before=True).done().withColumn("offset", F.col("offset").cast("long"))
 
 
 def frequency_windows(df: DataFrame, width: int, every_base: bool = False) -> DataFrame:
@@ -163,9 +172,9 @@ def frequency_windows(df: DataFrame, width: int, every_base: bool = False) -> Da
 
 def is_sorted(df: DataFrame, column: str, order: list[str], strict: bool = False) -> DataFrame:
     """(sequence, sorted): whether a column never falls (or always rises) in the given order."""
-    w = Window.partitionBy("sequence").orderBy(*order)
-    bad = F.lag(column).over(w) >= F.col(column) if strict else F.lag(column).over(w) > F.col(column)
-    return df.withColumn("__bad", F.coalesce(bad, F.lit(False))).groupBy("sequence").agg((F.count_if("__bad") == 0).alias("sorted"))
+    rows = Along(df, ["sequence"], order).neighbour(column, "__before").done()
+    bad = F.col("__before") >= F.col(column) if strict else F.col("__before") > F.col(column)
+    return rows.withColumn("__bad", F.coalesce(bad, F.lit(False))).groupBy("sequence").agg((F.count_if("__bad") == 0).alias("sorted"))
 
 
 def extend_loci(loci: DataFrame, windows: DataFrame, width: int = BIN) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from spanloom.functions import exprs as X
 from spanloom.operators import joins as J
 from spanloom.operators import relational as R
-from spanloom.operators.windows import by_coordinate  # noqa: F401
 from spanloom.plans.book import query
 
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import exprs as X
@@ -9,7 +10,7 @@ from spanloom.operators import methyl as M
 from spanloom.operators import seqops as Q
 from spanloom.operators import stats as S
 from spanloom.operators import windows as W
-from spanloom.operators.ordering import running_total
+from spanloom.operators.ordering import Along, running_total
 
 INTERVAL = "sequence string, start long, stop long, id long"
 
@@ -55,13 +56,38 @@ def test_windows_share_out_single_bases(spark):
 
 def test_running_total(spark):
     rows = [(i, i % 7) for i in range(500)]
-    got = {r.k: r.s for r in running_total(spark.createDataFrame(rows, "k long, v long").repartition(9), ["k"], "v", "s", 5).collect()}
+    got = {r.k: r.s for r in running_total(spark.createDataFrame(rows, "k long, v long").repartition(9), ["k"], "v", "s", 60).collect()}
     s = 0
     for k, v in rows:
         s += v
         assert got[k] == s
 
 
+def test_running_total_of_a_large_table_with_other_columns(spark):
+    """Skewed keys, columns beside the order, and several ranges: every row number comes once."""
+    n = 1_200_000
+    df = spark.range(0, n, 1, 12).selectExpr("case when id % 3 = 0 then 7 else xxhash64(id) % 1000 end as k", "id", "repeat('x', int(id % 9)) as text", "1 as one")
+    out = running_total(df, ["k", "id"], "one", "n", 150_000)
+    r = out.agg(F.count_distinct("n").alias("d"), F.max("n").alias("m"), F.sum(F.length("text")).alias("t")).first()
+    assert (r.d, r.m, r.t) == (n, n, sum(i % 9 for i in range(n)))
+    first = out.orderBy("n").limit(3).collect()
+    assert [(x.k, x.id) for x in first] == [(x.k, x.id) for x in df.orderBy("k", "id").limit(3).collect()]
+
+
+@pytest.mark.parametrize("rows", [10**6, 7])
+def test_along_ranges_equals_plain_windows(spark, rows):
+    """Sums, reaches and neighbours in one range and in many, with a hot group, a null group and null values."""
+    rng = random.Random(8)
+    data = [(rng.choice(["hot", "hot", "hot", "a", None]), i * 3 % 101, i, rng.choice([None, 1, 2, 30])) for i in range(150)]
+    df = spark.createDataFrame(data, "sequence string, start long, id long, v long")
+    got = Along(df, ["sequence"], ["start", "id"], rows).total("v", "s").total("v", "b", before=True).highest_before("v", "h").neighbour("v", "l").neighbour("v", "f", following=True).done()
+    w = Window.partitionBy("sequence").orderBy("start", "id")
+    ahead = w.rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumns({"s": F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)), "b": F.coalesce(F.sum("v").over(ahead), F.lit(0)), "h": F.max("v").over(ahead), "l": F.lag("v").over(w), "f": F.lead("v").over(w)})
+    key = lambda r: r.id
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=lambda r: r[2]) == [tuple(r) for r in sorted(want.collect(), key=key)]
+
+
 def test_reverse_complement_twice(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet").select(F.translate("text", "bdefhijklmnopqrsuvwxyz", "ACGTACGTACGTACGTACGTAC").alias("s"))
     assert df.where(X.reverse_complement(X.reverse_complement("s")) != F.col("s")).count() == 0
