@@ -1,48 +1,12 @@
-"""Tables in the folder that driver and executors share."""
+"""Tables in the shared folder, and rows left out by id."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from spanloom.storage import broadcast_if_small, drop_table, shared_dir, write_table
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), a new local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jdir.get() if jdir.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spanloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: its lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_table(df: DataFrame) -> None:
-    """Deletes the files of a table made by write_table()."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
-    """df with a broadcast hint if a count shows at most most_rows rows, else df for a shuffled join.
-
-    df is counted here, so it should be a written table."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+__all__ = ["broadcast_if_small", "drop_table", "shared_dir", "without_ids", "write_table"]
 
 
 def without_ids(df: DataFrame, id_col: str, ids: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
