@@ -6,6 +6,7 @@ class of ASCII separators splits bytes exactly as it splits characters.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,9 @@ ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 SOLID = np.ones(256, bool)
 SOLID[9:14] = SOLID[32] = False
 
-_BLOCK = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: list[np.ndarray] = []
+#: What is left of eight bytes read at a word of n bytes.
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,27 +85,34 @@ def spans(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> tuple[np.n
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 2 * _BLOCK)
-        _powers[:] = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, _INVERSE)]
-    return _powers[0], _powers[1]
-
-
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit number for each word: a polynomial of random codes of its bytes, mixed."""
-    out = np.empty(len(starts), np.uint64)
-    i, n = 0, len(starts)
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _BLOCK)))
-        lo, hi = starts[i], ends[j - 1]
-        power, inverse = _power(int(hi - lo))
-        total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_CODE[data[lo:hi]] * power[: hi - lo], out=total[1:])
-        a = starts[i:j] - lo
-        out[i:j] = (total[ends[i:j] - lo] - total[a]) * inverse[a]
-        i = j
-    return mix(out)
+    """A 64-bit number for each word, by its length and bytes: mixed eight bytes at a time up to 16 bytes, and a
+    cryptographic hash of longer words."""
+    size = ends - starts
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).tobytes(), 0, (1,))
+    out = mix(size.astype(np.uint64) * _BASE ^ (eight[starts] & _MASK[np.minimum(size, 8)]))
+    long_ = np.flatnonzero(size > 8)
+    out[long_] = mix(out[long_] * _BASE + (eight[starts[long_] + 8] & _MASK[np.minimum(size[long_] - 8, 8)]))
+    for i in np.flatnonzero(size > 16).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
+
+
+def normal(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> list[bytes]:
+    """Each row's words with one blank between two of them."""
+    starts, ends, bounds = spans(data, offsets, keep)
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    inside = np.cumsum(inside[:-1]) > 0
+    # the byte behind a word is its separator, if another word of the row follows
+    last = np.zeros(len(starts), bool)
+    last[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
+    text = np.where(inside, data, np.uint8(32))
+    inside[ends[~last]] = True
+    place = np.concatenate(([0], np.cumsum(inside)))
+    text = text[inside].tobytes()
+    return [text[a:b] for a, b in zip(place[offsets[:-1]].tolist(), place[offsets[1:]].tolist())]
 
 
 def shingles(word: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -127,3 +133,54 @@ def shingles(word: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[np.ndarra
             yield mix(h)
         else:
             yield none
+
+
+def numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a number for each word, the first word of each number): numbers are equal just where the words' bytes are
+    equal, whatever their fingerprints."""
+    _, first, number = np.unique(fingerprints(data, starts, ends), return_index=True, return_inverse=True)
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).tobytes(), 0, (1,))
+    size, like = ends - starts, first[number]
+    same = size == size[like]
+    for k in (0, 8):
+        some = np.flatnonzero(same & (size > k))
+        mask = _MASK[np.minimum(size[some] - k, 8)]
+        same[some] = (eight[starts[some] + k] & mask) == (eight[starts[like[some]] + k] & mask)
+    for i in np.flatnonzero(same & (size > 16) & (like != np.arange(len(like)))).tolist():
+        same[i] = data[starts[i] : ends[i]].tobytes() == data[starts[like[i]] : ends[like[i]]].tobytes()
+    if same.all():
+        return number, first
+    known: dict[bytes, int] = {}
+    number = np.array([known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(starts, ends)], np.int64)
+    return number, np.unique(number, return_index=True)[1]
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the words one behind the other."""
+    offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
+    return data[np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])], offsets
+
+
+def exact_shingles(texts: list[bytes], k: int) -> list[np.ndarray]:
+    """For each text of words with single blanks, its sorted distinct k-word shingles as numbers that are equal
+    within this call just where the words are equal; a text of fewer words has its whole sequence as the one."""
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))).astype(np.int64)
+    offsets[-1] = max(0, offsets[-1] - 1)
+    blank = np.ones(256, bool)
+    blank[32] = False
+    starts, ends, bounds = spans(data, np.minimum(offsets, len(data)), blank)
+    word, first = numbers(data, starts, ends)
+    every, n = word.astype(np.int64), len(first)
+    for i in range(1, k):
+        every = every[: len(word) - i]
+        if n and len(every) and int(every.max()) >= (1 << 62) // n:
+            every = np.unique(every, return_inverse=True)[1]
+        every = every * n + word[i:]
+    out, short = [], {}
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if b - a >= k:
+            out.append(np.unique(every[a : b - k + 1]))
+        else:
+            out.append(np.array([-1 - short.setdefault(tuple(word[a:b].tolist()), len(short))] if b > a else [], np.int64))
+    return out

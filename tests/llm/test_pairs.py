@@ -28,6 +28,66 @@ def test_fingerprints_split_as_the_patterns_do(texts):
         assert len(set(h.tolist())) == len(set(flat)) and all((h[i] == h[j]) == (flat[i] == flat[j]) for i in range(min(5, len(flat))) for j in range(len(flat)))
 
 
+def morse(n):
+    """Two different words of 2^n letters that a polynomial modulo a power of two can't tell apart."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_long_words_have_fingerprints_of_their_own():
+    for n in (3, 4, 11):
+        data = np.frombuffer(" ".join(morse(n)).encode(), np.uint8)
+        starts, ends, _ = words.spans(data, np.array([0, len(data)]), words.SOLID)
+        assert len(set(words.fingerprints(data, starts, ends).tolist())) == 2
+
+
+@pytest.mark.parametrize("weak", [False, True])
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "ab", "longer words\0".replace(" ", ""), "x" * 17, "x" * 16 + "y", "\0", "a\0"]), max_size=9), max_size=8), st.integers(1, 5))
+@settings(max_examples=80, deadline=None)
+def test_exact_shingles_do_not_rest_on_fingerprints(weak, docs, k):
+    real = words.fingerprints
+    try:
+        if weak:
+            words.fingerprints = lambda data, starts, ends: real(data, starts, ends) & np.uint64(1)
+        got = words.exact_shingles([" ".join(d).encode() for d in docs], k)
+    finally:
+        words.fingerprints = real
+    want = [{tuple(d[i : i + k]) for i in range(max(1, len(d) - k + 1))} if d else set() for d in docs]
+    for x, s in zip(got, want):
+        assert len(x) == len(s)
+        for y, t in zip(got, want):
+            assert len(set(x.tolist()) & set(y.tolist())) == len(s & t)
+
+
+def test_search_does_not_rest_on_fingerprints(monkeypatch):
+    """Segments and items whose words nearly all share a fingerprint give the same matches."""
+    import pyarrow as pa
+
+    docs = ["a b c d e f", "b a", "c c c a b c d", ""]
+    items = [(1, "b c d"), (2, "a b"), (3, "zz"), (4, "c c"), (5, "d e f zz")]
+    for weak in (False, True):
+        if weak:
+            real = words.fingerprints
+            monkeypatch.setattr(words, "fingerprints", lambda *x: real(*x) & np.uint64(1))
+        data, offsets = words.text_bytes(pa.array(docs))
+        row = decontam.segment_row(data, offsets, [1, 2, 3, 4])
+        p = decontam.Phrases(items, 10)
+        lists = decontam._Lists(row, p.terms, p.names)
+        order = p.order(np.zeros(len(p.terms), np.int64))
+        window, start = lists.occurrences(p, order, np.concatenate(list(decontam._steps(lists, p, order))))
+        assert {(int(p.items[w]), int(lists.document(np.array([s]))[0])) for w, s in zip(window, start)} == {(1, 0), (1, 2), (2, 0), (2, 2), (4, 2)}
+
+
+def test_words_of_one_polynomial_hash_are_told_apart(spark):
+    a, b = morse(11)
+    df = spark.createDataFrame([(1, a), (2, b), (3, f"{a} x"), (4, f"{b} x")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, shingle=2).collect()} == {i: i for i in range(1, 5)}
+    got = decontam.contamination(df, spark.createDataFrame([(7, a)], "item_id long, text string")).collect()
+    assert {r.doc_id: r.n_hit for r in got} == {1: 1, 2: 0, 3: 1, 4: 0}
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     seed = sketch.seeds(512)
