@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.llm import words
-from spanloom.llm.learn import LONGEST_SAMPLE, sample_by_label
+from spanloom.llm.learn import excerpt, first_by_hash, sample_by_label
 from spanloom.llm.subwords import LETTERS, Stream
 
 SIZES, BITS, DIM = (2, 3, 4), 15, 16
@@ -114,19 +114,23 @@ def fit(texts: list[str], langs: list[str], seed: int = 3) -> Model:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fits a model on about per_language texts of each language of docs (at most 256 languages)."""
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.length("text") <= LONGEST_SAMPLE)
-    sample, counts = sample_by_label(rows, "lang", "key", per_language)
-    got = sorted((r.key, r.lang, r.text) for r in sample.limit(max(1, 2 * per_language * len(counts))).collect())
-    return fit([t for _, _, t in got], [k for _, k, _ in got])
+    """Fits a model on about per_language texts of each language of docs, however many languages there are.
+
+    Rows of null id, text or language take no part; of very long texts excerpt() is learned. Repeated rows may each be
+    learned. Without rows the model knows no language."""
+    rows = docs.select(F.col(id_col).alias("key"), excerpt(F.col(text_col)).alias("text"), F.col(lang_col).alias("label")).where(F.col("text").isNotNull())
+    sample, counts = sample_by_label(rows, "label", "key", per_language)
+    got = first_by_hash(sample, max(1, 2 * per_language * len(counts)))
+    return fit([r.text for r in got], [r.label for r in got])
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """df's columns (those in keep, or all) with lang_pred, score (the calibrated probability of lang_pred) and rejected.
 
     A null text or one without a letter is `und` with score 0 and is rejected, and so is every text if the
-    model knows no language; other texts are rejected when their score is under the model's threshold.
-    Columns of df that have these names are replaced."""
+    model knows no language; other texts are rejected when their score is under the model's threshold. Of equally
+    likely languages the first by name is named. Very long texts are read whole, in slices of rows; repeated rows have
+    equal results; an empty table gives an empty one. Columns of df that have these names are replaced."""
     kept = [c for c in keep or df.columns if c.lower() not in ("lang_pred", "score", "rejected")]
     rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`"), F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)))
     rows = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])

@@ -19,6 +19,8 @@ WORDS, SHAPES, DIM = 2048, 4096, 32
 #: Labelled texts of each label (about); they are both fitted on and broadcast as neighbours.
 PER_LABEL = 1500
 NEIGHBOURS, POWER = 15, 8
+#: Decimal places of vectors, similarities and scores.
+PLACES = 9
 #: Texts of one block of cosine products.
 BLOCK = 512
 
@@ -57,7 +59,7 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def weighted(raw: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Square roots of shares times rarity, each of the two blocks of length one, and two shares of words."""
-    out = np.empty((len(raw), WORDS + SHAPES + 2), np.float32)
+    out = np.empty((len(raw), WORDS + SHAPES + 2))
     for a, b, much in ((0, WORDS, 0.35), (WORDS, WORDS + SHAPES, 1.0)):
         part = np.sqrt(raw[:, a:b] / np.maximum(raw[:, a:b].sum(axis=1, keepdims=True), 1)) * rarity[a:b]
         out[:, a:b] = much * part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
@@ -67,6 +69,10 @@ def weighted(raw: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     return out
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    return np.round(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), PLACES)
+
+
 @dataclass
 class Model:
     rarity: np.ndarray
@@ -79,23 +85,28 @@ class Model:
 
     def project(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Unit latent vectors of texts."""
-        out = np.empty((len(offsets) - 1, self.basis.shape[1]), np.float32)
+        out = np.empty((len(offsets) - 1, self.basis.shape[1]))
         for i, j in words.slices(offsets, 1 << 18):
             for a in range(i, j, 64):
                 b = min(j, a + 64)
                 out[a:b] = (weighted(counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), self.rarity) - self.centre) @ self.basis
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+        return unit(out)
 
     def vote(self, vectors: np.ndarray) -> np.ndarray:
-        """The share of label 1 in the votes of the nearest labelled vectors, weighted by similarity."""
+        """The share of label 1 in the votes of the NEIGHBOURS nearest labelled vectors, weighted by similarity. Of
+        equally near vectors those with smaller numbers vote."""
         out = np.empty(len(vectors))
         k = min(NEIGHBOURS, len(self.label))
         for i in range(0, len(vectors), BLOCK):
-            alike = vectors[i : i + BLOCK] @ self.vectors.T
-            near = np.argpartition(alike, alike.shape[1] - k, axis=1)[:, alike.shape[1] - k :]
-            w = np.maximum(np.take_along_axis(alike, near, axis=1), 1e-3).astype(float) ** POWER * self.weight[self.label[near]]
-            out[i : i + BLOCK] = (w * self.label[near]).sum(axis=1) / w.sum(axis=1)
-        return out
+            # rounded, so that a product's last bits, which differ with a block's shape, decide nothing
+            alike = np.round(vectors[i : i + BLOCK] @ self.vectors.T, PLACES)
+            least = np.partition(alike, alike.shape[1] - k, axis=1)[:, alike.shape[1] - k, None]
+            tied = alike == least
+            free = k - (alike > least).sum(axis=1, keepdims=True)
+            near = (alike > least) | (tied & (np.cumsum(tied, axis=1) <= free))
+            w = np.where(near, np.maximum(alike, 1e-3) ** POWER * self.weight[self.label], 0.0)
+            out[i : i + BLOCK] = (w * self.label).sum(axis=1) / w.sum(axis=1)
+        return np.round(out, PLACES)
 
 
 def fit(texts: list[str], label: np.ndarray, totals: dict, seed: int = 11) -> Model:
@@ -110,29 +121,31 @@ def fit(texts: list[str], label: np.ndarray, totals: dict, seed: int = 11) -> Mo
         seen += (raw[:, : WORDS + SHAPES] > 0).sum(axis=0)
         rows.append(raw.astype(np.float32))
     rarity = np.log((1 + len(label)) / (1 + seen)) + 1
-    x = np.concatenate([weighted(raw, rarity) for raw in rows])
-    centre = x.mean(axis=0)
-    x -= centre
+    x = np.concatenate([weighted(raw, rarity).astype(np.float32) for raw in rows])
+    centre = x.mean(axis=0, dtype=np.float64)
+    x -= centre.astype(np.float32)
     rng = np.random.default_rng(seed)
     q = rng.normal(size=(x.shape[1], min(DIM + 8, x.shape[1]))).astype(np.float32)
     for _ in range(3):
         q = np.linalg.qr(x.T @ (x @ q))[0]
     _, _, vt = np.linalg.svd(x @ q, full_matrices=False)
-    basis = (q @ vt[:DIM].T).astype(np.float32)
-    vectors = x @ basis
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    basis = (q @ vt[:DIM].T).astype(float)
+    vectors = np.concatenate([(weighted(raw, rarity) - centre) @ basis for raw in rows])
     weight = np.array([totals.get(k, 1) / max(1, (label == k).sum()) for k in (0, 1)], float)
-    return Model(rarity, centre, basis, vectors.astype(np.float32), label, weight / weight.max())
+    return Model(rarity, centre, basis, unit(vectors), label, weight / weight.max())
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = PER_LABEL, folds: int = 5, held_out: int = 0) -> Model:
-    """Fits a model on about per_label texts of each label whose crc32(doc_id as text) mod folds isn't held_out."""
+    """Fits a model on about per_label texts of each label whose crc32(doc_id as text) mod folds isn't held_out, as
+    labelled_texts() samples them. Without labelled texts every score is 1."""
     return fit(*labelled_texts(docs, labels, label, per_label, folds, held_out))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", keep: list[str] | None = None) -> DataFrame:
-    """df's columns (those in keep, or all) with the share of label 1 among the neighbours of each whole text; null and empty texts are
-    compared as texts without words. A column of that name is replaced."""
+    """df's columns (those in keep, or all) with the share of label 1 among the neighbours of each whole text; null and
+    empty texts are compared as texts without words. Very long texts are read whole. Of equally near neighbours those
+    with smaller numbers vote, so equal texts have equal scores. An empty table gives an empty one. A column of the name
+    score_col is replaced; others stay, whatever their names."""
     kept = [c for c in keep or df.columns if c.lower() != score_col.lower()]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(score_col, T.DoubleType())])
     shared, at = df.sparkSession.sparkContext.broadcast(model), len(kept)

@@ -25,11 +25,11 @@ OP1_SQL = """
 with v as (
   select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as q
   from embeddings
-  where vec_id is not null and embedding is not null and len(embedding) > 0
+  where vec_id is not null and embedding is not null
     and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
 ), s as (
   select a.vec_id as query_id, b.vec_id as vec_id,
-         cast(list_sum([a.q[i] * b.q[i] for i in range(1, least(len(a.q), len(b.q)) + 1)]) as bigint) as score
+         coalesce(cast(list_sum([a.q[i] * b.q[i] for i in range(1, least(len(a.q), len(b.q)) + 1)]) as bigint), 0) as score
   from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
 ), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 10

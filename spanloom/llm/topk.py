@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,15 +12,15 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.shared import write_table
 
-#: Rows of an index segment and queries of one block; a task holds one of each.
-SEGMENT_ROWS, BLOCK_QUERIES = 16384, 256
+#: Rows of an index segment, and bytes of queries that one pass sends to the tasks.
+SEGMENT_ROWS, PASS_BYTES = 16384, 32 << 20
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v array<long>): floor(scale * x) of each component; rows with a null id, a null vector, or
-    a null or non-finite component are left out."""
+    a null or non-finite component are left out. Beyond 64 bits the numbers saturate."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
-    fine = rows.where("id is not null and x is not null and size(x) > 0 and forall(x, e -> e is not null and not isnan(e) and abs(e) < double('infinity'))")
+    fine = rows.where("id is not null and x is not null and forall(x, e -> e is not null and not isnan(e) and abs(e) < double('infinity'))")
     return fine.select("id", F.transform("x", lambda e: F.floor(e * scale)).alias("v"))
 
 
@@ -119,56 +120,76 @@ def top_rows(total: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndarray
 
 
 def _values(total: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(rows), np.int64)
+    """The numbers of the given rows; Python's whole numbers if they have over 62 bits."""
+    out = np.zeros(len(rows), np.int64 if len(total) < 63 else object)
     for w, s in enumerate(total):
         if s is not None:
-            out += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << w
+            out += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(out.dtype) << w
     return out
 
 
-def _search(k: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        query, found, score = [], [], []
-        for row in left.to_pylist():
-            ids, low = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["low"], np.int64)
-            bit = np.frombuffer(row["slices"], np.uint64).reshape(len(low), row["bits"], -1)
-            n = len(ids)
-            everyone = np.zeros(bit.shape[2] * 64, np.uint8)
-            everyone[:n] = 1
-            for q, v in zip(right["id"].to_pylist(), right["v"]):
-                total, base = scores(v.values.to_numpy(), low, bit)
-                allowed = everyone.copy()
-                allowed[:n][ids == q] = 0
-                allowed = np.packbits(allowed, bitorder="little").view(np.uint64)
-                rows = np.flatnonzero(np.unpackbits(top_rows(total, allowed, k).view(np.uint8), bitorder="little"))
-                value = _values(total, rows) + base
-                order = np.lexsort((ids[rows], -value))[:k]  # the boundary's ties, exactly
-                query += [q] * len(order)
-                found += ids[rows[order]].tolist()
-                score += value[order].tolist()
-        return pa.table({"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.int64())})
+def _best(ids: np.ndarray, low: np.ndarray, bit: np.ndarray, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(-score, id) of a segment's k best rows of another id; the boundary's ties go to smaller ids."""
+    total, base = scores(query, low, bit)
+    allowed = np.zeros(bit.shape[2] * 64, np.uint8)
+    allowed[: len(ids)] = ids != query_id
+    allowed = np.packbits(allowed, bitorder="little").view(np.uint64)
+    rows = np.flatnonzero(np.unpackbits(top_rows(total, allowed, k).view(np.uint8), bitorder="little"))
+    value = _values(total, rows)
+    value = value + base if abs(base) < 1 << 62 else value.astype(object) + base
+    return heapq.nsmallest(k, zip((-value).tolist(), ids[rows].tolist()))
+
+
+def _search(shared, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, best = shared.value, {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, low = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["low"], np.int64)
+                bit = np.frombuffer(row["slices"], np.uint64).reshape(len(low), row["bits"], -1)
+                for q, v in asked:
+                    best[q] = heapq.nsmallest(k, best.get(q, []) + _best(ids, low, bit, q, v, k))
+        # a task answers once for all its segments; what leaves 64 bits saturates
+        found = [(q, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for q, own in best.items() for s, i in own]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * 3)], ["query_id", "vec_id", "score"])
 
     return run
 
 
+def _passes(asked: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """The queries in passes of about PASS_BYTES."""
+    size = asked.agg(F.sum(F.size("v") * 8 + 64)).first()[0] or 0
+    n = max(1, -(-size // PASS_BYTES))
+    for i in range(n):
+        block = asked.where(F.pmod(F.xxhash64("id"), F.lit(n)) == i).collect()
+        if block:
+            yield sorted((r.id, np.array(r.v, np.int64)) for r in block)
+
+
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products with the rows of
     df of another id, ties to smaller ids; all of them if fewer.
 
-    Components are floor(scale * x). Each block of queries meets each index segment in one task, which
-    adds up the slices, selects rows from the most significant slice down and resolves the boundary
-    exactly; the segments' best rows then meet per query. Vectors that are null, empty, or hold a null or
-    non-finite component take no part; a shorter vector counts as padded with zeros. Rows that repeat
-    an id each count. A query id that occurs in several rows gets the rows of its first vector."""
+    Components are floor(scale * x). Queries are sent to the tasks in passes of bounded size. A task reads segments of
+    the written index where they lie, adds up the slices for each query, selects rows from the most significant slice
+    down, resolves the boundary exactly, and answers with the best rows of all its segments; the tasks' answers then
+    meet per query. A pass is written before the next one is sent.
+
+    Vectors that are null or hold a null or non-finite component take no part, and rows of null id neither; a shorter
+    vector, also an empty one, counts as padded with zeros. Rows that repeat an id each count. A query id that occurs in
+    several rows gets the rows of its first vector. Scores are exact; those beyond 64 bits saturate, and of
+    more than k of these a task keeps the exactly highest. An empty table gives an empty one; other columns, whatever their names, don't matter."""
     vectors = quantised(df, id_col, vector_col, scale)
     segments = max(1, -(-vectors.count() // SEGMENT_ROWS))
     index = build_index(vectors, segments)
     asked = write_table(quantised(queries, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v")), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
-    here = index.withColumn("block", F.explode(numbers(blocks)))
-    # a stated query set against all rows, in blocks: each task holds one block and one segment
-    there = asked.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias("block"), F.explode(numbers(segments)).alias("segment"))
-    found = here.groupBy("segment", "block").cogroup(there.groupBy("segment", "block")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = None
+    for block in _passes(asked):
+        shared = df.sparkSession.sparkContext.broadcast(block)
+        part = write_table(index.mapInArrow(_search(shared, k), "query_id long, vec_id long, score long"), "found")
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = df.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -102,6 +102,79 @@ def test_misspelled_words_share_subwords():
     assert p[0] > 0.5 and p[1] > 0.5 and p[2] < 0.5 and p[3] < 0.5
 
 
+def _bucket(gram: bytes, bits: int) -> int:
+    key = 0
+    for c in gram:
+        key = (key * 16777619 + c) % 2**32
+    key = ((key ^ (key >> 15)) * 0x9E3779B1 + len(gram) * 0x85EBCA6B) % 2**32
+    return ((key ^ (key >> 13)) * 0xC2B2AE35) % 2**32 >> (32 - bits)
+
+
+def _grams_of(word: bytes, sizes, bits) -> list[int]:
+    padded = b"\0" + word + b"\0"
+    return [_bucket(padded[i : i + n], bits) for n in sizes for i in range(len(padded) - n + 1)]
+
+
+TEXTS = ["", "one", "You IDIOT, 1d10t and 12345 fools of été", "  a b\n" * 9, "x" * 400, "12 34 56 78", "Ünïcode wörds här und dort, sometimes"]
+
+
+def test_toxicity_equals_plain_averages():
+    import pyarrow as pa
+
+    from spanloom.llm.subwords import LETTERS, MARKED
+    from spanloom.llm.words import text_bytes
+
+    rng = np.random.default_rng(0)
+    model = toxicity.Model(np.append(rng.normal(size=1 << toxicity.BITS), 0).astype(np.float32), -0.3, 0.1, 0.7)
+    got = model.scores(*text_bytes(pa.array(TEXTS)))
+    for text, p in zip(TEXTS, got):
+        found = [w for w in text.encode().translate(MARKED.tobytes()).split(b"\0") if w]
+        bags = []
+        for a in range(0, max(1, len(found) - toxicity.WINDOW + 1), toxicity.STEP) if found else ():
+            ids = [g for w in found[a : a + toxicity.WINDOW] if any(LETTERS[c] for c in w) for g in _grams_of(w, toxicity.SIZES, toxicity.BITS)]
+            bags.append(model.bias + (np.mean([float(model.table[i]) for i in ids]) if ids else 0.0))
+        odds = max(bags) if bags else toxicity.EMPTY
+        assert abs(p - 1 / (1 + np.exp(-(0.1 + 0.7 * odds)))) < 1e-6
+
+
+def test_language_equals_plain_averages():
+    import pyarrow as pa
+
+    from spanloom.llm.subwords import LETTERS
+    from spanloom.llm.words import text_bytes
+
+    rng = np.random.default_rng(1)
+    table = np.vstack((rng.normal(size=(1 << langid.BITS, 3)), np.zeros(3))).astype(np.float32)
+    model = langid.Model(["a", "b", "c"], table, rng.normal(size=3), 1.7, 0.0)
+    got = model.probabilities(*text_bytes(pa.array(TEXTS)))
+    for text, p in zip(TEXTS, got):
+        ids = [g for w in text.encode().translate(LETTERS.tobytes()).split(b"\0") if w for g in _grams_of(w, langid.SIZES, langid.BITS)]
+        mean = np.mean([table[i].astype(float) for i in ids], axis=0) if ids else np.zeros(3)
+        assert np.allclose(p, langid.softmax((1.7 * (mean + model.bias))[None])[0], atol=1e-6)
+
+
+def test_votes_equal_plain_votes_with_ties():
+    rng = np.random.default_rng(2)
+    labelled = quality.unit(rng.integers(-1, 2, (60, 4)).astype(float) + 0.01)
+    label = rng.integers(0, 2, 60)
+    model = quality.Model(None, None, None, labelled, label, np.array([1.0, 0.4]))
+    asked = quality.unit(rng.integers(-1, 2, (600, 4)).astype(float) + 0.02)
+    got = model.vote(asked)
+    for v, p in zip(asked, got):
+        alike = [round(float(v @ u), quality.PLACES) for u in labelled]
+        near = sorted(range(60), key=lambda i: (-alike[i], i))[: quality.NEIGHBOURS]
+        w = [max(alike[i], 1e-3) ** quality.POWER * model.weight[label[i]] for i in near]
+        assert abs(p - sum(x for x, i in zip(w, near) if label[i]) / sum(w)) < 1e-8
+    assert (model.vote(asked[::-1])[::-1] == got).all() and (model.vote(asked[:1]) == got[:1]).all()
+
+
+def test_training_samples_cover_languages_and_long_texts(spark):
+    """No language and no long text is left out, and equal ids don't fill a sample by themselves."""
+    rows = [(i, f"word{i % 300} text of its own kind", f"l{i % 300}") for i in range(900)] + [(10_000, "start " + "middle " * 60_000 + "end", "long")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=2)
+    assert len(model.languages) == 301
+
+
 @pytest.mark.parametrize("mod", [toxicity, quality])
 def test_classifier_edges(spark, clashing, none, mod):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (6, 1, 0), (7, 0, 1), (8, 1, 0), (8, 1, 1), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")

@@ -207,8 +207,9 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     base[50:90] = base[50]
     rows = [(i, base[i].tolist()) for i in range(320)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    for size in (16384, 37):
+    for size, bytes_ in ((16384, 1 << 20), (37, 300)):
         monkeypatch.setattr(topk, "SEGMENT_ROWS", size)
+        monkeypatch.setattr(topk, "PASS_BYTES", bytes_)
         got = {(r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 100 = 0")).collect()}
         assert got == _brute_top(rows, 10)
 
@@ -217,10 +218,22 @@ def test_top_k_edges(spark):
     rows = [(0, [1.0, -0.5]), (100, [0.3, 0.2]), (7, None), (8, [None, 1.0]), (9, [float("nan"), 1.0]), (10, [float("inf"), 0.0]), (11, []), (None, [1.0, 1.0]), (12, [-1.0, -1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
     got = {(r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 100 = 0")).collect()}
-    assert got == _brute_top([(i, v) for i, v in rows if i in (0, 100, 12)], 10)
+    assert got == _brute_top([(i, v) for i, v in rows if i in (0, 100, 11, 12)], 10)
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_huge_components(spark):
+    """Components beyond 64 bits saturate, and scores beyond 64 bits are ranked and then saturate: nothing overflows."""
+    rows = [(0, [1e6, 1.0]), (100, [-1e300, 1.0]), (1, [1e300, 0.0]), (2, [1e10, 5.0]), (3, [-1e300, 0.0]), (4, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(topk.top_k(df, df.where("vec_id % 100 = 0")).collect(), key=lambda r: r.rank):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    top, low = 2**63 - 1, -(2**63)
+    assert got[0] == [(1, top), (2, top), (4, 0), (3, low), (100, low)]
+    assert got[100] == [(3, top), (4, 0), (0, low), (1, low), (2, low)]
+
+
 def test_slices_add_up():
     rng = np.random.default_rng(4)
     values, weight = rng.integers(-300, 300, (130, 9)), rng.integers(-400, 400, 9)
