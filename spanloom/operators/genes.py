@@ -24,12 +24,18 @@ def introns(exons: DataFrame, genes: DataFrame) -> DataFrame:
     return rows.where("__before < start").select("sequence", "locus", "isoform", F.col("__before").alias("start"), (F.col("start") - 1).alias("stop"), "strand")
 
 
-def pick_exons(exons: DataFrame, which: str) -> DataFrame:
-    """The first, last or middle exons of each locus in the order of transcription."""
+def pick_exons(exons: DataFrame, which: str, first_isoform: bool = False) -> DataFrame:
+    """The first, last or middle exons of each locus in the order of transcription; a locus of one exon has only a first.
+
+    first_isoform keeps, of the exons of each locus, those of the isoform that its first exon belongs to."""
     order = F.when(F.col("strand") == "-", -F.col("start")).otherwise(F.col("start"))
-    w = Window.partitionBy("locus").orderBy(order, "stop")
-    rows = exons.withColumn("rank", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("locus")))
-    return rows.where({"first": "rank = 1", "last": "rank = n", "middle": "rank > 1 and rank < n"}[which])
+    ties = ["stop", "isoform"] if "isoform" in exons.columns else ["stop"]
+    own = Window.partitionBy("locus")
+    w = own.orderBy(order, *ties)
+    if first_isoform:
+        exons = exons.withColumn("__isoform", F.first("isoform").over(w)).where("isoform = __isoform").drop("__isoform")
+    rows = exons.withColumn("rank", F.row_number().over(w)).withColumn("n", F.count("*").over(own))
+    return rows.where({"first": "rank = 1", "last": "rank = n and n > 1", "middle": "rank > 1 and rank < n"}[which])
 
 
 def mixed_strands(exons: DataFrame) -> DataFrame:

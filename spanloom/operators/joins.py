@@ -87,13 +87,12 @@ def max_in_peak(windows: DataFrame, peaks: DataFrame, width: int = BIN) -> DataF
 
 
 def best_target(targets: str) -> Column:
-    """The best of an array of structs (id, distance, side), folded in order: if distances differ by over 100
-    the nearer, else the 5p one; of equal sides the one before unless farther."""
+    """The best of an array of structs (id, distance, side), folded in order: if distances differ by over 100 the
+    nearer; else a 5p one takes the place of one that isn't, or is farther."""
     return F.expr(
         f"aggregate(slice({targets}, 2, size({targets})), {targets}[0], (a, x) -> case"
-        " when abs(a.distance - x.distance) > 100 then case when x.distance < a.distance then x else a end"
-        " when a.side = '5p' and x.side <> '5p' then a when x.side = '5p' and a.side <> '5p' then x"
-        " when x.distance < a.distance then x else a end)"
+        " when abs(x.distance - a.distance) > 100 then case when x.distance < a.distance then x else a end"
+        " when x.side = '5p' and (a.side <> '5p' or x.distance < a.distance) then x else a end)"
     )
 
 
@@ -190,3 +189,12 @@ def mate_products(left: DataFrame, right: DataFrame, insert: int, variance: int)
     size = F.greatest("stop", "b_stop") - F.least("start", "b_start") + 1
     pairs = left.join(b, "read").where("sequence = b_sequence and strand <> b_strand").withColumn("insert", size).where(F.abs(F.col("insert") - insert) <= variance)
     return pairs.withColumn("unique", F.count("*").over(Window.partitionBy("read")) == 1)
+
+
+def choose_mates(products: DataFrame, seed: int | None = None) -> DataFrame:
+    """One pair of mate_products() for each read: the only one, and of several, with a seed, one by a chance that
+    depends on the pair and the seed alone; without a seed such reads are left out."""
+    if seed is None:
+        return products.where("unique")
+    lot = F.xxhash64("read", "start", "b_start", F.lit(seed))
+    return best_per(products, ["read"], [lot, "start", "b_start"])

@@ -12,13 +12,14 @@ from spanloom.operators.ordering import Along
 MASK_ABOVE = 20
 
 
-def base_calls(alignments: DataFrame) -> DataFrame:
+def base_calls(alignments: DataFrame, dinucleotides: bool = False) -> DataFrame:
     """(sequence, pos, strand, context, methylated) of each call.
 
     Alignments have read_no (1 or 2), bases, target (the reference with two more bases on either side),
     sequence, start, stop, strand and length (of the sequence). Read 1 calls where the reference has C: C is
     methylated, T not. Read 2 calls where it has G: G or A, for the other strand. The last base makes no
-    call. Rows on the reverse strand have reverse coordinates, turned here."""
+    call. Rows on the reverse strand have reverse coordinates, turned here. With dinucleotides the context is that of
+    the next base alone: CG, CA, CC or CT."""
     r = alignments.select("*", F.posexplode(F.split("bases", "")).alias("j", "base")).where("base <> '' and j < stop - start")
     at = lambda k: F.substring("target", (F.col("j") + k).cast("int"), 1)
     first = F.col("read_no") == 1
@@ -28,6 +29,8 @@ def base_calls(alignments: DataFrame) -> DataFrame:
     near, far = F.when(first, F.upper(at(4))).otherwise(F.upper(at(2))), F.when(first, F.upper(at(5))).otherwise(F.upper(at(1)))
     wanted = F.when(first, "G").otherwise("C")
     kind = F.when(near == wanted, "CG").when(far == wanted, "CHG").otherwise("CHH")
+    if dinucleotides:
+        kind = F.concat(F.lit("C"), F.when(first, near).otherwise(F.translate(near, "ACGT", "TGCA")))
     other = F.when(F.col("strand") == "+", "-").otherwise("+")
     place = F.when(F.col("strand") == "-", X.flip(F.col("start") + F.col("j"), "length")).otherwise(F.col("start") + F.col("j"))
     called = r.where(site).select("sequence", place.alias("pos"), F.when(first, F.col("strand")).otherwise(other).alias("strand"), kind.alias("context"), base.isin("C", "G").alias("methylated"))
@@ -113,11 +116,19 @@ def adjacency_runs(rows: DataFrame, least_score: float, least_total: int, gap: i
     return runs.groupBy("size").agg(F.count("*").alias("n"))
 
 
-def audit(single_c: DataFrame) -> DataFrame:
-    """For each sequence: rows, rows with bad attributes, repeated starts, and a verdict."""
+def audit(single_c: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """For each sequence: rows, rows with bad attributes, repeated starts, and a verdict. With order (columns that give
+    the rows' places in their file) also whether starts never fall in it; unsorted sequences are bad too."""
     per = single_c.groupBy("sequence", "start").agg(F.count("*").alias("k"), F.count_if(F.col("c").isNull() | F.col("t").isNull()).alias("bad"))
     out = per.groupBy("sequence").agg(F.sum("k").alias("n"), F.sum("bad").alias("bad_attributes"), F.count_if(F.expr("k > 1")).alias("repeated_starts"))
-    return out.withColumn("verdict", F.when((F.col("bad_attributes") == 0) & (F.col("repeated_starts") == 0), "OK").otherwise("BAD"))
+    good = (F.col("bad_attributes") == 0) & (F.col("repeated_starts") == 0)
+    if order:
+        from spanloom.operators.windows import is_sorted
+
+        own = is_sorted(single_c, "start", order).withColumnRenamed("sequence", "__s")
+        out = out.join(own, F.col("sequence").eqNullSafe(F.col("__s"))).drop("__s")
+        good = good & F.col("sorted")
+    return out.withColumn("verdict", F.when(good, "OK").otherwise("BAD"))
 
 
 def collapse_repeats(df: DataFrame) -> DataFrame:
@@ -131,3 +142,13 @@ def alignment_stats(hits: DataFrame) -> DataFrame:
     nm = F.expr("r0 + r1 + r2 = 0")
     unique = lambda k: F.count_if((best == 1) & (F.expr(" and ".join(["true", *[f"r{i} = 0" for i in range(k)], f"r{k} = 1"]))))
     return hits.agg(F.count("*").alias("ALL"), F.count_if(nm).alias("NM"), *[unique(k).alias(f"U{k}") for k in range(3)], F.count_if(best > 1).alias("R"), F.count_if((best == 1) & ~nm).alias("UT"))
+
+
+def correlated_stats(mates: DataFrame) -> DataFrame:
+    """One row of counts of mate rows (source as mate_rows() tags it, score: hits of the end): ALL, NM without a hit, UT
+    with one, RT with more, and of those with one UU for ends unique by themselves and RR for resolved repeats, which
+    count half where only one end was a repeat."""
+    one = F.col("score") == 1
+    tag = F.col("source")
+    half = F.when(one & tag.rlike("U/R|R/U"), 0.5).when(one & tag.contains("R/R"), 1.0).otherwise(0.0)
+    return mates.agg(F.count("*").alias("ALL"), F.count_if(F.col("score") < 1).alias("NM"), F.count_if(one).alias("UT"), F.count_if(F.col("score") > 1).alias("RT"), F.count_if(one & tag.contains("U/U")).alias("UU"), F.coalesce(F.sum(half), F.lit(0.0)).alias("RR"))

@@ -49,7 +49,9 @@ def score_filter(df: DataFrame, include: bool, low: float = 0, high: float = 0,
 
 
 def sample_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Exactly n rows at random."""
+    """Exactly n rows at random; an error if there are fewer, as a count shows when the sample is asked for."""
+    if (found := df.limit(n).count()) < n:
+        raise ValueError(f"a sample of {n} rows was asked of {found}")
     return df.orderBy(F.rand(seed)).limit(n)
 
 
@@ -90,9 +92,14 @@ def ensure_all(loci: DataFrame, scores: DataFrame, missing: float = 0.0) -> Data
     return loci.select("locus").distinct().join(scores, "locus", "left").fillna(missing, ["score"])
 
 
+def combinations(lists: DataFrame) -> DataFrame:
+    """(id, combo): the lists (list, id) that each id is in, sorted and joined by `&`."""
+    return lists.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("list")), "&").alias("combo"))
+
+
 def membership(lists: DataFrame) -> DataFrame:
     """(combo, n): how many ids are in exactly each combination of lists (list, id)."""
-    return lists.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("list")), "&").alias("combo")).groupBy("combo").agg(F.count("*").alias("n"))
+    return combinations(lists).groupBy("combo").agg(F.count("*").alias("n"))
 
 
 def distinct_ranges(df: DataFrame) -> DataFrame:

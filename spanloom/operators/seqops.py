@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,30 +84,39 @@ def patch(fasta: DataFrame, snps: DataFrame, size: int = 4096) -> DataFrame:
     Pieces get the replacements of their own stretch, and are put together again in order."""
     parts = chunks(fasta, size)
     own = snps.select("seq_id", (F.floor((F.col("pos") - 1) / size) * size + 1).cast("int").alias("at"), ((F.col("pos") - 1) % size).cast("int").alias("k"), "base")
-    own = own.groupBy("seq_id", "at", "k").agg(F.max("base").alias("base")).groupBy("seq_id", "at").agg(F.collect_list("k").alias("ks"), F.collect_list("base").alias("bases"))
-
-    @F.pandas_udf("string")
-    def put(part: pd.Series, ks: pd.Series, bases: pd.Series) -> pd.Series:
-        def one(p, k, b):
-            if k is None:
-                return p
-            out = list(p)
-            for i, x in zip(k, b):
-                if i < len(out):
-                    out[i] = x
-            return "".join(out)
-
-        return pd.Series([one(*x) for x in zip(part, ks, bases)])
-
-    done = parts.join(own, ["seq_id", "at"], "left").select("seq_id", "at", put("part", "ks", "bases").alias("part"))
+    own = own.groupBy("seq_id", "at", "k").agg(F.max("base").alias("base")).groupBy("seq_id", "at").agg(F.array_sort(F.collect_list(F.struct("k", "base"))).alias("new"))
+
+    # the bases between two replacements are taken as they are: as many steps as a piece has replacements
+    cuts = "transform(new, (x, i) -> concat(substring(part, case when i = 0 then 1 else new[i - 1].k + 2 end, x.k - (case when i = 0 then 0 else new[i - 1].k + 1 end)), x.base))"
+    put = F.expr(f"case when new is null or size(new) = 0 then part else concat(array_join({cuts}, ''), substring(part, element_at(new, -1).k + 2)) end")
+    done = parts.join(own, ["seq_id", "at"], "left").withColumn("new", F.expr("filter(new, x -> x.k < length(part))")).select("seq_id", "at", put.alias("part"))
     return done.groupBy("seq_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "").alias("seq"))
 
 
-def extract(intervals: DataFrame, fasta: DataFrame) -> DataFrame:
-    """The bases of each interval, on its strand."""
-    both = intervals.join(fasta.select(F.col("seq_id").alias("sequence"), "seq"), "sequence")
-    part = X.subsequence("seq", F.col("start"), F.col("stop"))
-    return both.select(*intervals.columns, F.when(F.col("strand") == "-", X.reverse_complement(part)).otherwise(part).alias("bases"))
+def extract(intervals: DataFrame, fasta: DataFrame, distance: int | None = None, anchor: str = "centre", longer_than: int | None = None, shorter_than: int | None = None, size: int = 1 << 16) -> DataFrame:
+    """The bases of each interval, on its strand; null where it leaves its sequence.
+
+    distance takes that many bases around the interval's centre, or around its 5' end (anchor "tss"), instead; where
+    that begins before the sequence, from its start on. longer_than and shorter_than drop intervals by stop - start.
+    Sequences are cut into pieces, and an interval meets only the pieces that it covers. Repeated intervals are
+    extracted once and repeated in the result; those of an unknown sequence are left out."""
+    rows = intervals
+    if longer_than is not None:
+        rows = rows.where(F.col("stop") - F.col("start") > longer_than)
+    if shorter_than is not None:
+        rows = rows.where(F.col("stop") - F.col("start") < shorter_than)
+    rows = rows.groupBy(*intervals.columns).agg(F.count("*").cast("int").alias("__copies"))
+    if distance is not None:
+        at = F.expr("start + (stop - start) div 2") if anchor == "centre" else F.when(F.col("strand") == "-", F.col("stop")).otherwise(F.col("start"))
+        rows = rows.withColumn("__at", at).withColumn("start", F.greatest(F.lit(1).cast("long"), F.col("__at") - distance // 2)).withColumn("stop", F.col("__at") - distance // 2 + distance - 1).drop("__at")
+    rows = rows.join(fasta.select(F.col("seq_id").alias("sequence"), F.length("seq").alias("__n")), "sequence").withColumn("__fits", F.expr("start >= 1 and start <= stop and stop <= __n"))
+    pieces = F.expr(f"case when __fits then transform(sequence((start - 1) div {size}, (stop - 1) div {size}), k -> k * {size} + 1) end")
+    cut = rows.withColumn("__piece", F.explode_outer(pieces))
+    parts = chunks(fasta, size).select(F.col("seq_id").alias("sequence"), F.col("at").cast("long").alias("__piece"), "part")
+    own = F.expr("substring(part, int(greatest(start - __piece, 0) + 1), int(stop - greatest(start, __piece) + 1))")
+    met = cut.join(parts, ["sequence", "__piece"], "left").groupBy(*intervals.columns, "__copies", "__fits").agg(F.array_sort(F.collect_list(F.struct("__piece", own.alias("bases")))).alias("__p"))
+    text = F.when(F.col("__fits"), F.array_join(F.transform("__p", lambda x: x["bases"]), ""))
+    return met.select(*intervals.columns, F.when(F.col("strand") == "-", X.reverse_complement(text)).otherwise(text).alias("bases"), F.explode(F.expr("array_repeat(0, __copies)")).alias("__k")).drop("__k")
 
 
 def assemble(parts: DataFrame) -> DataFrame:
@@ -125,10 +133,11 @@ def concat_runs(records: DataFrame) -> DataFrame:
     return runs.groupBy("run", "header").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "seq"))), lambda x: x["seq"]), "").alias("seq"))
 
 
-def check_bases(rows: DataFrame, fasta: DataFrame) -> DataFrame:
-    """Rows whose reference base is neither C nor G."""
-    both = rows.join(fasta.select(F.col("seq_id").alias("sequence"), "seq"), "sequence")
-    return both.withColumn("base", F.substring("seq", F.col("start").cast("int"), F.lit(1))).where(~F.upper("base").isin("C", "G")).drop("seq")
+def check_bases(rows: DataFrame, fasta: DataFrame, size: int = 1 << 16) -> DataFrame:
+    """Rows whose reference base is neither C nor G; each meets only the piece of the sequence that it lies in."""
+    parts = chunks(fasta, size).select(F.col("seq_id").alias("sequence"), F.col("at").cast("long").alias("__piece"), "part")
+    both = rows.withColumn("__piece", F.expr(f"(start - 1) div {size} * {size} + 1")).join(parts, ["sequence", "__piece"])
+    return both.withColumn("base", F.substring("part", (F.col("start") - F.col("__piece") + 1).cast("int"), F.lit(1))).where("base <> ''").where(~F.upper("base").isin("C", "G")).drop("part", "__piece")
 
 
 def trim_adapter(reads: DataFrame, adapter: str, head: int = 7, least: int = 39) -> DataFrame:

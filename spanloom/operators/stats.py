@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from spanloom.functions import exprs as X
 from spanloom.operators.ordering import Along
 
 
@@ -50,20 +51,37 @@ def measure(name: str) -> Column:
 MEASURES = ("dice", "jaccard", "phi", "x2", "tscore", "pmi", "tmi", "ll", "ps")
 
 
-def _log_factorials(n: int) -> np.ndarray:
-    return np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, max(n, 1) + 1)))))
+_SMALL = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 1024)))))
 
 
-def _fisher(a, b, c, d, tail: str) -> np.ndarray:
+def _log_factorial(n: np.ndarray) -> np.ndarray:
+    """ln n! of whole numbers: from a table, or by Stirling's series beyond it."""
+    x = np.maximum(n, 1023) + 1.0
+    far = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return np.where(n < len(_SMALL), _SMALL[np.minimum(n, len(_SMALL) - 1)], far)
+
+
+def _fisher(a, b, c, d, tail: str, cells: int = 1 << 20) -> np.ndarray:
+    """One probability for each table. The tables' ranges of possible counts lie one behind the other and are computed
+    `cells` at a time, however long the range of a single table is."""
     a, b, c, d = (np.nan_to_num(np.asarray(x, float)).astype(np.int64) for x in (a, b, c, d))
-    fact = _log_factorials(int((a + b + c + d).max()) if len(a) else 1)
-    out = np.empty(len(a))
-    for i, (w, x, y, z) in enumerate(zip(a, b, c, d)):
-        r1, r2, c1 = w + x, y + z, w + y
-        k = np.arange(max(0, c1 - r2), min(r1, c1) + 1)
-        p = np.exp(fact[r1] + fact[r2] + fact[c1] + fact[x + z] - fact[r1 + r2] - fact[k] - fact[r1 - k] - fact[c1 - k] - fact[r2 - c1 + k])
-        own = p[w - k[0]]
-        out[i] = {"point": own, "left": p[k <= w].sum(), "right": p[k >= w].sum(), "two": p[p <= own * (1 + 1e-7)].sum()}[tail]
+    r1, r2, c1 = a + b, c + d, a + c
+    fixed = _log_factorial(r1) + _log_factorial(r2) + _log_factorial(c1) + _log_factorial(b + d) - _log_factorial(r1 + r2)
+    p = lambda row, k: np.exp(fixed[row] - _log_factorial(k) - _log_factorial(r1[row] - k) - _log_factorial(c1[row] - k) - _log_factorial(r2[row] - c1[row] + k))
+    own = p(np.arange(len(a)), a)
+    if tail == "point" or not len(a):
+        return np.minimum(own, 1.0)
+    low = np.maximum(0, c1 - r2)
+    ends = np.cumsum(np.minimum(r1, c1) - low + 1)
+    begins = np.concatenate(([0], ends[:-1]))
+    out = np.zeros(len(a))
+    for at in range(0, int(ends[-1]), cells):
+        cell = np.arange(at, min(at + cells, int(ends[-1])))
+        row = np.searchsorted(ends, cell, "right")
+        k = low[row] + cell - begins[row]
+        q = p(row, k)
+        take = k <= a[row] if tail == "left" else k >= a[row] if tail == "right" else q <= own[row] * (1 + 1e-7)
+        out += np.bincount(row, np.where(take, q, 0.0), len(a))
     return np.minimum(out, 1.0)
 
 
@@ -88,6 +106,24 @@ def compare(a: DataFrame, b: DataFrame, statistic: str = "x2", least_sites: int
     return pairs.withColumn("score", value).withColumn("statistic", stat)
 
 
+def compare_islands(a: DataFrame, b: DataFrame, statistic: str = "x2", operator: str = "sub", distance: int = 0, least_sites: int = 0) -> DataFrame:
+    """Two methylation tables compared over contiguous windows: pairs on equal coordinates that aren't without c in both
+    are joined while each begins right behind the one before (or up to `distance` bases later), c and t are summed, and
+    scores, their difference (or quotient) and the statistic are taken of the sums. The feature is a:operator:b, and
+    the attribute the statistic."""
+    from spanloom.operators.windows import islands
+
+    keys = ["sequence", "start", "stop"]
+    pairs = a.select(*keys, F.col("feature").alias("fa"), F.col("c").alias("n11"), F.col("t").alias("n12")).join(b.select(*keys, F.col("feature").alias("fb"), F.col("c").alias("n21"), F.col("t").alias("n22")), keys)
+    pairs = pairs.where((F.col("n11") + F.col("n12") >= least_sites) & (F.col("n21") + F.col("n22") >= least_sites) & ~((F.col("n11") == 0) & (F.col("n21") == 0)))
+    cells = [F.sum(f"n{k}").alias(f"n{k}") for k in ("11", "12", "21", "22")]
+    sums = islands(pairs, distance + 1).groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("fa").alias("fa"), F.min("fb").alias("fb"), *cells)
+    x, y = F.try_divide("n11", F.col("n11") + F.col("n12")), F.try_divide("n21", F.col("n21") + F.col("n22"))
+    value = fisher("two") if statistic == "fisher" else measure(statistic)
+    out = sums.withColumn("score", x - y if operator == "sub" else F.try_divide(x, y)).withColumn("statistic", value)
+    return out.select("sequence", "start", "stop", F.concat_ws(f":{operator}:", "fa", "fb").alias("feature"), "score", "statistic", F.concat(F.lit(f"{statistic}="), X.format_g("statistic")).alias("attributes"))
+
+
 def imprinting(df: DataFrame, expected: float | None = 2 / 3) -> DataFrame:
     """Chi square of maternal and paternal counts (m, p) against control counts (cm, cp), or against expected
     shares of their sum, rounded half to even."""

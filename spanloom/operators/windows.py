@@ -25,8 +25,8 @@ def fixed_windows(uppers: DataFrame, width: int, step: int) -> DataFrame:
     return at.where(f"win_start <= upper - {width} + 1 or win_start < upper").select("sequence", "win_start", F.least(F.col("win_start") + width - 1, F.col("upper")).alias("win_stop"))
 
 
-def window_fixed(df: DataFrame, width: int, step: int, scorer: str, uppers: DataFrame | None = None, keep_empty: bool = False) -> DataFrame:
-    """Scores of fixed windows. Each row names the windows it reaches by arithmetic, so there is no join
+def window_fixed(df: DataFrame, width: int, step: int, scorer: str, uppers: DataFrame | None = None, keep_empty: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """Scores of fixed windows, of each value of the columns `by` apart (which keep_empty does not go with). Each row names the windows it reaches by arithmetic, so there is no join
     with windows; only keep_empty makes all windows and joins the scores to them."""
     uppers = last_stop(df) if uppers is None else uppers
     rows = df.join(uppers, "sequence").where("start <= stop and stop >= 1")
@@ -38,7 +38,7 @@ def window_fixed(df: DataFrame, width: int, step: int, scorer: str, uppers: Data
     rows = rows.withColumn("win_stop", F.least(F.col("win_start") + width - 1, F.col("upper")))
     rows = rows.where(X.overlaps("start", "stop", "win_start", "win_stop"))
     rows = rows.withColumn("overlap", X.overlap_size("start", "stop", "win_start", "win_stop")).withColumn("length", X.span_length()).withColumn("window_length", X.span_length("win_start", "win_stop"))
-    out = scored(rows, ["sequence", "win_start", "win_stop"], scorer)
+    out = scored(rows, [*by, "sequence", "win_start", "win_stop"], scorer)
     return fixed_windows(uppers, width, step).join(out, ["sequence", "win_start", "win_stop"], "left") if keep_empty else out
 
 
@@ -84,14 +84,37 @@ def islands(df: DataFrame, distance: int, *more: str) -> DataFrame:
     return _islands(by_coordinate(df, *more), distance)
 
 
-def merge_adjacent(df: DataFrame, distance: int, *more: str, log: bool = False, keys: list[str] | None = None) -> DataFrame:
-    """Islands as single rows: bounds, rows, and the sum of scores (of powers of two if they are logarithms).
-
-    keys names columns of attributes: each becomes the comma-joined list of its distinct values, sorted, where an
-    island has one. Lists are as long as an island has different values."""
+def merge_adjacent(df: DataFrame, distance: int, *more: str, log: bool = False) -> DataFrame:
+    """Islands as single rows: bounds, rows, and the sum of scores (of powers of two if they are logarithms)."""
+    score = F.log2(F.sum(F.pow(F.lit(2.0), "score"))) if log else F.sum("score")
+    return islands(df, distance, *more).groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"), score.alias("score")).withColumn("length", X.span_length())
+
+
+def merge_windows(df: DataFrame, distance: int, *more: str, max_gap: int = 1, log: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(merged, empty): windows with a score merged over at most max_gap empty ones in a row, and the empty ones that no
+    merged window covers. A window is empty without a score, or with score 0 unless scores are logarithms.
+
+    Windows are merged while each begins at most `distance` behind the end of those before it. merged has bounds, the
+    number of windows, the sum of scores, length, the feature with merged_ in front, and the attributes (other than `.`)
+    in order, joined by `; `."""
+    blank = F.col("score").isNull() if log else F.coalesce(F.col("score"), F.lit(0.0)) == 0
+    along = by_coordinate(df.withColumn("__blank", blank.cast("int")), *more).highest_before("stop", "__reach")
+    along.rows = along.rows.withColumn("__apart", (F.col("__reach").isNull() | (F.col("start") - F.col("__reach") > distance)).cast("int"))
+    rows = along.total("__apart", "__steps").total("__blank", "__blanks").done()
+    full = by_coordinate(rows.where("__blank = 0"), *more).neighbour("__steps", "__step").neighbour("__blanks", "__gap")
+    full.rows = full.rows.withColumn("__new", F.coalesce((F.col("__step") != F.col("__steps")) | (F.col("__blanks") - F.col("__gap") > max_gap), F.lit(True)).cast("int"))
+    full = full.total("__new", "island").done()
     score = F.log2(F.sum(F.pow(F.lit(2.0), "score"))) if log else F.sum("score")
-    lists = [F.nullif(F.array_join(F.array_sort(F.collect_set(F.col(k).cast("string"))), ","), F.lit("")).alias(k) for k in keys or []]
-    return islands(df, distance, *more).groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"), score.alias("score"), *lists).withColumn("length", X.span_length())
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "stop", *more, F.nullif("attributes", F.lit(".")).alias("__a")))), lambda x: x["__a"]), "; ")
+    merged = full.groupBy("sequence", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"), score.alias("score"), F.concat(F.lit("merged_"), F.min_by("feature", F.struct("start", "stop", *more))).alias("feature"), text.alias("attributes"))
+    # the last merged window that begins before an empty one: both in one order, so no join by range is needed
+    ends = merged.select("sequence", "start", F.col("stop").alias("__end"), F.lit(None).cast("string").alias("__mark"))
+    empty = rows.where("__blank = 1").drop("__blank", "__reach", "__apart", "__steps", "__blanks")
+    both = ends.unionByName(empty.select("sequence", "start", F.struct(*empty.columns).alias("__row")), allowMissingColumns=True)
+    both = both.withColumn("__is_row", F.col("__row").isNotNull().cast("int")).withColumn("__order", F.to_json("__row"))
+    covered = Along(both, ["sequence"], ["start", "__is_row", "__order"]).highest_before("__end", "__cover").done()
+    left = covered.where("__is_row = 1 and (__cover is null or start > __cover)").select("__row.*")
+    return merged.withColumn("length", X.span_length()), left
 
 
 def collapse_adjacent(df: DataFrame, distance: int, tolerance: float, *more: str) -> DataFrame:
@@ -183,3 +206,16 @@ def extend_loci(loci: DataFrame, windows: DataFrame, width: int = BIN) -> DataFr
     all_ = loci.join(pairs, ["sequence", "locus", "start", "stop"], "left")
     a, b = F.least("start", F.coalesce("a", "start")), F.greatest("stop", F.coalesce("b", "stop"))
     return all_.select("sequence", "locus", a.alias("new_start"), b.alias("new_stop"), ((b - a) - (F.col("stop") - F.col("start"))).alias("extension"))
+
+
+def extended_rows(rows: DataFrame, windows: DataFrame, feature: str | None = None, width: int = BIN) -> DataFrame:
+    """Annotation rows (sequence, locus, feature, start, stop, attributes, ...) stretched as by extend_loci(): the feature
+    gets ext_ in front, or is the given one; stretched rows' attributes get `Target=` with the locus and its bounds
+    before, and `extension=`."""
+    keys = ["sequence", "locus", "start", "stop"]
+    reach = overlap_join(rows.select(*keys), windows, width).groupBy(*keys).agg(F.min("b_start").alias("__a"), F.max("b_stop").alias("__b"))
+    both = rows.join(reach, keys, "left").withColumn("__a", F.least("start", F.coalesce("__a", "start"))).withColumn("__b", F.greatest("stop", F.coalesce("__b", "stop")))
+    more = F.expr("(__b - __a) - (stop - start)")
+    text = F.concat("attributes", F.when(more > 0, F.concat(F.lit("; Target="), F.concat_ws(" ", "locus", "start", "stop"), F.lit("; extension="), more.cast("string"))).otherwise(""))
+    named = F.lit(feature) if feature else F.concat(F.lit("ext_"), "feature")
+    return both.withColumn("attributes", text).withColumn("feature", named).withColumn("start", F.col("__a")).withColumn("stop", F.col("__b")).drop("__a", "__b")

@@ -51,11 +51,11 @@ def imprinting_table(counts: dict[str, DataFrame], loci: DataFrame) -> DataFrame
 
 
 def concat_and_window(batches: list[DataFrame], width: int) -> DataFrame:
-    """Batches of single-base rows merged by coordinate, then in windows."""
-    rows = reduce(DataFrame.unionByName, [b.select("sequence", "start", "stop", "c", "t", F.lit(None).cast("string").alias("feature"), F.lit(None).cast("string").alias("strand")) for b in batches])
-    merged = R.compile_loci(rows)
+    """Batches of single-base rows merged by context and coordinate, then in windows of each context and sequence."""
+    rows = reduce(DataFrame.unionByName, [b.select("context", "sequence", "start", "stop", "c", "t") for b in batches])
+    merged = rows.groupBy("context", "sequence", "start", "stop").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
     uppers = merged.groupBy("sequence").agg((F.floor(F.max("stop") / width) * width + width).alias("upper"))
-    return W.window_fixed(merged, width, width, "fractional_methylation", uppers)
+    return W.window_fixed(merged, width, width, "fractional_methylation", uppers, by=("context",))
 
 
 def ends_matrix(groups: dict[str, DataFrame], loci: DataFrame, distance: int, bin_width: int, strategies: tuple[int, ...] = (0,), width: int = J.BIN) -> DataFrame:

@@ -115,6 +115,11 @@ def _(sites):
     return M.audit(sites)
 
 
+@query("p14_audit_order", "sites", ", r as (select *, lag(start) over (partition by sequence order by id) as before from sites), p as (select sequence, start, count(*) as k, count(*) filter (before > start) as falls from r group by 1, 2) select sequence, cast(sum(k) as bigint) as n, cast(count(*) filter (k > 1) as bigint) as repeated_starts, sum(falls) = 0 as sorted, case when count(*) filter (k > 1) = 0 and sum(falls) = 0 then 'OK' else 'BAD' end as verdict from p group by 1")
+def _(sites):
+    return M.audit(sites, order=["id"]).drop("bad_attributes")
+
+
 @query("j15_exons_of_genes", "exons genes", " select e.sequence, e.locus, e.start, e.stop, g.start as gene_start, g.stop as gene_stop from exons e join genes g on g.locus = e.locus")
 def _(exons, genes):
     return G.collapse_exons(exons, genes).select("sequence", "locus", "start", "stop", "gene_start", "gene_stop")
@@ -126,12 +131,12 @@ def _(gff):
     return S.weighted_vector(rows, "a", "n").withColumn("value", F.round("value", 6))
 
 
-@query("x5_concat_and_window", "sites sites_b", ", u as (select sequence, start, c, t from sites union all select sequence, start, c, t from sites_b), w as (select sequence, start, sum(c) as c, sum(t) as t from u group by 1, 2), k as (select sequence, (start - 1) // 500 * 500 + 1 as win_start, sum(c) as c, sum(t) as t from w where start >= 1 group by 1, 2) select sequence, win_start, cast(c as bigint) as sum_c, cast(t as bigint) as sum_t, round(c / (c + t), 9) as score from k where c + t > 0")
+@query("x5_concat_and_window", "sites sites_b", ", u as (select context, sequence, start, c, t from sites union all select case start % 2 when 0 then 'CG' else 'CHH' end, sequence, start, c, t from sites_b), w as (select context, sequence, start, sum(c) as c, sum(t) as t from u group by 1, 2, 3), k as (select context, sequence, (start - 1) // 500 * 500 + 1 as win_start, sum(c) as c, sum(t) as t from w where start >= 1 group by 1, 2, 3) select context, sequence, win_start, cast(c as bigint) as sum_c, cast(t as bigint) as sum_t, round(c / (c + t), 9) as score from k where c + t > 0")
 def _(a, b):
     from spanloom.plans.pipelines import concat_and_window
 
-    out = concat_and_window([a, b], 500)
-    return out.select("sequence", "win_start", "sum_c", "sum_t", F.round("score", 9).alias("score"))
+    out = concat_and_window([a, b.withColumn("context", F.expr("case start % 2 when 0 then 'CG' else 'CHH' end"))], 500)
+    return out.select("context", "sequence", "win_start", "sum_c", "sum_t", F.round("score", 9).alias("score"))
 
 
 @query("x7_frequency_coverage", "sites", _FREQ.replace("select sequence,", "select case when sequence in ('chr4', 'chr5') then 'organelle' else 'nuclear' end as part,") + " select part, " + ", ".join(f"round({k}_c / nullif({k}_c + {k}_t, 0), 9) as {k}_ratio" for k in ("CG", "CHG", "CHH")) + ", round((CG_c + CHG_c + CHH_c + CG_t + CHG_t + CHH_t) / 1000000.0, 9) as coverage from f")

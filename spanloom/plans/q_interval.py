@@ -90,7 +90,7 @@ _PICK = (
     + ", o as (select *, row_number() over (partition by peak order by pos0, id, distance, side) as k from q)"
     " select peak, id, distance, side from (select peak, list_reduce(list(struct_pack(id := id, distance := distance, side := side) order by k), lambda a, x:"
     " case when abs(a.distance - x.distance) > 100 then case when x.distance < a.distance then x else a end"
-    " when a.side = '5p' and x.side <> '5p' then a when x.side = '5p' and a.side <> '5p' then x when x.distance < a.distance then x else a end) as b from o group by peak) t, lateral (select b.id as id, b.distance as distance, b.side as side)"
+    " when x.side = '5p' and (a.side <> '5p' or x.distance < a.distance) then x else a end) as b from o group by peak) t, lateral (select b.id as id, b.distance as distance, b.side as side)"
 )
 
 
@@ -206,6 +206,12 @@ def _(genes, gff):
     return W.extend_loci(genes, gff, WIDTH)
 
 
+@query("j23_extended_rows", "genes gff", ", p as (select b.locus, min(a.start) as a, max(a.stop) as b from genes b join gff a on a.sequence = b.sequence and a.start <= b.stop and a.stop >= b.start group by 1), q as (select sequence, g.locus, g.start, g.stop, least(g.start, coalesce(p.a, g.start)) as x, greatest(g.stop, coalesce(p.b, g.stop)) as y from genes g left join p using (locus)) select sequence, 'ext_gene' as feature, x as start, y as stop, 'ID=' || locus || case when x < start or y > stop then '; Target=' || locus || ' ' || start || ' ' || stop || '; extension=' || ((y - x) - (stop - start)) else '' end as attributes from q")
+def _(genes, gff):
+    rows = genes.withColumn("feature", F.lit("gene")).withColumn("attributes", F.concat(F.lit("ID="), "locus"))
+    return W.extended_rows(rows, gff, width=WIDTH).select("sequence", "feature", "start", "stop", "attributes")
+
+
 @query("j24_filtered_windows", "gff genes", _PAIR + " select 'filtered' as source, sequence, start, stop, locus as attribute from p")
 def _(gff, genes):
     return J.overlap_join(gff, genes, WIDTH).select(F.lit("filtered").alias("source"), "sequence", "start", "stop", F.col("b_locus").alias("attribute"))

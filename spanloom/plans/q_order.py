@@ -154,11 +154,42 @@ def _(exons):
     return G.pick_exons(exons, "middle").select("locus", "start", "stop")
 
 
-@query("w14_last_exons", "exons", _RANK + " select locus, start, stop from r where k = n")
+@query("w14_last_exons", "exons", _RANK + " select locus, start, stop from r where k = n and n > 1")
 def _(exons):
     return G.pick_exons(exons, "last").select("locus", "start", "stop")
 
 
+_ISOFORM = ", p as (select *, case when strand = '-' then -start else start end as way from exons), q as (select *, first_value(isoform) over (partition by locus order by way, stop, isoform) as chosen from p), r as (select *, row_number() over (partition by locus order by way, stop, isoform) as k, count(*) over (partition by locus) as n from q where isoform = chosen)"
+
+
+@query("w14_last_of_first_isoform", "exons", _ISOFORM + " select locus, isoform, start, stop from r where k = n and n > 1")
+def _(exons):
+    return G.pick_exons(exons, "last", first_isoform=True).select("locus", "isoform", "start", "stop")
+
+
+_EMPTY = (
+    ", m as (select *, case when c % 4 = 0 then null else score end as s from sites), r as (select *, max(stop) over (" + _ORDER + " rows between unbounded preceding and 1 preceding) as reach from m)"
+    ", b as (select *, coalesce(s, 0) = 0 as empty, case when reach is null or start - reach > 20 then 1 else 0 end as apart from r)"
+    ", t as (select *, sum(apart) over (" + _ORDER + " rows between unbounded preceding and current row) as steps, sum(case when empty then 1 else 0 end) over (" + _ORDER + " rows between unbounded preceding and current row) as blanks from b)"
+    ", f as (select *, lag(steps) over (" + _ORDER + ") as l, lag(blanks) over (" + _ORDER + ") as e from t where not empty)"
+    ", n as (select *, case when l is null or l <> steps or blanks - e > 1 then 1 else 0 end as brk from f)"
+    ", i as (select *, sum(brk) over (" + _ORDER + " rows between unbounded preceding and current row) as island from n)"
+)
+
+
+@query("w3_merge_over_gaps", "sites", _EMPTY + " select sequence, cast(island as bigint) as island, min(start) as start, max(stop) as stop, cast(count(*) as bigint) as n, round(sum(s), 6) as score, 'merged_site' as feature, string_agg(id, '; ' order by start, stop, id, ln) as attributes from i group by 1, 2")
+def _(sites):
+    rows = sites.withColumns({"score": F.when(F.col("c") % 4 == 0, None).otherwise(F.col("score")), "feature": F.lit("site"), "attributes": F.col("id")})
+    merged, _ = W.merge_windows(rows, 20, "id", "ln", max_gap=1)
+    return merged.select("sequence", "island", "start", "stop", "n", F.round("score", 6).alias("score"), "feature", "attributes")
+
+
+@query("w3_empty_rows", "sites", _EMPTY + ", g as (select sequence, island, min(start) as a, max(stop) as z from i group by 1, 2), o as (select t.*, (select max(a) from g where g.sequence = t.sequence and g.a <= t.start) as a from t where empty) select o.sequence, o.start, o.id from o left join g on g.sequence = o.sequence and g.a = o.a where g.z is null or o.start > g.z")
+def _(sites):
+    rows = sites.withColumns({"score": F.when(F.col("c") % 4 == 0, None).otherwise(F.col("score")), "feature": F.lit("site"), "attributes": F.col("id")})
+    return W.merge_windows(rows, 20, "id", "ln", max_gap=1)[1].select("sequence", "start", "id")
+
+
 @query("w16_is_sorted", "gff", ", r as (select sequence, coalesce(lag(score) over (" + _ORDER + ") > score, false) as bad from gff) select sequence, count(*) filter (bad) = 0 as sorted from r group by 1")
 def _(gff):
     return W.is_sorted(gff, "score", ["start", "stop", "id", "ln"])

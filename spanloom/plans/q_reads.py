@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import exprs as X
 from spanloom.operators import joins as J
 from spanloom.operators import methyl as M
+from spanloom.operators import seqops as Q
 from spanloom.plans import pipelines as P
 from spanloom.plans.book import query
 
@@ -34,6 +35,14 @@ def _(reads):
 _COUNTS = _CONVERT + ", counts as (select sequence, pos, case when min(context) = max(context) then min(context) else '.' end as context, case when min(strand) = max(strand) then min(strand) else '.' end as strand, count(*) filter (methylated) as c, count(*) filter (not methylated) as t from calls group by 1, 2)"
 
 
+_DI = _CONVERT.replace("case when read_no = 1 then case when u[4] = 'G' then 'CG' when u[5] = 'G' then 'CHG' else 'CHH' end else case when u[2] = 'C' then 'CG' when u[1] = 'C' then 'CHG' else 'CHH' end end", "'C' || case when read_no = 1 then u[4] else translate(u[2], 'ACGT', 'TGCA') end")
+
+
+@query("f14_dinucleotides", _READS, _DI + " select context, methylated, cast(count(*) as bigint) as n from calls group by 1, 2")
+def _(reads):
+    return M.base_calls(_converted(reads), dinucleotides=True).groupBy("context", "methylated").agg(F.count("*").alias("n"))
+
+
 @query("a13_position_counts", _READS, _COUNTS + " select sequence, pos, context, strand, cast(c as bigint) as c, cast(t as bigint) as t, round(c / nullif(c + t, 0), 9) as ratio, c + t > 20 and not regexp_matches(sequence, '^chr[cm]$') as masked from counts")
 def _(reads):
     return M.count_positions(M.base_calls(_converted(reads))).withColumn("ratio", F.round("ratio", 9))
@@ -56,15 +65,15 @@ def _(reads):
     return out.groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t"), F.round(F.sum("c") / F.sum(F.expr("c + t")), 9).alias("ratio"))
 
 
-@query("a17_read_contexts", "fasta", ", r as (select seq_id, substr(seq, 1, 60) as seq from fasta), p as (select seq_id, seq, unnest(range(1, length(seq) + 1)) as i from r) select seq_id, " + "cast(count(*) filter (substr(seq, i, 1) = 'C') as int) as c, cast(count(*) filter (substr(seq, i, 2) = 'CG') as int) as cg, cast(count(*) filter (regexp_matches(substr(seq, i, 3), '^C[ACT]G$')) as int) as chg, cast(count(*) filter (regexp_matches(substr(seq, i, 3), '^C[ACT][ACT]$')) as int) as chh from p group by 1")
+@query("a17_read_contexts", "fasta", ", p as (select seq_id, seq, unnest(range(1, greatest(length(seq), 1) + 1)) as i from fasta where length(seq) > 0), k as (select seq_id, case when seq[i] = 'C' then 1 end as hit, seq[i + 1] as x, seq[i + 2] as y from p) select seq_id, cast(count(hit) as int) as c, cast(count(hit) filter (x = 'G') as int) as cg, cast(count(hit) filter (x in ('A', 'C', 'T') and y = 'G') as int) as chg, cast(count(hit) filter (x in ('A', 'C', 'T') and y in ('A', 'C', 'T')) as int) as chh from k group by 1")
 def _(fasta):
-    rows = fasta.select("seq_id", F.substring("seq", 1, 60).alias("seq")).where("length(seq) > 0")
+    rows = fasta.where("length(seq) > 0")
     return rows.select("seq_id", *M.read_contexts(rows))
 
 
-@query("a17_bulk_contexts", "fasta", ", r as (select cast(substr(seq_id, 2) as bigint) % 2 as read_no, substr(seq, 1, 60) as seq from fasta), p as (select read_no, seq, unnest(range(1, length(seq) + 1)) as i from r) select read_no, cast(count(*) filter (substr(seq, i, 2) = 'CG') as bigint) as cg, cast(count(*) filter (substr(seq, i, 1) = 'C') as bigint) as c from p group by 1")
+@query("a17_bulk_contexts", "fasta", ", r as (select cast(substr(seq_id, 2) as bigint) % 2 as read_no, seq from fasta where length(seq) > 0) select read_no, cast(sum(len(regexp_extract_all(seq, 'CG'))) as bigint) as cg, cast(sum(len(regexp_extract_all(seq, 'C'))) as bigint) as c from r group by 1")
 def _(fasta):
-    rows = fasta.select((F.substring("seq_id", 2, 12).cast("long") % 2).alias("read_no"), F.substring("seq", 1, 60).alias("seq")).where("length(seq) > 0")
+    rows = fasta.select((F.substring("seq_id", 2, 12).cast("long") % 2).alias("read_no"), "seq").where("length(seq) > 0")
     c, cg, _, _ = M.read_contexts(rows)
     return rows.groupBy("read_no").agg(F.sum(cg).alias("cg"), F.sum(c).alias("c"))
 
@@ -92,12 +101,25 @@ def _(a, b):
     return J.mate_rows(J.pair_mates(a, b, 40, 4960), a, b).select("read", "end", "source", "start", "stop", "score")
 
 
+@query("a18_correlated_stats", "hits_a hits_b", _PAIRS + """, m as (select case when l = 0 then 'NM' when l = 1 then 'U' else 'R' end || '/' || case when r = 0 then 'NM' when r = 1 then 'U' else 'R' end as tag, l, r from f), e as (select tag, l as s from m union all select tag, r from m)
+select cast(count(*) as bigint) as "ALL", cast(count(*) filter (s < 1) as bigint) as NM, cast(count(*) filter (s = 1) as bigint) as UT, cast(count(*) filter (s > 1) as bigint) as RT, cast(count(*) filter (s = 1 and tag like '%U/U%') as bigint) as UU, coalesce(sum(case when s = 1 and (tag like '%U/R%' or tag like '%R/U%') then 0.5 when s = 1 and tag like '%R/R%' then 1.0 else 0.0 end), 0) as RR from e""")
+def _(a, b):
+    a, b = (h.withColumn("seq", F.lit("ACGT")) for h in (a, b))
+    return M.correlated_stats(J.mate_rows(J.pair_mates(a, b, 40, 4960), a, b))
+
+
 @query("j12_mate_products", "hits_a hits_b", """, p as (select a."read", a.chrom as sequence, a.coord as start, b.coord as b_start, greatest(a.coord, b.coord) + 35 - least(a.coord, b.coord) + 1 as insert_ from hits_a a join hits_b b on a."read" = b."read" and a.chrom = b.chrom and a.strand <> b.strand) select "read", sequence, start, b_start, insert_, count(*) over (partition by "read") = 1 as "unique" from p where abs(insert_ - 10000) <= 6000""")
 def _(a, b):
     rows = lambda h: h.select("read", F.col("chrom").alias("sequence"), F.col("coord").alias("start"), (F.col("coord") + 35).alias("stop"), "strand")
     return J.mate_products(rows(a), rows(b), 10000, 6000).select("read", "sequence", "start", "b_start", F.col("insert").alias("insert_"), "unique")
 
 
+@query("j12_unique_mates", "hits_a hits_b", """, p as (select a."read", a.coord as start, b.coord as b_start, greatest(a.coord, b.coord) + 35 - least(a.coord, b.coord) + 1 as insert_ from hits_a a join hits_b b on a."read" = b."read" and a.chrom = b.chrom and a.strand <> b.strand), q as (select *, count(*) over (partition by "read") as n from p where abs(insert_ - 18500) <= 150) select "read", start, b_start from q where n = 1""")
+def _(a, b):
+    rows = lambda h: h.select("read", F.col("chrom").alias("sequence"), F.col("coord").alias("start"), (F.col("coord") + 35).alias("stop"), "strand")
+    return J.choose_mates(J.mate_products(rows(a), rows(b), 18500, 150)).select("read", "start", "b_start")
+
+
 @query("j13_paired_stats", "hits_a hits_b", """, a as (select "read", count(*) filter (mismatches = 0) as r0, count(*) filter (mismatches = 1) as r1 from hits_a group by 1), b as (select "read", count(*) filter (mismatches = 0) as r0, count(*) filter (mismatches = 1) as r1 from hits_b group by 1) select 'left' as side, cast(count(*) as bigint) as n, cast(count(*) filter (r0 = 1) as bigint) as u0, cast(count(*) filter (r0 = 0 and r1 = 1) as bigint) as u1 from a union all select 'right', count(*), count(*) filter (r0 = 1), count(*) filter (r0 = 0 and r1 = 1) from b""")
 def _(a, b):
     def one(h, side):
@@ -143,16 +165,17 @@ def _(hits, reads):
     return hits.join(own, "read", "left_semi").select("read", "coord")
 
 
-@query("f12_quality", "part", ", q as (select p_partkey as k, unnest(range(-5, 41)) as q from part) select k, string_agg(chr(cast(floor(33 + 10 * log10(1 + pow(10, q / 10.0)) + 0.499) as int)), '' order by q) as qual from q where k <= 20 group by 1")
+@query("f12_quality", "part", ", q as (select p_partkey as k, unnest(range(-5, 41)) as q from part) select k, string_agg(chr(cast(floor(33 + 10 * log10(1 + pow(10, q / 10.0)) + 0.499) as int)), '' order by q) as qual from q group by 1")
 def _(part):
-    rows = part.where("p_partkey <= 20").select(F.col("p_partkey").alias("k"), F.array_join(F.transform(F.sequence(F.lit(-5), F.lit(40)), lambda q: F.chr(q + 64)), "").alias("s"))
+    rows = part.select(F.col("p_partkey").alias("k"), F.array_join(F.transform(F.sequence(F.lit(-5), F.lit(40)), lambda q: F.chr(q + 64)), "").alias("s"))
     return rows.select("k", X.solexa_to_sanger("s").alias("qual"))
 
 
-@query("f14_contexts", "fasta", ", p as (select seq_id, seq, unnest(range(1, least(length(seq), 50) + 1)) as i from fasta) select case when substr(seq, i + 1, 1) = 'G' then 'CG' when substr(seq, i + 2, 1) = 'G' then 'CHG' else 'CHH' end as context, cast(count(*) as bigint) as n from p where substr(seq, i, 1) = 'C' group by 1")
+@query("f14_contexts", "fasta", ", p as (select seq_id, seq, unnest(range(1, length(seq) + 1)) as i from fasta where length(seq) > 0) select case when substr(seq, i + 1, 1) = 'G' then 'CG' when substr(seq, i + 2, 1) = 'G' then 'CHG' else 'CHH' end as context, cast(count(*) as bigint) as n from p where substr(seq, i, 1) = 'C' group by 1")
 def _(fasta):
-    rows = fasta.where("length(seq) > 0").select("seq", F.explode(F.expr("sequence(1, least(length(seq), 50))")).alias("i")).where(F.expr("substring(seq, i, 1) = 'C'"))
-    return rows.groupBy(X.context("seq", F.col("i")).alias("context")).agg(F.count("*").alias("n"))
+    # pieces with two bases more, so that each place has its context and no long text is copied per place
+    parts = Q.chunks(fasta, 1000, 2).select(F.col("part").alias("seq"), F.explode(F.expr("sequence(1, least(length(part), 1000))")).alias("i"))
+    return parts.where(F.expr("substring(seq, i, 1) = 'C'")).groupBy(X.context("seq", F.col("i")).alias("context")).agg(F.count("*").alias("n"))
 
 
 @query("f17_pair_distance", "hits_a hits_b", """ select a."read", a.hit as ah, b.hit as bh, abs((a.chrom_length - a.coord + 1) - b.coord) as opposite, greatest(0, abs(a.coord - b.coord) - 36) as single from hits_a a join hits_b b on a."read" = b."read" and a.chrom = b.chrom""")

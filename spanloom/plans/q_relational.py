@@ -178,12 +178,12 @@ def _(gff):
     return gff.groupBy("sequence").agg(F.sum(X.span_length()).alias("bases"))
 
 
-_TWO = ", p as (select a.id, a.start as s1, a.stop as e1, b.start as s2, b.stop as e2 from gff a join sites b on a.id = b.id where a.ln = 1)"
+_TWO = ", p as (select a.id, a.start as s1, a.stop as e1, b.start as s2, b.stop as e2 from gff a join sites b on a.id = b.id)"
 
 
 def _two(gff, sites):
     b = sites.select("id", F.col("start").alias("s2"), F.col("stop").alias("e2"))
-    return gff.where("ln = 1").select("id", F.col("start").alias("s1"), F.col("stop").alias("e1")).join(b, "id")
+    return gff.select("id", F.col("start").alias("s1"), F.col("stop").alias("e1")).join(b, "id")
 
 
 @query("f2_range_predicates", "gff sites", _TWO + " select id, e1 < s2 as before, s1 > e2 as after, s1 <= e2 and e1 >= s2 as overlaps from p")

@@ -36,10 +36,28 @@ def _(fasta):
     return fasta.select("seq_id", X.subsequence("seq", F.lit(11), F.lit(30)).alias("plain"), X.subsequence("seq", F.lit(-15), F.lit(-6), reverse=True).alias("tail"))
 
 
-@query("f11_extract", "fasta genes", ", i as (select locus, 'S' || (start // 10 % 200) as sequence, start % 100 + 1 as a, start % 100 + 1 + stop % 30 as b, strand from genes), j as (select i.*, case when b <= length(seq) then substr(seq, cast(a as int), cast(b - a + 1 as int)) end as part from i join fasta f on f.seq_id = i.sequence) select locus, case when strand = '-' then reverse(translate(part, 'ACGT', 'TGCA')) else part end as bases from j")
+#: Intervals on every sequence: each gene lies on the sequence that has its number among all of them, in turn.
+_ON = ", k as (select seq_id, seq, row_number() over (order by seq_id) - 1 as k, count(*) over () as n from fasta), i as (select k.seq_id as sequence, g.locus, g.start, g.stop, g.strand, k.seq from genes g join k on k.k = cast(substr(g.locus, 3) as bigint) % k.n)"
+
+
+def _placed(genes, fasta):
+    from spanloom.operators.ordering import running_total
+
+    numbered = running_total(fasta.select("seq_id").withColumn("one", F.lit(1)), ["seq_id"], "one", "k").select("seq_id", (F.col("k") - 1).alias("k"))
+    n = fasta.count()
+    return genes.withColumn("k", F.expr(f"cast(substring(locus, 3) as bigint) % {n}")).join(numbered, "k").select("locus", F.col("seq_id").alias("sequence"), "start", "stop", "strand")
+
+
+@query("f11_extract", "fasta genes", _ON + ", j as (select *, start % 100 + 1 as a, start % 100 + 1 + stop % 30 as b from i) select locus, case when b <= length(seq) then case when strand = '-' then reverse(translate(substr(seq, cast(a as int), cast(b - a + 1 as int)), 'ACGT', 'TGCA')) else substr(seq, cast(a as int), cast(b - a + 1 as int)) end end as bases from j")
 def _(fasta, genes):
-    rows = genes.selectExpr("locus", "concat('S', cast(start div 10 % 200 as string)) as sequence", "start % 100 + 1 as start", "start % 100 + 1 + stop % 30 as stop", "strand")
-    return Q.extract(rows, fasta).select("locus", "bases")
+    rows = _placed(genes, fasta).selectExpr("locus", "sequence", "start % 100 + 1 as start", "start % 100 + 1 + stop % 30 as stop", "strand")
+    return Q.extract(rows, fasta, size=64).select("locus", "bases")
+
+
+@query("f11_around_tss", "fasta genes", _ON + ", j as (select *, start % 300 + 1 as s, start % 300 + 1 + stop % 30 as e from i), p as (select *, case when strand = '-' then e else s end - 20 as a from j where e - s > 5), q as (select *, greatest(1, a) as x, a + 40 as y from p) select locus, case when y <= length(seq) then case when strand = '-' then reverse(translate(substr(seq, cast(x as int), cast(y - x + 1 as int)), 'ACGT', 'TGCA')) else substr(seq, cast(x as int), cast(y - x + 1 as int)) end end as bases from q")
+def _(fasta, genes):
+    rows = _placed(genes, fasta).selectExpr("locus", "sequence", "start % 300 + 1 as start", "start % 300 + 1 + stop % 30 as stop", "strand")
+    return Q.extract(rows, fasta, distance=41, anchor="tss", longer_than=5).select("locus", "bases")
 
 
 @query("s14_padded", "fasta", f" select seq_id, 'NN' || seq || 'NN' as forward, 'NN' || {_RC} || 'NN' as reverse from fasta")
@@ -87,24 +105,25 @@ def _(fasta):
     return Q.motif_hits(fasta, "CA[CT]G")
 
 
-@query("a37_cg_sites", "fasta", " select seq_id, cast(len(regexp_extract_all(substr(seq, 6, 60), 'CG')) as int) as hits from fasta")
+@query("a37_cg_sites", "fasta", " select seq_id, cast(len(regexp_extract_all(seq, 'CG')) as int) as hits from fasta")
 def _(fasta):
-    return Q.motif_hits(fasta.select("seq_id", F.substring("seq", 6, 60).alias("seq")), "CG")
+    return Q.motif_hits(fasta, "CG")
 
 
-@query("j21_genome_diff", "fasta", ", p as (select seq_id, seq as a, translate(seq, 'G', 'A') as b from fasta where seq_id like '%7') select seq_id, cast(i as int) as pos, substr(a, i, 1) as a, substr(b, i, 1) as b, substr(a, i, 1) || '>' || substr(b, i, 1) as snp from p, unnest(range(1, length(a) + 1)) t(i) where substr(a, i, 1) <> substr(b, i, 1)")
+@query("j21_genome_diff", "fasta", ", p as (select seq_id, seq as a, translate(seq, 'G', 'A') as b from fasta) select seq_id, cast(i as int) as pos, substr(a, i, 1) as a, substr(b, i, 1) as b, substr(a, i, 1) || '>' || substr(b, i, 1) as snp from p, unnest(range(1, length(a) + 1)) t(i) where substr(a, i, 1) <> substr(b, i, 1)")
 def _(fasta):
-    a = fasta.where("seq_id like '%7'")
-    out = Q.differences(a, a.select("seq_id", F.translate("seq", "G", "A").alias("seq")), 500)
+    out = Q.differences(fasta, fasta.select("seq_id", F.translate("seq", "G", "A").alias("seq")), 500)
     return out.withColumn("snp", X.snp_notation("a", "b"))
 
 
-@query("j22_rank_diff", "fasta", ", r as (select seq, row_number() over (order by seq_id) as k from fasta where seq_id like '%7'), s as (select seq, row_number() over (order by seq_id) as k from fasta where seq_id like '%8') select k as rank, cast(count(*) as bigint) as differences from r join s using (k), unnest(range(1, least(length(r.seq), length(s.seq)) + 1)) t(i) where substr(r.seq, i, 1) <> substr(s.seq, i, 1) group by 1")
+@query("j22_rank_diff", "fasta", ", o as (select seq, row_number() over (order by seq_id) as k, count(*) over () as n from fasta), p as (select seq, (k - 1) // 2 + 1 as rank, k % 2 as side from o), r as (select * from p where side = 1), s as (select * from p where side = 0) select rank, cast(sum(len(list_filter(range(1, least(length(r.seq), length(s.seq)) + 1), lambda i: r.seq[i] <> s.seq[i]))) as bigint) as differences from r join s using (rank) group by 1 having sum(len(list_filter(range(1, least(length(r.seq), length(s.seq)) + 1), lambda i: r.seq[i] <> s.seq[i]))) > 0")
 def _(fasta):
+    """Two genomes compared by the rank of their headers: the sequences of odd and of even ranks."""
     from spanloom.operators.ordering import running_total
 
-    ranked = lambda cond: running_total(fasta.where(cond).withColumn("one", F.lit(1)), ["seq_id"], "one", "k").select(F.col("k").alias("seq_id"), "seq")
-    out = Q.differences(ranked("seq_id like '%7'"), ranked("seq_id like '%8'"), 500)
+    ranked = running_total(fasta.withColumn("one", F.lit(1)), ["seq_id"], "one", "k")
+    side = lambda odd: ranked.where(f"k % 2 = {odd}").select(((F.col("k") - 1 - (F.col("k") - 1) % 2) / 2 + 1).cast("long").alias("seq_id"), "seq")
+    out = Q.differences(side(1), side(0), 500)
     return out.groupBy(F.col("seq_id").alias("rank")).agg(F.count("*").alias("differences"))
 
 
@@ -115,30 +134,29 @@ def _(fasta):
     return Q.patch(rows, snps, 128)
 
 
-@query("j18_assembly", "fasta", ", p as (select 'O' || (cast(substr(seq_id, 2) as bigint) % 20) as object, cast(substr(seq_id, 2) as bigint) as part_no, case when cast(substr(seq_id, 2) as bigint) % 3 = 0 then 'N' else 'W' end as type, substr(seq, 1, 25) as seq from fasta) select object, string_agg(case when type = 'N' then repeat('N', 7) else seq end, '' order by part_no) as seq from p group by 1")
+@query("j18_assembly", "fasta", ", p as (select 'O' || (cast(substr(seq_id, 2) as bigint) // 5) as object, cast(substr(seq_id, 2) as bigint) as part_no, case when cast(substr(seq_id, 2) as bigint) % 3 = 0 then 'N' else 'W' end as type, seq from fasta) select object, string_agg(case when type = 'N' then repeat('N', 7) else seq end, '' order by part_no) as seq from p group by 1")
 def _(fasta):
     n = F.substring("seq_id", 2, 12).cast("long")
-    parts = fasta.select(F.concat(F.lit("O"), (n % 20).cast("string")).alias("object"), n.alias("part_no"), F.when(n % 3 == 0, "N").otherwise("W").alias("type"), F.lit(7).alias("length"), F.substring("seq", 1, 25).alias("seq"))
+    parts = fasta.select(F.concat(F.lit("O"), F.floor(n / 5).cast("string")).alias("object"), n.alias("part_no"), F.when(n % 3 == 0, "N").otherwise("W").alias("type"), F.lit(7).alias("length"), "seq")
     return Q.assemble(parts)
 
 
-@query("w15_concat_runs", "fasta", ", r as (select cast(substr(seq_id, 2) as bigint) as ordinal, 'H' || (cast(substr(seq_id, 2) as bigint) // 3) as header, substr(seq, 1, 12) as seq from fasta) select header, string_agg(seq, '' order by ordinal) as seq from r group by 1")
+@query("w15_concat_runs", "fasta", ", r as (select cast(substr(seq_id, 2) as bigint) as ordinal, 'H' || (cast(substr(seq_id, 2) as bigint) // 3) as header, seq from fasta) select header, string_agg(seq, '' order by ordinal) as seq from r group by 1")
 def _(fasta):
     n = F.substring("seq_id", 2, 12).cast("long")
-    rows = fasta.select(n.alias("ordinal"), F.concat(F.lit("H"), F.floor(n / 3).cast("string")).alias("header"), F.substring("seq", 1, 12).alias("seq"))
+    rows = fasta.select(n.alias("ordinal"), F.concat(F.lit("H"), F.floor(n / 3).cast("string")).alias("header"), "seq")
     return Q.concat_runs(rows).select("header", "seq")
 
 
-@query("p13_check_bases", "fasta sites", ", s as (select id, 'S' || (start % 200) as sequence, start % 50 + 1 as start from sites) select id, s.sequence, substr(seq, cast(s.start as int), 1) as base from s join fasta f on f.seq_id = s.sequence where substr(seq, cast(s.start as int), 1) not in ('C', 'G')")
-def _(fasta, sites):
-    rows = sites.selectExpr("id", "concat('S', cast(start % 200 as string)) as sequence", "start % 50 + 1 as start")
-    return Q.check_bases(rows, fasta).select("id", "sequence", "base")
+@query("p13_check_bases", "fasta genes", _ON + ", p as (select locus, sequence, seq, start % 500 + 1 as pos0 from i) select locus, sequence, substr(seq, cast(pos0 as int), 1) as base from p where pos0 <= length(seq) and substr(seq, cast(pos0 as int), 1) not in ('C', 'G')")
+def _(fasta, genes):
+    rows = _placed(genes, fasta).selectExpr("locus", "sequence", "start % 500 + 1 as start")
+    return Q.check_bases(rows, fasta, size=128).select("locus", "sequence", "base")
 
 
-@query("p15_trim_adapter", "fasta", ", r as (select seq_id as name, substr(seq, 1, 120) as seq from fasta), a as (select *, strpos(seq, 'CACGT') as pos0 from r) select name, case when pos0 > 0 then substr(seq, 1, pos0 - 1) else '' end as seq, case when pos0 > 0 then repeat('I', cast(pos0 - 1 as int)) else '' end as qual, case when pos0 = 0 then 'no_adapter' when pos0 - 1 < 20 then 'short' else 'kept' end as status from a")
+@query("p15_trim_adapter", "fasta", ", r as (select seq_id as name, seq from fasta), a as (select *, strpos(seq, 'CACGT') as pos0 from r) select name, case when pos0 > 0 then substr(seq, 1, pos0 - 1) else '' end as seq, case when pos0 > 0 then repeat('I', cast(pos0 - 1 as int)) else '' end as qual, case when pos0 = 0 then 'no_adapter' when pos0 - 1 < 20 then 'short' else 'kept' end as status from a")
 def _(fasta):
-    seq = F.substring("seq", 1, 120)
-    reads = fasta.select(F.col("seq_id").alias("name"), seq.alias("seq"), F.repeat(F.lit("I"), F.length(seq)).alias("qual"))
+    reads = fasta.select(F.col("seq_id").alias("name"), "seq", F.repeat(F.lit("I"), F.length("seq")).alias("qual"))
     return Q.trim_adapter(reads, "CACGTTTTTT", head=5, least=20)
 
 

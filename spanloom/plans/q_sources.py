@@ -49,6 +49,12 @@ def _(gff):
     return rows.select("key", F.size("rows").cast("long").alias("n"), F.col("rows")[0]["start"].alias("first"))
 
 
+@query("s5_rows_without_key", "gff", " select cast(count(*) as bigint) as n from gff where ln = 3")
+def _(gff):
+    text = F.when(F.col("ln") == 3, F.lit("c=1")).otherwise(F.concat(F.lit("ID="), "id"))
+    return T.rows_without(T.parse_gff(_lines(gff, "sequence", "source", "feature", "start", "stop", "score", "strand", F.lit("."), text)), "ID")
+
+
 @query("s6_promoted_columns", "gff", " select sequence, start, id as \"ID\", cast(c as varchar) as c from gff")
 def _(gff):
     return T.promoted(T.parse_gff(_gff_lines(gff)), ["ID", "c"]).select("sequence", "start", "ID", "c")
@@ -61,13 +67,13 @@ def _(gff):
     return rows.select(F.col("attrs")["ID"][0].alias("id"), F.col("attrs")["Name"][1].cast("long").alias("ln"), F.size(F.col("attrs")["Name"]).alias("n"), F.col("attrs")["Name"][1].alias("second"))
 
 
-@query("s8_user_parser", "gff", " select id, length(id) as size from gff where ln = 1")
+@query("s8_user_parser", "gff", " select id, length(id) as size from gff")
 def _(gff):
     def parser(batches):
         for part in batches:
             yield part.assign(size=part["id"].str.len().astype("int64"))
 
-    return gff.where("ln = 1").select("id").mapInPandas(parser, "id string, size long")
+    return gff.select("id").mapInPandas(parser, "id string, size long")
 
 
 @query("s9_by_sequence", "gff", " select sequence, cast(count(*) as bigint) as n from gff group by 1")
@@ -156,6 +162,14 @@ def _(hits):
     return T.parse_export(hits.select(F.concat_ws("\t", *fields).alias("value")), 36).select("sequence", "start", "stop", "strand")
 
 
+@query("s23_export_pairs", "hits_a", """, p as (select chrom as sequence, coord as start, coord + case when strand = '-' then -100 else 150 end + hit * 60 as mate from hits_a), q as (select *, abs(mate - start) + 36 as lib from p) select sequence, start, least(start, mate) + lib / 2 as centre, '/1=' || start || ';/2=' || mate || ';lib=' || lib as attributes from q where lib <= 300""")
+def _(hits):
+    lit = F.lit
+    offset = F.when(F.col("strand") == "-", -100).otherwise(150) + F.col("hit") * 60
+    fields = [lit("x")] * 8 + [lit("ACGT"), lit("IIII"), F.col("chrom"), lit(""), F.col("coord").cast("string"), lit("F")] + [lit("")] * 5 + [offset.cast("string"), lit(""), lit("Y")]
+    return T.parse_export(hits.select(F.concat_ws("\t", *fields).alias("value")), 36, 300).select("sequence", "start", "centre", "attributes")
+
+
 @query("s24_seeker", "hits_a", """ select "read", strand, 'chr' || substr(chrom, 4) as sequence, case when strand = '-' then coord + 3 else coord end as start from hits_a""")
 def _(hits):
     place = F.concat("strand", F.lpad(F.substring("chrom", 4, 2), 4, "0"), F.lit("w"), F.lpad(F.col("coord").cast("string"), 10, "0"))
@@ -170,9 +184,9 @@ def _(hits):
     return T.explode_calls(T.parse_seeker(lines)).groupBy("sequence", "call").agg(F.count("*").alias("n"), F.sum("pos").alias("places"))
 
 
-@query("s25_peaks", "gff", " select sequence, start, stop, score as height from gff where ln = 1")
+@query("s25_peaks", "gff", " select sequence, start, stop, score as height from gff")
 def _(gff):
-    lines = _lines(gff.where("ln = 1"), F.upper("sequence"), "start", "stop", "score", "score", F.lit("0.01"), F.lit("0.05"))
+    lines = _lines(gff, F.upper("sequence"), "start", "stop", "score", "score", F.lit("0.01"), F.lit("0.05"))
     return T.parse_peaks(lines).select("sequence", "start", "stop", "height")
 
 
@@ -224,6 +238,15 @@ def _(region):
     return T.chromosome_lengths(region.sparkSession)
 
 
+_LENGTHS = ", ".join(f"('{g}', '{k}', {n})" for g, own in T.CHROMOSOME_LENGTHS.items() for k, n in own.items())
+
+
+@query("s33_chromosomes_of_genomes", "region", f"select genome, sequence, cast(n as bigint) as length from (values {_LENGTHS}) t(genome, sequence, n) where genome <> 'arabidopsis'")
+def _(region):
+    parts = [T.chromosome_lengths(region.sparkSession, g).select(F.lit(g).alias("genome"), "sequence", "length") for g in ("rice", "puffer")]
+    return parts[0].unionByName(parts[1])
+
+
 @query("s35_store_view", "gff", " select sequence, cast(count(*) as bigint) as n from gff where strand = '+' group by 1")
 def _(gff):
     spark = gff.sparkSession
@@ -252,6 +275,11 @@ def _(genes):
     return K.soft_table(genes, ["sequence", "start", "locus"], "stop")
 
 
+@query("k4_soft_lines", "sites", ", r as (select row_number() over (order by sequence, start, id) as k, * from sites), n as (select count(*) as n from sites) select cast(k as bigint) as line, k || chr(9) || printf('%g', floor(c * 100)) || chr(9) || c || chr(9) || t || chr(9) || sequence || chr(9) || start || chr(9) || strand || chr(9) as value from r union all select n + 1, '!Sample_table_end' from n union all select i - 7, x from (values (0, '#ID_REF = '), (1, '#VALUE = Fractional methylation: c / (c + t)'), (2, '#NoC = Number of sequenced methylated cytosines'), (3, '#NoT = Number of sequenced non-methylated cytosines'), (4, 'Coord = Forward strand position'), (5, 'Strand = Orientation of alignment'), (6, '!Sample_table_begin'), (7, 'ID_REF' || chr(9) || 'VALUE' || chr(9) || 'NoC' || chr(9) || 'NoT' || chr(9) || 'Chr' || chr(9) || 'Coord' || chr(9) || 'Strand')) h(i, x)")
+def _(sites):
+    return K.soft_lines(sites.withColumn("score", F.floor(F.col("c") * 100).cast("double")), ["sequence", "start", "id"])
+
+
 @query("k5_attribute_table", "gff", " select sequence, start, id as \"ID\", 'free text' as \"Note\" from gff")
 def _(gff):
     return K.attribute_table(T.parse_gff(_gff_lines(gff)), ["ID", "Note"]).select("sequence", "start", "ID", "Note")
@@ -273,6 +301,12 @@ def _(hits):
     return K.fragments(rows).select("sequence", "feature", "start", "stop", "score", "strand")
 
 
+@query("k8_paired_fragments", "hits_a hits_b", """ select a.chrom as sequence, a.coord as start, b.coord + 3 as stop, 'alt=0' as attributes from hits_a a join hits_b b on a."read" = b."read" and a.hit = b.hit""")
+def _(a, b):
+    rows = lambda h: h.select("read", "hit", F.col("chrom").alias("target"), "coord", F.lit("ACGT").alias("seq"), F.lit(0).alias("alternatives"))
+    return K.paired_fragments(rows(a), rows(b)).select("sequence", "start", "stop", "attributes")
+
+
 @query("k12_header_lines", "genes", " select '# ' || unnest(['made by test', 'columns: 9']) as value union all select sequence || chr(9) || '.' || chr(9) || '.' || chr(9) || start || chr(9) || stop || chr(9) || '.' || chr(9) || strand || chr(9) || '.' || chr(9) || '.' from genes")
 def _(genes):
     return K.with_header(K.gff_line(genes), ["made by test", "columns: 9"])

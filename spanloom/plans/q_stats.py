@@ -77,6 +77,22 @@ def _(a, b):
     return out.select(F.lit("compare").alias("source"), "sequence", "start", "stop", F.round("score", 6).alias("score"), F.round("statistic", 6).alias("statistic"))
 
 
+@query(
+    "a40_compare_islands",
+    "sites sites_b",
+    ", p as (select a.sequence, a.start, a.stop, a.c as n11, a.t as n12, b.c as n21, b.t as n22 from sites a join sites_b b on a.sequence = b.sequence and a.start = b.start and a.stop = b.stop where not (a.c = 0 and b.c = 0))"
+    ", r as (select *, max(stop) over (partition by sequence order by start, stop rows between unbounded preceding and 1 preceding) as reach from p)"
+    ", n as (select *, case when reach is null or start - reach > 31 then 1 else 0 end as brk from r)"
+    ", i as (select *, sum(brk) over (partition by sequence order by start, stop rows between unbounded preceding and current row) as island from n)"
+    ", q as (select sequence, island, min(start) as start, max(stop) as stop, cast(sum(n11) as double) as n11, cast(sum(n12) as double) as n12, cast(sum(n21) as double) as n21, cast(sum(n22) as double) as n22 from i group by 1, 2)"
+    ", m as (select *, n11 + n12 as n1p, n21 + n22 as n2p, n11 + n21 as np1, n12 + n22 as np2, n11 + n12 + n21 + n22 as npp from q)"
+    f" select sequence, start, stop, 'x:sub:y' as feature, round(n11 / nullif(n1p, 0) - n21 / nullif(n2p, 0), 6) as score, round(npp * {_PHI}, 6) as statistic from m",
+)
+def _(a, b):
+    out = S.compare_islands(a.withColumn("feature", F.lit("x")), b.withColumn("feature", F.lit("y")), "x2", distance=30)
+    return out.select("sequence", "start", "stop", "feature", F.round("score", 6).alias("score"), F.round("statistic", 6).alias("statistic"))
+
+
 @query("p12_pair_filters", "sites sites_b", " select a.sequence, a.start, round(a.score - b.score, 6) as difference from sites a join sites_b b on a.sequence = b.sequence and a.start = b.start and a.stop = b.stop where a.c + a.t >= 10 and b.c + b.t >= 10 and abs(a.score - b.score) >= 0.25")
 def _(a, b):
     out = S.compare(a, b, "dice", least_sites=10, least_difference=0.25)

@@ -105,33 +105,47 @@ ADAPTERS: dict[str, tuple[str, list[str]]] = {
             "cast(20000 as bigint) as chrom_length",
         ],
     ),
+    # whole texts, cut into reads of 40 bases one behind the other
     "reads": (
-        "documents",
+        "tiles",
         [
-            "concat('r', cast(doc_id as varchar(20))) as name",
-            f"substr({_DNA}, 3, 40) as bases",
-            f"substr({_DNA}, 1, 44) as target",
+            "concat('r', cast(doc_id + k * 1000003 as varchar(20))) as name",
+            "substr(dna, cast(k * 40 + 1 as int), 40) as bases",
+            "substr(concat('NN', dna, 'NN'), cast(k * 40 + 1 as int), 4 + length(substr(dna, cast(k * 40 + 1 as int), 40))) as target",
             "concat('chr', cast(doc_id % 4 + 1 as varchar(9))) as sequence",
-            "doc_id % 50 * 20 + 1 as start",
-            f"doc_id % 50 * 20 + length(substr({_DNA}, 3, 40)) as stop",
+            "(doc_id - doc_id % 4) * 50 + k * 40 + 1 as start",
+            "(doc_id - doc_id % 4) * 50 + k * 40 + 1 + length(substr(dna, cast(k * 40 + 1 as int), 40)) as stop",
             "case when doc_id % 2 = 0 then '+' else '-' end as strand",
             "cast(doc_id % 2 + 1 as int) as read_no",
-            "cast(5000 as bigint) as length",
+            "cast(4000000000 as bigint) as length",
         ],
     ),
     "lists": ("labels", ["concat('AT', cast(doc_id as varchar(20))) as id", "cast(quality as double) as list_score", "cast(toxic as int) as toxic", "doc_id as ordinal"]),
 }
 
 
+#: The documents' bases with a row for each run of 40 (k, from 0), for DuckDB.
+_TILES = f"(select doc_id, dna, unnest(range(0, greatest(length(dna) - 1, 0) // 40 + 1)) as k from (select doc_id, {_DNA} as dna from documents where text is not null) y) tiles"
+
+
+def _portable(text: str) -> str:
+    return text.replace(", 'g')", ")").replace('"read"', "`read`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An adapter's table, or one of the driver's."""
     if name not in ADAPTERS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     base, columns = ADAPTERS[name]
-    rows = spread(spark.read.parquet(f"{sf_dir}/{base}.parquet"))
-    return rows.selectExpr(*[c.replace(", 'g')", ")").replace('"read"', "`read`") for c in columns])
+    if base == "tiles":
+        rows = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("text is not null")
+        rows = rows.selectExpr("doc_id", _portable(_DNA) + " as dna").selectExpr("doc_id", "dna", "explode(sequence(0L, greatest(length(dna) - 1, 0) div 40)) as k")
+    else:
+        rows = spread(spark.read.parquet(f"{sf_dir}/{base}.parquet"))
+    return rows.selectExpr(*map(_portable, columns))
 
 
 def with_sql(*names: str) -> str:
     """The adapters as common table expressions for DuckDB."""
-    return "with " + ", ".join(f"{n} as (select {', '.join(ADAPTERS[n][1])} from {ADAPTERS[n][0]})" for n in names)
+    base = lambda n: _TILES if ADAPTERS[n][0] == "tiles" else ADAPTERS[n][0]
+    return "with " + ", ".join(f"{n} as (select {', '.join(ADAPTERS[n][1])} from {base(n)})" for n in names)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from itertools import permutations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,12 +139,22 @@ def explode_hits(eland: DataFrame) -> DataFrame:
     return eland.select("read", "seq", F.posexplode_outer("hits").alias("hit", "h")).select("read", "seq", "hit", "h.*")
 
 
-def parse_export(df: DataFrame, read_size: int) -> DataFrame:
-    """22 fields; rows of QC, NM or several matches are dropped."""
+def parse_export(df: DataFrame, read_size: int, library_size: int | None = None) -> DataFrame:
+    """22 fields; rows of QC, NM or several matches are dropped. centre is the middle of the read.
+
+    With library_size the reads are pairs: the 20th field is the other end's offset, centre is the middle of the
+    fragment, and fragments longer than library_size are dropped; attributes names both ends and the fragment's length."""
     f = F.split("value", "\t", -1)
     rows = df.where((F.size(f) == 22) & ~f[10].rlike(r"^(QC|NM|\d+:\d+:\d+)$") & f[12].rlike(r"^\d+$"))
     strand = F.when(f[13] == "R", "-").otherwise("+")
-    return rows.select(F.lower(F.regexp_replace(f[10], r"\.fa$", "")).alias("sequence"), f[12].cast("long").alias("start"), (f[12].cast("long") + read_size - 1).alias("stop"), strand.alias("strand"), f[8].alias("seq"))
+    start, mate = f[12].cast("long"), f[12].cast("long") + f[19].try_cast("long")
+    first, lib = F.least(start, mate), F.abs(mate - start) + read_size
+    out = rows.select(
+        F.lower(F.regexp_replace(f[10], r"\.fa$", "")).alias("sequence"), start.alias("start"), (start + read_size - 1).alias("stop"), strand.alias("strand"), f[8].alias("seq"),
+        (first + lib / 2 if library_size else start + F.lit(read_size) / 2).alias("centre"),
+        (F.concat(F.lit("/1="), start, F.lit(";/2="), mate, F.lit(";lib="), lib) if library_size else F.concat(F.lit("/1="), start)).alias("attributes"), lib.alias("__lib"),
+    )
+    return (out.where(F.col("__lib") <= library_size) if library_size else out).drop("__lib")
 
 
 def parse_seeker(df: DataFrame) -> DataFrame:
@@ -227,12 +240,30 @@ def eland_role(gff: DataFrame) -> DataFrame:
     return gff.select("*", pair.alias("pair_id"), read.alias("read_no"), seq.alias("read_seq"))
 
 
-#: Lengths of the chromosomes of one plant genome, as fixed values.
-CHROMOSOME_LENGTHS = {"chr1": 30432563, "chr2": 19705359, "chr3": 23470805, "chr4": 18585042, "chr5": 26992728, "chrc": 154478, "chrm": 366924}
+#: Lengths of the chromosomes of two plant genomes and a fish's, as fixed values.
+CHROMOSOME_LENGTHS = {
+    "arabidopsis": {"chr1": 30432563, "chr2": 19705359, "chr3": 23470805, "chr4": 18585042, "chr5": 26992728, "chrc": 154478, "chrm": 366924},
+    "rice": {
+        "chr01": 43596771, "chr02": 35925388, "chr03": 36345490, "chr04": 35244269, "chr05": 29874162, "chr06": 31246789, "chr07": 29688601,
+        "chr08": 28309179, "chr09": 23011239, "chr10": 22876596, "chr11": 28462103, "chr12": 27497214, "chrc": 134525, "chrm": 490520,
+    },
+    "puffer": {
+        "1": 22981688, "1_random": 1180980, "2": 21591555, "2_random": 2082209, "3": 15489435, "4": 9874776, "5": 13390619, "6": 7024381, "7": 11693588,
+        "8": 10512681, "9": 10554956, "10": 13272281, "11": 11954808, "12": 12622881, "13": 13302670, "14": 10246949, "15": 7320470, "15_random": 3234215,
+        "16": 9031048, "17": 12136232, "18": 11077504, "19": 7272499, "20": 3798727, "21": 5834722, "21_random": 3311323, "mt": 16462,
+    },
+}
+
 
+def chromosome_lengths(spark: SparkSession, genome: str = "arabidopsis") -> DataFrame:
+    return spark.createDataFrame(list(CHROMOSOME_LENGTHS[genome].items()), "sequence string, length long")
 
-def chromosome_lengths(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CHROMOSOME_LENGTHS.items()), "sequence string, length long")
+
+def rows_without(gff: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows lack a column or attribute, and so are in no group of indexed_by()."""
+    from spanloom.operators.relational import column_or_attribute
+
+    return gff.agg(F.count_if(column_or_attribute(gff, key).isNull()).alias("n"))
 
 
 def indexed_by(gff: DataFrame, key: str) -> DataFrame:
@@ -248,7 +279,19 @@ def by_sequence(gff: DataFrame) -> DataFrame:
     return gff.repartition("sequence").sortWithinPartitions("sequence", "start")
 
 
-def find_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """Paths under root whose names match a glob, in any folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return files.select("path", "length")
+def find_files(spark: SparkSession, root: str, pattern: str = "*", parts: tuple[str, ...] = ()) -> DataFrame:
+    """(path, length) of the files under root, in any folder, whose names match a glob and hold all parts, one behind
+    the other in any order and any case. Only names and lengths are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("path", "length")
+    if not parts:
+        return files
+    orders = ("|".join(".*".join(re.escape(p) for p in order) for order in permutations(parts)))
+    return files.where(F.regexp_extract("path", r"[^/]*$", 0).rlike(f"(?i){orders}"))
+
+
+def one_file(spark: SparkSession, root: str, parts: tuple[str, ...], default: str | None = None) -> str:
+    """The path of the one file that find_files() finds; the default where there is none. More than one is an error."""
+    found = [r.path for r in find_files(spark, root, parts=parts).limit(2).collect()]
+    if len(found) > 1 or not (found or default):
+        raise ValueError(f"expected one file with {parts} under {root}, found {'several' if found else 'none'}")
+    return found[0] if found else default

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions import exprs as X
@@ -49,6 +50,16 @@ def test_fasta_round_trip(spark, tmp_path):
     assert got == dict(rows)
 
 
+def test_fastq_of_many_records(spark, tmp_path):
+    """Several files and splits, and several ranges of the numbering: no record mixes lines of others."""
+    n = 500_000
+    df = spark.range(0, n, 1, 3).selectExpr("concat('r', id) as name", "repeat('A', int(id % 5 + 1)) as seq", "repeat('I', int(id % 5 + 1)) as qual")
+    K.write_lines(K.fastq_record(df), str(tmp_path / "fq"))
+    got = T.read_fastq(spark, str(tmp_path / "fq"))
+    r = got.agg(F.count("*").alias("n"), F.count_distinct("name").alias("d"), F.sum(F.length("seq")).alias("s"), F.count_if(F.expr("length(seq) <> int(substring(name, 2)) % 5 + 1 or length(qual) <> length(seq)")).alias("bad")).first()
+    assert (r.n, r.d, r.s, r.bad) == (n, n, 3 * n, 0)
+
+
 def test_fastq_round_trip(spark, tmp_path):
     rows = [(f"r{i}", "ACGT"[: i % 4 + 1], "IIII"[: i % 4 + 1]) for i in range(50)]
     K.write_lines(K.fastq_record(spark.createDataFrame(rows, "name string, seq string, qual string")).coalesce(1), str(tmp_path / "fq"))
@@ -69,6 +80,36 @@ def test_gff_file_round_trip_and_split(spark, tmp_path):
     assert T.find_files(spark, str(tmp_path), "*.parquet").count() >= 1
 
 
+def test_files_by_parts_of_names(spark, tmp_path):
+    for name in ("x/a_chr1_CG.gff", "x/y/CG.chr1.gff", "chr1.gff", "x/CG.gff", "x/CHR1-cg.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    found = {r.path.rsplit("/", 1)[1] for r in T.find_files(spark, str(tmp_path), parts=("chr1", "CG")).collect()}
+    assert found == {"a_chr1_CG.gff", "CG.chr1.gff", "CHR1-cg.txt"}
+    assert T.one_file(spark, str(tmp_path), ("CHR1-cg", "txt")).endswith("CHR1-cg.txt") and T.one_file(spark, str(tmp_path), ("nothing",), "none") == "none"
+    for parts in (("chr1",), ("nothing",)):
+        with pytest.raises(ValueError):
+            T.one_file(spark, str(tmp_path), parts)
+
+
+def test_memberships_and_slices_as_files(spark, tmp_path):
+    lists = spark.createDataFrame([("a", "1"), ("b", "1"), ("a", "2"), ("b", "2"), ("c", "2")], "list string, id string")
+    K.write_memberships(R.combinations(lists), str(tmp_path / "sets"))
+    assert {(r.combo, str(r.value)) for r in spark.read.text(str(tmp_path / "sets")).collect()} == {("a&b", "1"), ("a&b&c", "2")}
+    rows = spark.createDataFrame([("c", i, i + 1, i // 4) for i in range(10)], "sequence string, start long, stop long, slice long")
+    K.write_slices(rows, str(tmp_path / "slices"))
+    got = spark.read.text(str(tmp_path / "slices"))
+    assert {r["slice"]: r["count"] for r in got.groupBy("slice").count().collect()} == {0: 4, 1: 4, 2: 2}
+    K.write_split(rows, str(tmp_path / "split"), "sequence", files=3)
+    assert spark.read.parquet(str(tmp_path / "split")).where("sequence = 'c'").count() == 10
+
+
+def test_a_sample_of_too_few_rows_is_an_error(spark):
+    assert R.sample_rows(spark.range(5), 5, 1).count() == 5
+    with pytest.raises(ValueError):
+        R.sample_rows(spark.range(5), 6, 1)
+
+
 def test_numbers_as_g(spark):
     values = [0.5, 0.0, 100000.0, 1000000.0, 1234567.0, 0.0001, 0.00001234, -2.5, 123456.5, 1e-300, 3.0]
     got = [r.g for r in spark.createDataFrame([(v,) for v in values], "v double").select(X.format_g("v").alias("g")).collect()]
