@@ -48,14 +48,25 @@ def attribute_map(text) -> Column:
     """Tokens `key=value` between semicolons, both sides trimmed; a bare token is the value of Note.
 
     The last of equal keys wins, and a trailing `*` of the whole string is no part of it."""
-    t = F.regexp_replace(_c(text), r"\*$", "")
-    t = F.regexp_replace(F.trim(t), r"\s*([;=])\s*", "$1")
-    t = F.regexp_replace(t, "=([^=;]*)=[^;]*", "=$1")
-    t = F.regexp_replace(t, "(^|;)([^=;]+)(?=;|$)", "$1Note=$2")
-    t = F.regexp_replace(t, "^;+|;+$|;(?=;)", "")
-    # an entry goes where its key comes again
-    t = F.regexp_replace(t, r"(?:^|(?<=;))([^=;]*)=[^;]*;(?=(?:.*;)?\1=)", "")
-    return F.coalesce(F.str_to_map(F.nullif(t, F.lit("")), F.lit(";"), F.lit("=")), F.create_map().cast("map<string,string>"))
+    cut = F.filter(F.split(F.regexp_replace(_c(text), r"\*$", ""), ";"), lambda x: _bare(x) != "")
+
+    def entry(x: Column) -> Column:
+        parts = F.split(x, "=")
+        named = F.size(parts) > 1
+        return F.struct(F.when(named, _bare(parts[0])).otherwise("Note").alias("k"), F.when(named, _bare(parts[1])).otherwise(_bare(x)).alias("v"))
+
+    def last_wins(e: Column) -> Column:
+        later = lambda x, i: F.exists(F.slice(e, i + 2, F.size(e)), lambda y: y["k"] == x["k"])
+        keys = F.transform(e, lambda x: x["k"])
+        return F.when(F.size(F.array_distinct(keys)) == F.size(e), e).otherwise(F.filter(e, lambda x, i: ~later(x, i)))
+
+    # an array of one binds the entries, so they are made once
+    found = F.transform(F.array(F.transform(cut, entry)), last_wins)[0]
+    return F.coalesce(F.map_from_entries(found), F.create_map().cast("map<string,string>"))
+
+
+def _bare(x: Column) -> Column:
+    return F.btrim(x, F.lit(" \t\r\n"))
 
 
 def has_asterisk(text) -> Column:

@@ -140,18 +140,18 @@ def pair_mates(left: DataFrame, right: DataFrame, offset: int, distance: int, tr
     are placed at one of their hits by chance (the right end only with trust_right) and marked. A single left end is
     placed, a single right end without a left one only with trust_right. The chance depends on read, hit and seed
     alone, so a repeated task places the same."""
-    n_left = left.groupBy("read").agg(F.count("hit").alias("l"))
-    n_right = right.groupBy("read").agg(F.count("hit").alias("r"))
-    counts = n_left.join(n_right, "read", "full").select("read", F.coalesce("l", F.lit(0)).alias("l"), F.coalesce("r", F.lit(0)).alias("r"))
-    a = left.where("hit is not null").select("read", *[F.col(c).alias("a_" + c) for c in ("chrom", "coord", "length", "chrom_length", "strand", "hit")])
-    b = right.where("hit is not null").select("read", *[F.col(c).alias("b_" + c) for c in ("chrom", "coord", "length", "strand", "hit")])
-    score = X.pair_distance("a_coord", "b_coord", "a_chrom_length")
-    pairs = a.join(b, "read").where("a_chrom = b_chrom and a_strand <> b_strand").withColumn("score", score).where(F.col("score") <= offset + distance)
-    best = best_per(pairs, ["read"], ["score", "a_hit", "b_hit", "a_coord", "b_coord"]).select("read", "a_coord", "b_coord", "score")
-    chance = lambda end: F.xxhash64("read", f"{end}_hit", F.lit(seed or 0))
-    one_a = a.groupBy("read").agg(F.min_by("a_coord", F.struct("a_hit", "a_coord")).alias("only_a"), F.min_by("a_coord", F.struct(chance("a"), "a_hit", "a_coord")).alias("any_a"))
-    one_b = b.groupBy("read").agg(F.min_by("b_coord", F.struct("b_hit", "b_coord")).alias("only_b"), F.min_by("b_coord", F.struct(chance("b"), "b_hit", "b_coord")).alias("any_b"))
-    found = counts.join(best, "read", "left").join(one_a, "read", "left").join(one_b, "read", "left")
+    hit = F.struct("hit", "coord", "chrom", "strand", "chrom_length")
+    own = lambda df, end: df.select("read", F.lit(end).alias("end"), F.when(F.col("hit").isNotNull(), hit).alias("h"))
+    ends = lambda end: F.collect_list(F.when(F.col("end") == end, F.col("h"))).alias(end)
+    # both ends of a read meet once; an aligner bounds the hits of a read
+    reads = own(left, "a").unionByName(own(right.withColumn("chrom_length", F.lit(None).cast(left.schema["chrom_length"].dataType)), "b")).groupBy("read").agg(ends("a"), ends("b"))
+    apart = "abs((x.chrom_length - x.coord + 1) - y.coord)"
+    near = f"filter(b, y -> x.chrom = y.chrom and x.strand <> y.strand and {apart} <= {offset + distance})"
+    pairs = f"flatten(transform(a, x -> transform({near}, y -> struct({apart} as score, x.hit as a_hit, y.hit as b_hit, x.coord as a_coord, y.coord as b_coord))))"
+    first = lambda end: f"array_min(transform({end}, x -> struct(x.hit as hit, x.coord as coord))).coord as only_{end}"
+    lot = lambda end: f"array_min(transform({end}, x -> struct(xxhash64(read, x.hit, {seed or 0}) as lot, x.hit as hit, x.coord as coord))).coord as any_{end}"
+    found = reads.selectExpr("read", "cast(size(a) as bigint) as l", "cast(size(b) as bigint) as r", f"array_min({pairs}) as best", first("a"), lot("a"), first("b"), lot("b"))
+    found = found.select("*", "best.score", "best.a_coord", "best.b_coord")
     kind = lambda c: F.when(F.col(c) == 0, "NM").when(F.col(c) == 1, "U").otherwise("R")
     fits = F.col("score").isNotNull() & ((F.col("score") >= offset) | ((F.col("l") == 1) & (F.col("r") == 1)))
     by_chance = F.lit(seed is not None) & ~F.coalesce(fits, F.lit(False))
