@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.plans import q_aggregate, q_interval, q_order, q_reads, q_relational, q_sequence, q_sources, q_stats
+from spanloom.plans import q_aggregate, q_files, q_interval, q_order, q_reads, q_relational, q_sequence, q_sources, q_stats
 from spanloom.plans.book import ORACLES, QUERIES
 
-MODULES = (q_aggregate, q_interval, q_order, q_reads, q_relational, q_sequence, q_sources, q_stats)
+MODULES = (q_aggregate, q_files, q_interval, q_order, q_reads, q_relational, q_sequence, q_sources, q_stats)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
