@@ -123,5 +123,6 @@ def sort_rows(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def collect_rows(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """The rows of each group as an array of structs, sorted."""
+    """The rows of each group as an array of structs, sorted: the result asked for is as long as the group, so keys
+    should tell small groups apart."""
     return df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("rows"))

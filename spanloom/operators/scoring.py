@@ -33,6 +33,7 @@ def fully_diluted() -> list[Column]:
 
 
 def loci() -> list[Column]:
+    """The ids of a window's rows in one list, which is the result asked for and as long as the window has rows."""
     ids = F.transform(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("start", "id")))), lambda x: x["id"])
     return [F.count("*").alias("n"), F.array_join(ids, ",").alias("ids"), F.count_if(F.col("id").isNull()).alias("unknown")]
 

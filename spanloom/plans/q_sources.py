@@ -46,7 +46,7 @@ def _(gff):
 @query("s5_indexed_rows", "gff", " select id as key, cast(count(*) as bigint) as n, min(start) as first from gff group by 1")
 def _(gff):
     rows = T.indexed_by(T.parse_gff(_gff_lines(gff)), "ID")
-    return rows.select("key", F.size("rows").cast("long").alias("n"), F.col("rows")[0]["start"].alias("first"))
+    return rows.groupBy("key").agg(F.max("rank").cast("long").alias("n"), F.min(F.when(F.col("rank") == 1, F.col("start"))).alias("first"))
 
 
 @query("s5_rows_without_key", "gff", " select cast(count(*) as bigint) as n from gff where ln = 3")

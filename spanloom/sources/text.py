@@ -266,12 +266,14 @@ def rows_without(gff: DataFrame, key: str) -> DataFrame:
     return gff.agg(F.count_if(column_or_attribute(gff, key).isNull()).alias("n"))
 
 
-def indexed_by(gff: DataFrame, key: str) -> DataFrame:
-    """Rows grouped by a column or attribute, each group sorted by start; rows without it are not in any."""
+def indexed_by(gff: DataFrame, key: str, *more: str) -> DataFrame:
+    """Rows with their key (a column or attribute) and their rank (from 1) by start within it; `more` completes the
+    order. Rows without the key are left out, as rows_without() counts. No group is held as a whole."""
+    from spanloom.operators.ordering import Along
     from spanloom.operators.relational import column_or_attribute
 
-    rows = gff.withColumn("__key", column_or_attribute(gff, key)).where("__key is not null")
-    return rows.groupBy(F.col("__key").alias("key")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("rows"))
+    rows = gff.withColumn("key", column_or_attribute(gff, key)).where("key is not null").withColumn("__one", F.lit(1))
+    return Along(rows, ["key"], ["start", "stop", *more]).total("__one", "rank").done().drop("__one")
 
 
 def by_sequence(gff: DataFrame) -> DataFrame:
