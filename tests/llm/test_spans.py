@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import pii, secretscan
+from spanloom.llm import pii, registry, secretscan
 from spanloom.llm.matches import spelled
 from tests.llm import brute
 
@@ -26,6 +26,17 @@ def test_personal_data_base_spans(rows, docs):
             assert set(filter(None, r.b.split(","))) <= set(r.s.split(","))
 
 
+@pytest.mark.parametrize("name, plain, counts", [("op3_pii", brute.pii, ("n_email", "n_ip", "n_card", "n_phone")), ("op8_secrets", brute.secrets, ("n_assign", "n_access", "n_hex"))])
+def test_registered_queries_against_brute_force(spark, sf, docs, name, plain, counts):
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = registry.queries()[name](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        n, spans = plain(texts[r.doc_id])
+        assert [r[c] for c in counts] == n and r.base_sha256 == brute.sha(spans)
+        assert set(filter(None, spans.split(","))) <= set(r.spans.split(","))
+
+
 def test_personal_data_added_spans(spark, docs):
     model = pii.train(docs)
     texts = ["mail bob (at) corp (dot) com now", "call (504) 555-2652 now", "ssn 123-45-6789 x", "on 2021-03-04 we met", "version 1.2.3456 x", "the fox at home. Then it left"]
