@@ -294,8 +294,9 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str
     """df's columns (those in keep, or all) with its texts' ids (array of int) and the text that decoding the ids gives.
 
     Exactly the sentencepiece library's ids for a BPE model, without begin or end ids; a null text
-    counts as empty. Columns of df that have these names are replaced. model_path must be readable by
-    every executor. Rows stay in their partitions; nothing is shuffled."""
+    counts as empty. Very long texts are encoded whole; where pairs score alike the leftmost is merged first, as in the
+    library. Equal rows have equal results; an empty table gives an empty one. Columns of df that have these names are
+    replaced. model_path must be readable by every executor. Rows stay in their partitions; nothing is shuffled."""
     kept = [c for c in keep or df.columns if c.lower() not in (ids_col.lower(), decoded_col.lower())]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType())), T.StructField(decoded_col, T.StringType())])
     at = len(kept)

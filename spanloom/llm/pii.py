@@ -260,8 +260,10 @@ def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     structs (no, kind, start, end) by kind and start, in characters of the text, ends exclusive.
 
     spans holds all base spans, and those candidates apart from them that the trees accept, of overlapping ones the
-    likeliest: addresses in disguise (email), card and social security numbers (card, ssn) and other runs of digits
-    (phone). A null text counts as empty. Columns of df that have these names are replaced."""
+    likeliest, of equally likely ones the longest, then the first: addresses in disguise (email), card and social
+    security numbers (card, ssn) and other runs of digits (phone). Spans of different stated kinds may overlap each
+    other; added ones overlap none. A null text counts as empty. Very long texts are searched whole; equal rows have
+    equal results; an empty table gives an empty one. Columns of df that have these names are replaced."""
     made = ["n_email", "n_ip", "n_card", "n_phone", "base_spans", "spans"]
     kept = [F.col(f"__row.`{c}`").alias(c) for c in df.columns if c.lower() not in made]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"))
