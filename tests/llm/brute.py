@@ -1,6 +1,7 @@
 """Plain versions that the operators are held against."""
 
 import hashlib
+import math
 import re
 from itertools import combinations
 
@@ -92,3 +93,54 @@ def contamination(text, items, size=10):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def bucket(gram: bytes, bits: int) -> int:
+    """The hash bucket of an n-gram."""
+    key = 0
+    for c in gram:
+        key = (key * 16777619 + c) % 2**32
+    key = ((key ^ (key >> 15)) * 0x9E3779B1 + len(gram) * 0x85EBCA6B) % 2**32
+    return ((key ^ (key >> 13)) * 0xC2B2AE35) % 2**32 >> (32 - bits)
+
+
+def grams(word: bytes, sizes, bits: int) -> list[int]:
+    """The buckets of a word's n-grams with a boundary on either side."""
+    padded = b"\0" + word + b"\0"
+    return [bucket(padded[i : i + n], bits) for n in sizes for i in range(len(padded) - n + 1)]
+
+
+def rejected(text, model, table: bytes, sizes, bits: int) -> bool:
+    """Whether a language model turns a text away: plain averages of its n-grams' rows, softmax, threshold."""
+    if not re.search(r"[^\W\d_]", text or ""):
+        return True
+    counted: dict[bytes, int] = {}
+    for w in text.encode().translate(table).split(b"\0"):
+        if w:
+            counted[w] = counted.get(w, 0) + 1
+    total, n = [0.0] * len(model.languages), 0
+    for w, k in counted.items():
+        for g in grams(w, sizes, bits):
+            n += k
+            for i, v in enumerate(model.table[g].tolist()):
+                total[i] += k * v
+    z = [model.sharpness * (t / max(n, 1) + b) for t, b in zip(total, model.bias)]
+    e = [math.exp(x - max(z)) for x in z]
+    return max(e) / sum(e) < model.reject
+
+
+def redacted(text, model, token: str, mark: str = "[SECRET]"):
+    """A text without its secrets: stated patterns, and tokens that the character model calls random."""
+    if text is None:
+        return None
+    base = [(m.start(), m.end()) for _, p, ok in SECRETS for m in p.finditer(text) if ok(m)]
+    more = [(m.start(), m.end()) for m in re.finditer(token, text) if not any(a <= m.start() and m.end() <= b for a, b in base) and model.mean_ratio(m[0]) >= model.threshold(len(m[0]))]
+    merged = []
+    for a, b in sorted(base + more):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    for a, b in reversed(merged):
+        text = text[:a] + mark + text[b:]
+    return text

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from spanloom.llm import boosting, langid, pieces, quality, registry, toxicity
+from tests.llm import brute
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -102,19 +103,6 @@ def test_misspelled_words_share_subwords():
     assert p[0] > 0.5 and p[1] > 0.5 and p[2] < 0.5 and p[3] < 0.5
 
 
-def _bucket(gram: bytes, bits: int) -> int:
-    key = 0
-    for c in gram:
-        key = (key * 16777619 + c) % 2**32
-    key = ((key ^ (key >> 15)) * 0x9E3779B1 + len(gram) * 0x85EBCA6B) % 2**32
-    return ((key ^ (key >> 13)) * 0xC2B2AE35) % 2**32 >> (32 - bits)
-
-
-def _grams_of(word: bytes, sizes, bits) -> list[int]:
-    padded = b"\0" + word + b"\0"
-    return [_bucket(padded[i : i + n], bits) for n in sizes for i in range(len(padded) - n + 1)]
-
-
 TEXTS = ["", "one", "You IDIOT, 1d10t and 12345 fools of été", "  a b\n" * 9, "x" * 400, "12 34 56 78", "Ünïcode wörds här und dort, sometimes"]
 
 
@@ -131,7 +119,7 @@ def test_toxicity_equals_plain_averages():
         found = [w for w in text.encode().translate(MARKED.tobytes()).split(b"\0") if w]
         bags = []
         for a in range(0, max(1, len(found) - toxicity.WINDOW + 1), toxicity.STEP) if found else ():
-            ids = [g for w in found[a : a + toxicity.WINDOW] if any(LETTERS[c] for c in w) for g in _grams_of(w, toxicity.SIZES, toxicity.BITS)]
+            ids = [g for w in found[a : a + toxicity.WINDOW] if any(LETTERS[c] for c in w) for g in brute.grams(w, toxicity.SIZES, toxicity.BITS)]
             bags.append(model.bias + (np.mean([float(model.table[i]) for i in ids]) if ids else 0.0))
         odds = max(bags) if bags else toxicity.EMPTY
         assert abs(p - 1 / (1 + np.exp(-(0.1 + 0.7 * odds)))) < 1e-6
@@ -148,7 +136,7 @@ def test_language_equals_plain_averages():
     model = langid.Model(["a", "b", "c"], table, rng.normal(size=3), 1.7, 0.0)
     got = model.probabilities(*text_bytes(pa.array(TEXTS)))
     for text, p in zip(TEXTS, got):
-        ids = [g for w in text.encode().translate(LETTERS.tobytes()).split(b"\0") if w for g in _grams_of(w, langid.SIZES, langid.BITS)]
+        ids = [g for w in text.encode().translate(LETTERS.tobytes()).split(b"\0") if w for g in brute.grams(w, langid.SIZES, langid.BITS)]
         mean = np.mean([table[i].astype(float) for i in ids], axis=0) if ids else np.zeros(3)
         assert np.allclose(p, langid.softmax((1.7 * (mean + model.bias))[None])[0], atol=1e-6)
 

@@ -185,8 +185,8 @@ def test_contamination_edges(spark, clashing, none):
 
 
 def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "a x b y c"), (2, "c b a"), (3, "a q q q q q b c"), (4, "a b")], "doc_id long, text string")
-    items = spark.createDataFrame([(7, "a b c"), (8, "b a")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a x b y c"), (2, "c b a"), (3, "a q q q q q b c"), (4, "a b"), (5, None), (6, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "a b c"), (8, "b a"), (9, None), (None, "a"), (10, ""), (11, "a b c d e f g")], "item_id long, text string")
     index = decontam.build_index(docs)
     got = {(r.doc_id, r.item_id) for r in decontam.proximity_matches(index, items, within=5).collect()}
     assert got == {(1, 7), (2, 7), (1, 8), (2, 8), (4, 8)}
