@@ -85,14 +85,20 @@ def spans(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> tuple[np.n
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
+def _lanes(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the first eight bytes of each word, the next eight of those that have more, which these are); zeros behind an end."""
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).tobytes(), 0, (1,))
+    long_ = np.flatnonzero(size > 8)
+    return eight[starts] & _MASK[np.minimum(size, 8)], eight[starts[long_] + 8] & _MASK[np.minimum(size[long_] - 8, 8)], long_
+
+
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit number for each word, by its length and bytes: mixed eight bytes at a time up to 16 bytes, and a
     cryptographic hash of longer words."""
     size = ends - starts
-    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).tobytes(), 0, (1,))
-    out = mix(size.astype(np.uint64) * _BASE ^ (eight[starts] & _MASK[np.minimum(size, 8)]))
-    long_ = np.flatnonzero(size > 8)
-    out[long_] = mix(out[long_] * _BASE + (eight[starts[long_] + 8] & _MASK[np.minimum(size[long_] - 8, 8)]))
+    one, two, long_ = _lanes(data, starts, size)
+    out = mix(size.astype(np.uint64) * _BASE ^ one)
+    out[long_] = mix(out[long_] * _BASE + two)
     for i in np.flatnonzero(size > 16).tolist():
         out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
     return out
@@ -135,24 +141,40 @@ def shingles(word: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[np.ndarra
             yield none
 
 
+def grouped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first, fingerprints): the words by fingerprint, equal ones together and in their order, the places in
+    order where groups of equal words begin, and each group's fingerprint. Words are equal if their bytes are, whatever
+    their fingerprints."""
+    code, size = fingerprints(data, starts, ends), ends - starts
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    new = code[1:] != code[:-1]
+    one, two, long_ = _lanes(data, starts, size)
+    rest = np.zeros(len(starts), np.uint64)
+    rest[long_] = two
+    alike = np.ones(len(new), bool)
+    for x in (size, one, rest):
+        x = x[order]
+        alike &= x[1:] == x[:-1]
+    for i in np.flatnonzero(~new & alike & (size[order][1:] > 16)).tolist():
+        j, k = order[i], order[i + 1]
+        alike[i] = data[starts[j] : ends[j]].tobytes() == data[starts[k] : ends[k]].tobytes()
+    if not (new | alike).all():
+        known: dict[bytes, int] = {}
+        number = np.array([known.setdefault(data[starts[k] : ends[k]].tobytes(), len(known)) for k in order.tolist()])
+        again = np.lexsort((number, code))
+        order, code, number = order[again], code[again], number[again]
+        new = number[1:] != number[:-1]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(order)), bool), new)))
+    return order, first, code[first]
+
+
 def numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(a number for each word, the first word of each number): numbers are equal just where the words' bytes are
-    equal, whatever their fingerprints."""
-    _, first, number = np.unique(fingerprints(data, starts, ends), return_index=True, return_inverse=True)
-    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).tobytes(), 0, (1,))
-    size, like = ends - starts, first[number]
-    same = size == size[like]
-    for k in (0, 8):
-        some = np.flatnonzero(same & (size > k))
-        mask = _MASK[np.minimum(size[some] - k, 8)]
-        same[some] = (eight[starts[some] + k] & mask) == (eight[starts[like[some]] + k] & mask)
-    for i in np.flatnonzero(same & (size > 16) & (like != np.arange(len(like)))).tolist():
-        same[i] = data[starts[i] : ends[i]].tobytes() == data[starts[like[i]] : ends[like[i]]].tobytes()
-    if same.all():
-        return number, first
-    known: dict[bytes, int] = {}
-    number = np.array([known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(starts, ends)], np.int64)
-    return number, np.unique(number, return_index=True)[1]
+    """(a number for each word, a word of each number): numbers are equal just where the words are."""
+    order, first, _ = grouped(data, starts, ends)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    return out, order[first]
 
 
 def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
