@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontam, neardup, sketch, topk, warc, words
+from spanloom.llm import components, decontam, neardup, sketch, topk, warc, words
 from spanloom.llm.components import connected_components
 from tests.llm import brute
 
@@ -100,7 +100,9 @@ def test_registers_merge_and_estimate():
     assert sketch.registers(a[:0], seed).sum() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [0, 250_000])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "BROADCAST_LINKS", most)
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (None, 3)] + [(2000, 2000 + i) for i in range(1, 50)]
     root = {x: x for p in links for x in p if x is not None}
