@@ -31,13 +31,14 @@ def _keys(start: str, stop: str, width: int, left: bool) -> Column:
     return F.expr(f"case when {stop} - {start} < {MOST_BINS * width} then {short} else {long_} end")
 
 
-def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: bool = True) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: bool = True, salts: int = 1) -> DataFrame:
     """Every pair of rows of the same sequence whose closed intervals share a base; b's columns get `b_`.
 
     Both sides are exploded to the bins they cover and joined on (sequence, bin), so rows of one sequence are dealt
     over many tasks; a pair counts only in the first bin that both cover. Intervals over MOST_BINS bins would be
     repeated too often: they, and what they meet, are joined in bins COARSE times as wide in the same join.
-    long_intervals=False leaves that out where none is so long. Rows of null or reversed bounds pair with nothing."""
+    long_intervals=False leaves that out where none is so long. Where a few bins hold much of a (repeats, organelles),
+    salts > 1 deals the rows of each bin over that many tasks and repeats b's rows for each. Rows of null or reversed bounds pair with nothing."""
     a, b = a.where("start <= stop"), prefixed(b.where("start <= stop"), "b_")
     first = "greatest(start, b_start)"
     if long_intervals:
@@ -49,7 +50,11 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: b
         y = b.withColumn("__b_key", F.explode(F.expr(f"sequence(b_start div {width}, b_stop div {width})")))
         in_first = f"__key = {first} div {width}"
     on = (F.col("sequence") == F.col("b_sequence")) & (F.col("__key") == F.col("__b_key"))
-    return x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & F.expr(in_first)).drop("__key", "__b_key")
+    if salts > 1:
+        x = x.withColumn("__salt", F.pmod(F.xxhash64("start", "stop"), F.lit(salts)))
+        y = y.withColumn("__b_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        on = on & (F.col("__salt") == F.col("__b_salt"))
+    return x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & F.expr(in_first)).drop("__key", "__b_key", "__salt", "__b_salt")
 
 
 def overlaps_literal(df: DataFrame, sequence: str | None, ranges: list[tuple[int, int]], feature: str | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.storage import broadcast_if_small, write_table
+
 
 def column_or_attribute(df: DataFrame, name: str, attributes: str = "attrs") -> Column:
     """A column of df by name, else an entry of its attribute map."""
@@ -76,9 +78,10 @@ def offset_coordinates(df: DataFrame, upstream: int, downstream: int) -> DataFra
     return df.withColumn("__a", F.greatest(F.lit(0).cast("long"), start)).withColumn("stop", stop).withColumn("start", F.col("__a")).drop("__a").where("start <= stop")
 
 
-def flip_coordinates(df: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Coordinates on the other strand: length + 1 - x; start and stop keep their places."""
-    both = df.join(lengths, "sequence")
+def flip_coordinates(df: DataFrame, lengths: DataFrame, most_sequences: int = 500_000) -> DataFrame:
+    """Coordinates on the other strand: length + 1 - x; start and stop keep their places. lengths is written and counted
+    when this is called, and broadcast up to most_sequences: a few sequences would make a few tasks of df."""
+    both = df.join(broadcast_if_small(write_table(lengths, "lengths"), most_sequences), "sequence")
     return both.withColumn("start", F.col("length") + 1 - F.col("start")).withColumn("stop", F.col("length") + 1 - F.col("stop")).withColumn("strand", F.lit("-")).drop("length")
 
 

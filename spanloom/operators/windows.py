@@ -9,6 +9,11 @@ from spanloom.functions import exprs as X
 from spanloom.operators.joins import BIN, overlap_join
 from spanloom.operators.ordering import Along, running_total
 from spanloom.operators.scoring import scored
+from spanloom.storage import broadcast_if_small, write_table
+
+
+#: Sequences whose ends are broadcast at most.
+MOST_SEQUENCES = 500_000
 
 
 def last_stop(df: DataFrame) -> DataFrame:
@@ -26,10 +31,13 @@ def fixed_windows(uppers: DataFrame, width: int, step: int) -> DataFrame:
 
 
 def window_fixed(df: DataFrame, width: int, step: int, scorer: str, uppers: DataFrame | None = None, keep_empty: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
-    """Scores of fixed windows, of each value of the columns `by` apart (which keep_empty does not go with). Each row names the windows it reaches by arithmetic, so there is no join
-    with windows; only keep_empty makes all windows and joins the scores to them."""
-    uppers = last_stop(df) if uppers is None else uppers
-    rows = df.join(uppers, "sequence").where("start <= stop and stop >= 1")
+    """Scores of fixed windows, of each value of the columns `by` apart (which keep_empty does not go with). Each row
+    names the windows it reaches by arithmetic, so there is no join with windows; only keep_empty makes all windows and
+    joins the scores to them. Sequences' ends are found, written and counted when this is called, and broadcast up to
+    MOST_SEQUENCES."""
+    # the rows stay where they are: a few sequences would make a few tasks of them
+    uppers = write_table(last_stop(df) if uppers is None else uppers, "uppers")
+    rows = df.join(broadcast_if_small(uppers, MOST_SEQUENCES), "sequence").where("start <= stop and stop >= 1")
     first = F.expr(f"greatest(0L, ceil((start - {width}) / {step}))")
     last = F.expr(f"(least(stop, upper) - 1) div {step}")
     rows = rows.withColumn("__a", first).withColumn("__b", last).where("__a <= __b")

@@ -102,12 +102,11 @@ def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> Non
     lines.select("value").write.mode(mode).text(path)
 
 
-def write_split(df: DataFrame, path: str, by: str, files: int | None = None) -> None:
+def write_split(df: DataFrame, path: str, by: str, files: int = 8) -> None:
     """One folder of files for each value of a column; rows are sorted by it, so a task has one file open.
 
-    With files, the rows of a value are dealt over up to that many tasks, by start: a hot value is no single task then."""
-    df = df.repartition(by) if files is None else df.repartition(F.col(by), F.pmod(F.xxhash64("start"), F.lit(files)))
-    df.sortWithinPartitions(by, "start").write.partitionBy(by).parquet(path)
+    The rows of a value are dealt over up to `files` tasks, by start: a hot value is no single task."""
+    df.repartition(F.col(by), F.pmod(F.xxhash64("start"), F.lit(files))).sortWithinPartitions(by, "start").write.partitionBy(by).parquet(path)
 
 
 def write_memberships(combos: DataFrame, path: str) -> None:

@@ -277,8 +277,8 @@ def indexed_by(gff: DataFrame, key: str, *more: str) -> DataFrame:
 
 
 def by_sequence(gff: DataFrame) -> DataFrame:
-    """Rows dealt by sequence and sorted by start within each task."""
-    return gff.repartition("sequence").sortWithinPartitions("sequence", "start")
+    """Rows dealt by ranges of (sequence, start) and sorted within each task, so a large sequence takes several tasks."""
+    return gff.repartitionByRange("sequence", "start").sortWithinPartitions("sequence", "start")
 
 
 def find_files(spark: SparkSession, root: str, pattern: str = "*", parts: tuple[str, ...] = ()) -> DataFrame:

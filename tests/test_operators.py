@@ -31,6 +31,7 @@ def test_overlap_join_equals_the_plain_join(spark, width, longest):
     y = J.prefixed(b, "b_")
     want = sorted((r.id, r.b_id) for r in a.join(y, (F.col("sequence") == F.col("b_sequence")) & (F.col("start") <= F.col("b_stop")) & (F.col("stop") >= F.col("b_start")) & F.expr("start <= stop and b_start <= b_stop")).select("id", "b_id").collect())
     assert got == want and got
+    assert sorted((r.id, r.b_id) for r in J.overlap_join(a, b, width, salts=3).collect()) == want
 
 
 def test_range_predicates(spark):
