@@ -21,7 +21,7 @@ def query(name: str, tables: str, sql: str | None = None):
         from spanloom.session import ship_package
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            ship_package(spark, bound_batches=False)
             return f(*[table(spark, sf_dir, n) for n in names])
 
         run.__doc__ = f.__doc__

@@ -13,12 +13,14 @@ ARROW_BYTES = 16 << 20
 _shipped: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends the package's modules to the executors, once for each Spark application, and bounds the batches that
-    Python workers get to 16 MB, unless the session has a lower bound: workers and executors hold several at a time."""
+def ship_package(spark: SparkSession, bound_batches: bool = True) -> None:
+    """Sends the package's modules to the executors, once for each Spark application.
+
+    bound_batches also bounds the batches that Python workers get to 16 MB, for what the session runs from then on,
+    unless it has a lower bound: workers and executors hold several at a time, and texts may be long."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = re.fullmatch(r"(-?\d+)b?", str(spark.conf.get(key)))
-    if now and not 0 < int(now[1]) <= ARROW_BYTES:
+    if bound_batches and now and not 0 < int(now[1]) <= ARROW_BYTES:
         spark.conf.set(key, f"{ARROW_BYTES}b")
     app = spark.sparkContext.applicationId
     if app in _shipped:
