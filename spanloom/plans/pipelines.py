@@ -13,12 +13,14 @@ from spanloom.operators import relational as R
 from spanloom.operators import stats as S
 from spanloom.operators import windows as W
 from spanloom.sources import text as T
+from spanloom.storage import write_table
 
 
 def bisulfite_run(alignments: DataFrame, width: int = 50) -> dict[str, DataFrame]:
-    """From aligned reads to calls, single-base counts, context summary, and windows of each context."""
+    """From aligned reads to calls, single-base counts, context summary, and windows of each context. The counts, which
+    the others are made of, are written when this is called."""
     calls = M.base_calls(alignments)
-    counts = M.count_positions(calls)
+    counts = write_table(M.count_positions(calls), "counts")
     rows = counts.select("sequence", F.col("pos").alias("start"), F.col("pos").alias("stop"), F.col("ratio").alias("score"), "c", "t", "context")
     return {
         "counts": counts,
