@@ -160,14 +160,25 @@ def _(fasta):
     return Q.trim_adapter(reads, "CACGTTTTTT", head=5, least=20)
 
 
-@query("f28_simulated_reads", "fasta", None)
-def _(fasta):
+def _simulated(fasta):
     """Reads of up to 50 bases, one after another over each whole sequence, with random C to T conversion, for tests."""
     at = fasta.select("seq_id", "seq", F.explode(F.expr("sequence(1, greatest(length(seq), 1), 50)")).alias("at"))
     cut = at.select("seq_id", F.substring("seq", F.col("at"), F.lit(50)).alias("bases"))
     return cut.select("seq_id", F.array_join(F.transform(F.split("bases", ""), lambda b: F.when((b == "C") & (F.rand(3) < 0.7), "T").otherwise(b)), "").alias("bases"))
 
 
+@query("f28_simulated_reads", "fasta", None)
+def _(fasta):
+    return _simulated(fasta)
+
+
+@query("f28_simulated_totals", "fasta", " select seq_id, cast(length(seq) as bigint) as bases, cast(length(regexp_replace(seq, '[CT]', '', 'g')) as bigint) as others from fasta")
+def _(fasta):
+    """What chance can't change: simulated reads have all bases of a sequence, and all but C and T as they were."""
+    reads = _simulated(fasta)
+    return reads.groupBy("seq_id").agg(F.sum(F.length("bases")).cast("long").alias("bases"), F.sum(F.length(F.regexp_replace("bases", "[CT]", ""))).cast("long").alias("others"))
+
+
 @query("f29_snp_parts", "gff", " select id, ln, feature as a, strand as b from gff")
 def _(gff):
     a, b = X.snp_parts(X.snp_notation("feature", "strand"))
