@@ -1,4 +1,4 @@
-"""Composite operators: each is one lazy plan of the operators below it."""
+"""Composite operators, made of the operators below them."""
 
 from __future__ import annotations
 
