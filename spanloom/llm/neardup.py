@@ -17,7 +17,7 @@ from spanloom.llm.shared import broadcast_if_small, drop_table, join_hot, withou
 
 REGISTERS, ROWS = 128, 4
 #: Buckets of more members are checked by pairs of blocks of about BLOCK members, and of this many set elements.
-SMALL_BUCKET, BLOCK, BLOCK_ELEMENTS = 64, 1024, 1 << 20
+SMALL_BUCKET, BLOCK, BLOCK_ELEMENTS = 64, 512, 1 << 19
 #: Members of small buckets, and pairs of blocks, of one task (about).
 TASK_MEMBERS, TASK_BLOCKS = 4096, 2
 #: Ids of documents to check that are broadcast at most (16 MB of longs).
