@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontam, langid, neardup, pieces, pii, quality, secretscan, topk, toxicity, warc
+from spanloom.llm import centroids, decontam, fim, langid, license, neardup, pieces, pii, quality, secretscan, topk, toxicity, warc
 from spanloom.llm.learn import fold
 from spanloom.llm.matches import spelled
 from spanloom.session import ship_package, spread
@@ -148,6 +148,85 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model, keep=["doc_id"]), 0.3)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license.scan(_table(spark, sf_dir, "documents"), license.build())
+    joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"), F.array_max("base.start").alias("last_word"),
+        joined(F.col("base.label")).alias("base_labels"), joined(F.concat("base.label", "spans.label")).alias("labels"), "score",
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, seed=3)
+
+
+def _rounds_sql(k: int, rounds: int, size: int, seed: int) -> str:
+    """k-means as a chain of common table expressions, two for each round. q is a vector's list of whole numbers."""
+    parts = [
+        f"""v as materialized (
+  select row_number() over () as row, vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as q
+  from embeddings where len(embedding) = {size} and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
+)""",
+        f"""c0 as materialized (
+  select row_number() over (order by h, q) - 1 as k, q
+  from (select sha256('{seed}:' || cast(vec_id as varchar)) as h, q from v order by h nulls last, q limit {k})
+)""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as materialized (
+  select row, min(d * {k} + k) % {k} as k, min(d * {k} + k) // {k} as d
+  from (select row, k, cast(list_sum([(v.q[i] - c.q[i]) * (v.q[i] - c.q[i]) for i in range(1, {size + 1})]) as bigint) as d from v, c{i} c)
+  group by row
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} as materialized (
+  select c.k, coalesce(m.q, c.q) as q from c{i} c left join (
+    select k, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as q from (
+      select a.k, i, sum(v.q[i]) as s, count(*) as n from a{i} a join v using (row), unnest(range(1, {size + 1})) as t(i) group by a.k, i
+    ) group by k
+  ) m using (k)
+)""")
+    return f"""with {", ".join(parts)}
+select vec_id, cast(k as int) as cluster, d as distance, cast(sum(d) over (partition by k) as bigint) as cluster_inertia,
+       cast(sum(d) over () as bigint) as inertia, sha256(array_to_string(c.q, ',')) as centroid_sha256
+from a{rounds} join v using (row) join c{rounds} c using (k)
+"""
+
+
+OP12_SQL = _rounds_sql(8, 10, 64, 3)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.transform(_table(spark, sf_dir, "documents"), seed=1, plain_from=90, spm_below=20, keep=["doc_id"])
+    again = fim.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+
+
+OP13_SQL = """
+with d as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as w,
+         sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents
+), g as (
+  select *, len(w) as n, [cast('0x' || h[8 * i + 1 : 8 * i + 8] as bigint) for i in range(4)] as r from d
+), c as (
+  select *, least(r[1] % (n + 1), r[2] % (n + 1)) as a, greatest(r[1] % (n + 1), r[2] % (n + 1)) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or r[3] % 100 >= 90 then 'plain'
+              when r[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from g
+), p as (
+  select *, array_to_string(w[1 : a], '') as prefix, array_to_string(w[a + 1 : b], '') as middle, array_to_string(w[b + 1 : n], '') as suffix from c
+)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
+"""
+
+
 def queries() -> dict:
     return {
         "op1_exact_topk": op1_exact_topk,
@@ -160,8 +239,18 @@ def queries() -> dict:
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
         "op10_near_dedup": op10_near_dedup,
+        "op11_license_scan": op11_license_scan,
+        "op12_centroids": op12_centroids,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_topk": OP1_SQL, "op6_warc": OP6_SQL, "op7_decontamination": OP7_SQL, "op10_near_dedup": OP10_SQL}
+    return {
+        "op1_exact_topk": OP1_SQL,
+        "op6_warc": OP6_SQL,
+        "op7_decontamination": OP7_SQL,
+        "op10_near_dedup": OP10_SQL,
+        "op12_centroids": OP12_SQL,
+        "op13_fill_in_middle": OP13_SQL,
+    }
