@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import exprs as X
+from spanloom.storage import broadcast_if_small, write_table
 
 #: Bases of a bin of the overlap join, and bins that an interval may cover before it moves to coarse bins.
 BIN, MOST_BINS, COARSE = 1024, 64, 64
@@ -31,30 +32,55 @@ def _keys(start: str, stop: str, width: int, left: bool) -> Column:
     return F.expr(f"case when {stop} - {start} < {MOST_BINS * width} then {short} else {long_} end")
 
 
-def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: bool = True, salts: int = 1) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: bool = True, salts: int | None = 1) -> DataFrame:
     """Every pair of rows of the same sequence whose closed intervals share a base; b's columns get `b_`.
 
     Both sides are exploded to the bins they cover and joined on (sequence, bin), so rows of one sequence are dealt
     over many tasks; a pair counts only in the first bin that both cover. Intervals over MOST_BINS bins would be
     repeated too often: they, and what they meet, are joined in bins COARSE times as wide in the same join.
     long_intervals=False leaves that out where none is so long. Where a few bins hold much of a (repeats, organelles),
-    salts > 1 deals the rows of each bin over that many tasks and repeats b's rows for each. Rows of null or reversed bounds pair with nothing."""
+    salts=None finds these bins by a count when this is called and deals the rows of each over as many tasks as they need; a number of
+    salts deals the rows of every bin over so many tasks without a count. Rows of null or reversed bounds pair with nothing."""
     a, b = a.where("start <= stop"), prefixed(b.where("start <= stop"), "b_")
     first = "greatest(start, b_start)"
     if long_intervals:
         x = a.withColumn("__key", F.explode(_keys("start", "stop", width, True)))
-        y = b.withColumn("__b_key", F.explode(_keys("b_start", "b_stop", width, False)))
+        y = b.withColumn("__key", F.explode(_keys("b_start", "b_stop", width, False)))
         in_first = f"__key = 4 * ({first} div (case when pmod(__key, 4) = {SS} then {width}L else {width * COARSE}L end)) + pmod(__key, 4)"
     else:
         x = a.withColumn("__key", F.explode(F.expr(f"sequence(start div {width}, stop div {width})")))
-        y = b.withColumn("__b_key", F.explode(F.expr(f"sequence(b_start div {width}, b_stop div {width})")))
+        y = b.withColumn("__key", F.explode(F.expr(f"sequence(b_start div {width}, b_stop div {width})")))
         in_first = f"__key = {first} div {width}"
-    on = (F.col("sequence") == F.col("b_sequence")) & (F.col("__key") == F.col("__b_key"))
-    if salts > 1:
-        x = x.withColumn("__salt", F.pmod(F.xxhash64("start", "stop"), F.lit(salts)))
-        y = y.withColumn("__b_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        on = on & (F.col("__salt") == F.col("__b_salt"))
-    return x.join(y, on).where(X.overlaps("start", "stop", "b_start", "b_stop") & F.expr(in_first)).drop("__key", "__b_key", "__salt", "__b_salt")
+    y = y.withColumn("sequence", F.col("b_sequence"))
+    keys = ["sequence", "__key"]
+    if salts is None:
+        pairs = dealt_join(x, y, keys)
+    else:
+        if salts > 1:
+            x = x.withColumn("__salt", F.pmod(F.xxhash64(*a.columns), F.lit(salts)))
+            y = y.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+            keys.append("__salt")
+        pairs = x.join(y, keys)
+    return pairs.where(X.overlaps("start", "stop", "b_start", "b_stop") & F.expr(in_first)).select(*a.columns, *b.columns)
+
+
+#: Rows of one key that a task of dealt_join() gets about, and keys above that which are broadcast at most.
+HOT_ROWS, MOST_KEYS = 100_000, 1_000_000
+
+
+def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
+    """left joined to right on keys, with the rows of keys that are frequent in left dealt over several tasks.
+
+    Such keys are counted and written when this is called. Their rows of left go to tasks by a hash of the whole row, and their rows of right to
+    each of these tasks; of other keys nothing is repeated."""
+    most = most or HOT_ROWS
+    hot = left.groupBy(*keys).agg(F.ceil(F.count("*") / most).cast("int").alias("__salts")).where("__salts > 1")
+    hot = write_table(hot, "hot")
+    few = broadcast_if_small(hot, MOST_KEYS)
+    own = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("__salts")), F.lit(0)).cast("int")
+    dealt = left.join(few, keys, "left").withColumn("__salt", own).drop("__salts")
+    copies = right.join(few, keys, "left").withColumn("__salt", F.explode(F.expr("sequence(0, coalesce(__salts, 1) - 1)"))).drop("__salts")
+    return dealt.join(copies, [*keys, "__salt"]).drop("__salt")
 
 
 def overlaps_literal(df: DataFrame, sequence: str | None, ranges: list[tuple[int, int]], feature: str | None = None) -> DataFrame:

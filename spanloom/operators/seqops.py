@@ -29,9 +29,28 @@ def both_strands(fasta: DataFrame) -> DataFrame:
     return fasta.unionByName(fasta.select(F.concat(F.lit("RC_"), "seq_id").alias("seq_id"), X.reverse_complement("seq").alias("seq")))
 
 
+#: Bytes that a sequence is first cut into.
+PIECE = 1 << 20
+
+
+def _cut(of: str, step: str, take: str, length: str, cast: str, base: str) -> str:
+    """SQL of an array of (at, part): `take` bytes from every `step`-th of the first `length` bytes on. The bytes are bound
+    to a variable once: a column would be copied for each part."""
+    return (
+        f"flatten(transform(array({of}), b -> transform(sequence(0, least(length(b), {length}) - 1, {step}), i -> "
+        f"struct(cast({base} + i as int) as at, cast(substring(b, i + 1, {take}) as {cast}) as part))))"
+    )
+
+
 def chunks(fasta: DataFrame, size: int, flank: int = 0) -> DataFrame:
-    """Sequences in pieces of `size` bases, each with up to `flank` further ones: (seq_id, at, part)."""
-    return fasta.where("length(seq) > 0").select("seq_id", "seq", F.explode(F.expr(f"sequence(1, length(seq), {size})")).alias("at")).select("seq_id", "at", F.substring("seq", F.col("at"), F.lit(size + flank)).alias("part"))
+    """Sequences in pieces of `size` bases, each with up to `flank` further ones: (seq_id, at, part).
+
+    Sequences are ASCII and taken as bytes, of which any place is reached at once; they are cut into large pieces, then into
+    small ones, so that the work is in proportion to a sequence's length and no array has more parts than a large piece."""
+    large = max(1, PIECE // size) * size
+    whole = fasta.where("octet_length(seq) > 0").select("seq_id", F.explode(F.expr(_cut("cast(seq as binary)", str(large), str(large + flank), "2147483647", "binary", "1"))).alias("x"))
+    cut = whole.select("seq_id", F.explode(F.expr(_cut("x.part", str(size), str(size + flank), str(large), "string", "x.at"))).alias("x"))
+    return cut.select("seq_id", "x.at", "x.part")
 
 
 def kmers(fasta: DataFrame, k: int, size: int = 1 << 16) -> DataFrame:
@@ -69,13 +88,53 @@ def composition(fasta: DataFrame, width: int) -> DataFrame:
     return parts.select("seq_id", F.col("at").alias("start"), (F.col("at") + F.length("part") - 1).alias("stop"), *[base(b).alias(b) for b in "acgt"])
 
 
-def differences(a: DataFrame, b: DataFrame, size: int = 4096) -> DataFrame:
-    """(seq_id, pos, a, b) where two genomes' bases differ; compared piece by piece, up to the shorter end."""
+def differences(a: DataFrame, b: DataFrame, size: int = 4096, equal_lengths: bool = False) -> DataFrame:
+    """(seq_id, pos, a, b) where two genomes' bases differ; compared piece by piece, up to the shorter end. With
+    equal_lengths a sequence whose other one has another length is an error when the result is made.
+
+    Of a piece that differs, runs of 64 bases are compared first, and single bases only in runs that differ."""
     x, y = chunks(a, size), chunks(b, size).withColumnRenamed("part", "other")
     rows = x.join(y, ["seq_id", "at"]).where("part <> other")
-    n = "least(length(part), length(other))"
-    bases = rows.select("seq_id", "at", F.explode(F.expr(f"filter(transform(sequence(1, {n}), i -> struct(i as i, substring(part, i, 1) as a, substring(other, i, 1) as b)), x -> x.a <> x.b)")).alias("x"))
-    return bases.select("seq_id", (F.col("at") + F.col("x.i") - 1).alias("pos"), F.col("x.a").alias("a"), F.col("x.b").alias("b"))
+    if equal_lengths:
+        rows = rows.join(F.broadcast(_checked_lengths(a, b))).where("__same >= 0").drop("__same")
+    n = "least(length(z.p), length(z.o))"
+    runs = (
+        f"flatten(transform(array(struct(cast(part as binary) as p, cast(other as binary) as o)), z -> filter(transform(sequence(0, {n} - 1, 64), i -> "
+        f"struct(at + i as at, substring(z.p, i + 1, least(64, {n} - i)) as p, substring(z.o, i + 1, least(64, {n} - i)) as o)), x -> x.p <> x.o)))"
+    )
+    places = "transform(filter(sequence(1, length(r.p)), i -> substring(r.p, i, 1) <> substring(r.o, i, 1)), i -> struct(r.at + i - 1 as pos, cast(substring(r.p, i, 1) as string) as a, cast(substring(r.o, i, 1) as string) as b))"
+    found = rows.select("seq_id", F.explode(F.expr(runs)).alias("r")).select("seq_id", F.explode(F.expr(places)).alias("x"))
+    return found.select("seq_id", "x.pos", "x.a", "x.b")
+
+
+def _checked_lengths(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row, made of lengths only; an error if b lacks a sequence of a or has it in another length."""
+    x, y = (g.select("seq_id", F.octet_length("seq").alias(n)) for g, n in ((a, "__a"), (b, "__b")))
+    wrong = F.concat(F.col("seq_id").cast("string"), F.lit(": lengths "), F.coalesce(F.col("__a").cast("string"), F.lit("none")), F.lit(" and "), F.coalesce(F.col("__b").cast("string"), F.lit("none")), F.lit(" do not match"))
+    return x.join(y, "seq_id", "left").agg(F.count(F.when(~F.col("__a").eqNullSafe(F.col("__b")), F.raise_error(wrong).cast("int"))).alias("__same"))
+
+
+def marked_differences(a: DataFrame, b: DataFrame, size: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """(marked, report) of two genomes (rank, header, seq) compared by rank.
+
+    marked is (rank, side, header, at, part): both sequences in pieces, in lower case where they are alike and in upper case
+    where they differ; bases behind the other one's end differ. report is (rank, a, b, mismatches, warning) for each
+    rank that both have: the warning tells sequences of different lengths."""
+    x, y = (chunks(g.select(F.col("rank").alias("seq_id"), "seq"), size) for g in (a, b))
+    both = x.withColumnRenamed("part", "p").join(y.withColumnRenamed("part", "o"), ["seq_id", "at"], "full")
+    pair = "transform(array(struct(cast(coalesce(p, '') as binary) as p, cast(coalesce(o, '') as binary) as o)), z -> {})[0]"
+    own = "array_join(transform(sequence(1, length(z.{0})), i -> case when substring(z.p, i, 1) = substring(z.o, i, 1) then lower(cast(substring(z.{0}, i, 1) as string)) else upper(cast(substring(z.{0}, i, 1) as string)) end), '')"
+    text = lambda c: F.expr(f"case when {c} is null then null when p = o then lower({c}) else {pair.format(own.format(c))} end")
+    count = F.expr(f"case when p = o then 0 else {pair.format('size(filter(sequence(1, greatest(length(z.p), length(z.o))), i -> substring(z.p, i, 1) <> substring(z.o, i, 1)))')} end")
+    sides = F.array(*[F.struct(F.lit(name).alias("side"), text(c).alias("part")) for name, c in (("a", "p"), ("b", "o"))])
+    names = a.select("rank", F.lit("a").alias("side"), "header").unionByName(b.select("rank", F.lit("b").alias("side"), "header"))
+    out = both.select(F.col("seq_id").alias("rank"), "at", F.explode(sides).alias("x")).select("rank", "x.side", "at", "x.part").where("part is not null")
+    marked = out.join(names, ["rank", "side"]).select("rank", "side", "header", "at", "part")
+    size_of = lambda g, n: g.select("rank", F.col("header").alias(n), F.octet_length("seq").alias("__" + n))
+    lengths = size_of(a, "a").join(size_of(b, "b"), "rank")
+    warning = F.when(F.col("__a") != F.col("__b"), F.format_string("strings have different sizes: %d, %d", "__a", "__b"))
+    report = lengths.join(both.groupBy(F.col("seq_id").alias("rank")).agg(F.sum(count).alias("mismatches")), "rank", "left")
+    return marked, report.select("rank", "a", "b", F.coalesce("mismatches", F.lit(0).cast("long")).alias("mismatches"), warning.alias("warning"))
 
 
 def patch(fasta: DataFrame, snps: DataFrame, size: int = 4096) -> DataFrame:

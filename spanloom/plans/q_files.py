@@ -12,10 +12,17 @@ from spanloom.operators import relational as R
 from spanloom.operators import stats as S
 from spanloom.operators import windows as W
 from spanloom.operators.scoring import scored
+from spanloom.operators.search import search_join
+from spanloom.operators.states import CountedQuantile, aggregate
+from spanloom.operators.sweep import sweep_join
 from spanloom.plans.book import query
 from spanloom.plans.q_interval import WIDTH, _peaks
 from spanloom.sources import sinks as K
 from spanloom.sources import text as T
+from spanloom.sources.bam import read_bam, write_bam
+from spanloom.sources.formats import read_fasta_pieces, register
+from spanloom.sources.parsers import register_parser
+from spanloom.sources.store import IntervalStore
 from spanloom.storage import shared_dir
 
 
@@ -124,8 +131,122 @@ def _(hits):
 
 @query("j8_swept_overlaps", "gff genes", ", p as (select a.id, a.ln from gff a join genes b on a.sequence = b.sequence and a.start <= b.stop and a.stop >= b.start) select id, ln, cast(count(*) as bigint) as n from p group by 1, 2")
 def _(gff, genes):
-    """Windows that each row meets, where no interval is long."""
-    return J.overlap_join(gff, genes, WIDTH, long_intervals=False).groupBy("id", "ln").agg(F.count("*").alias("n"))
+    """Windows that each row meets, by a sweep along the starts."""
+    return sweep_join(gff, genes).groupBy("id", "ln").agg(F.count("*").alias("n"))
+
+
+@query("j8_long_intervals", "exons genes", ", w as (select sequence, min(start) as start, max(stop) as stop, cast(substr(locus, 3) as bigint) // 50 as block from genes group by 1, 4), p as (select w.sequence, w.block, e.isoform from w join exons e on e.sequence = w.sequence and e.start <= w.stop and e.stop >= w.start) select sequence, block, cast(count(*) as bigint) as n, cast(count(distinct isoform) as bigint) as isoforms from p group by 1, 2")
+def _(exons, genes):
+    """The same with long windows that lie over each other, each over many rows."""
+    wide = genes.groupBy("sequence", F.expr("cast(substring(locus, 3) as bigint) div 50").alias("block")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return sweep_join(wide, exons).groupBy("sequence", "block").agg(F.count("*").alias("n"), F.count_distinct("b_isoform").alias("isoforms"))
+
+
+@query("j1_hot_bins", "gff genes", ", p as (select b.locus, a.c from (select *, case when c % 3 = 0 then 700 else start end as s, case when c % 3 = 0 then 720 else stop end as e from gff) a join genes b on a.sequence = b.sequence and a.s <= b.stop and a.e >= b.start) select locus, cast(count(*) as bigint) as n, cast(sum(c) as bigint) as sum_c from p group by 1")
+def _(gff, genes):
+    """Overlaps where a third of the rows lies at one place, whose bins are found by a count."""
+    hot = F.col("c") % 3 == 0
+    rows = gff.withColumn("start", F.when(hot, 700).otherwise(F.col("start"))).withColumn("stop", F.when(hot, 720).otherwise(F.col("stop")))
+    return J.overlap_join(rows, genes, WIDTH, salts=None).groupBy(F.col("b_locus").alias("locus")).agg(F.count("*").alias("n"), F.sum("c").alias("sum_c"))
+
+
+@query("j4_searched_overlaps", "gff genes", ", p as (select b.locus, a.c, a.t from gff a join genes b on a.sequence = b.sequence and a.start <= b.stop and a.stop >= b.start) select locus, cast(count(*) as bigint) as n, cast(sum(c) as bigint) as sum_c, cast(sum(t) as bigint) as sum_t from p group by 1")
+def _(gff, genes):
+    """Annotated loci as lists that every task searches; the rows stay where they are."""
+    return search_join(gff, genes).groupBy(F.col("b_locus").alias("locus")).agg(F.count("*").alias("n"), F.sum("c").alias("sum_c"), F.sum("t").alias("sum_t"))
+
+
+@query("s17_fastq_source", "reads", " select name, bases as seq, repeat('@', length(bases)) as qual from reads where length(bases) > 0")
+def _(reads):
+    """FASTQ as a data source of byte ranges, with qualities that look like the first line of a record."""
+    path = _folder(reads.sparkSession, "fastq")
+    rows = reads.where("length(bases) > 0").select("name", F.col("bases").alias("seq"), F.expr("repeat('@', length(bases))").alias("qual"))
+    K.write_lines(K.fastq_record(rows), path)
+    register(reads.sparkSession)
+    return reads.sparkSession.read.format("fastq").option("split_bytes", 1 << 20).load(path)
+
+
+@query("s11_fasta_source", "fasta", " select seq_id, cast(length(seq) as bigint) as length, sha256(seq) as digest from fasta where seq_id <> ''")
+def _(fasta):
+    path = _folder(fasta.sparkSession, "fasta")
+    K.write_lines(K.fasta_record(fasta), path)
+    register(fasta.sparkSession)
+    rows = fasta.sparkSession.read.format("fasta").option("split_bytes", 1 << 20).load(path)
+    return rows.select("seq_id", F.length("seq").cast("long").alias("length"), F.sha2("seq", 256).alias("digest"))
+
+
+@query("s11_fasta_pieces", "fasta", ", p as (select seq_id, seq, unnest(range(1, length(seq) + 1, 100)) as i from fasta) select seq_id, (i - 1) // 100 as bin, cast(len(regexp_extract_all(substr(seq, i, 100), 'C')) as bigint) as c, cast(length(substr(seq, i, 100)) as bigint) as bases from p")
+def _(fasta):
+    """Bases counted in bins of sequences that are read in pieces, which end anywhere."""
+    path = _folder(fasta.sparkSession, "fasta")
+    K.write_lines(K.fasta_record(fasta), path)
+    register(fasta.sparkSession)
+    pieces = read_fasta_pieces(fasta.sparkSession, path, 1000, 1 << 16)
+    cut = pieces.select("seq_id", "at", F.explode(F.expr("transform(sequence((at - 1) div 100, (at + length(part) - 2) div 100), k -> struct(k as bin, substring(part, cast(greatest(k * 100 + 2 - at, 1) as int), cast(least(k * 100 + 101, at + length(part)) - greatest(k * 100 + 1, at) as int)) as part))")).alias("x"))
+    return cut.groupBy("seq_id", F.col("x.bin").alias("bin")).agg(F.sum(F.regexp_count("x.part", F.lit("C"))).cast("long").alias("c"), F.sum(F.length("x.part")).cast("long").alias("bases"))
+
+
+@query("s1_gff_source", "gff", " select feature, start, id from gff where sequence = 'chr2' and start >= 300")
+def _(gff):
+    """Interval rows as a data source that takes filters."""
+    spark, path = gff.sparkSession, _store(gff, "source")
+    register(spark)
+    rows = spark.read.format("gff").schema("sequence string, feature string, start long, attributes string").load(path).where("sequence = 'chr2' and start >= 300")
+    return rows.select("feature", "start", X.attribute(F.col("attributes"), "ID").alias("id"))
+
+
+@query("s31_bam_groups", "hits_a", """ select "read", string_agg(chrom || ':' || coord || ':' || strand, ',' order by chrom, coord, strand) as alignments from hits_a group by 1""")
+def _(hits):
+    """Alignments written as BAM by tasks, read by splits, and put together by read; the reverse strand as rc_ sequences or by flag."""
+    spark, path = hits.sparkSession, _folder(hits.sparkSession, "bam")
+    minus, named = F.col("strand") == "-", F.col("coord") % 2 == 0
+    rows = hits.select(
+        "read", F.when(minus & ~named, 16).otherwise(0).alias("flag"), F.concat(F.when(minus & named, "RC_").otherwise(""), "chrom").alias("sequence"), F.col("coord").alias("pos"),
+        F.expr("repeat('ACGT', 9)").alias("seq"), F.lit("36M").alias("cigar"),
+    )
+    names = sorted(r.chrom for r in hits.select("chrom").distinct().collect())
+    write_bam(rows, path, [(p + n, 1 << 29) for n in names for p in ("", "RC_")])
+    register(spark)
+    found = T.grouped_alignments(read_bam(spark, path, 1 << 18))
+    return found.select("read", F.array_join(F.transform("alignments", lambda x: F.concat_ws(":", x["sequence"], x["start"], x["strand"])), ",").alias("alignments"))
+
+
+@query("s35_committed_loads", "gff", " select load, sequence, cast(count(*) as bigint) as n, cast(sum(start) as bigint) as starts from (select *, case when ln % 3 = 0 then 'a' when ln % 3 = 1 then 'b' end as load from gff) x where load is not null group by 1, 2")
+def _(gff):
+    """Loads committed to a stored table; a load that is there already is not loaded again, and one that isn't committed is not read."""
+    store = IntervalStore(gff.sparkSession, _folder(gff.sparkSession, "store"), 2048)
+    for name, k in (("a", 0), ("b", 1), ("a", 2)):
+        store.load(gff.where(f"ln % 3 = {k}"), name)
+    return store.rows().groupBy("load", "sequence").agg(F.count("*").alias("n"), F.sum("start").alias("starts"))
+
+
+@query("j2_stored_ranges", "gff", " select sequence, feature, start, stop, id, ln from gff where sequence = 'chr2' and ((start <= 900 and stop >= 500) or (start <= 12200 and stop >= 12000))")
+def _(gff):
+    """Ranges of a stored table, of which only the bins near them are read."""
+    store = IntervalStore(gff.sparkSession, _folder(gff.sparkSession, "store"), 2048)
+    store.load(gff.where("strand = '+'"), "plus")
+    store.load(gff.where("strand = '-'"), "minus")
+    return store.overlapping("chr2", [(500, 900), (12000, 12200)]).select("sequence", "feature", "start", "stop", "id", "ln")
+
+
+@query("u2_user_aggregate", "gff", " select sequence, feature, quantile_disc(c, 0.5) as median from gff group by 1, 2")
+def _(gff):
+    """An aggregate of the user's with states of its own: here the middle value."""
+    return aggregate(gff, ["sequence", "feature"], ["c"], CountedQuantile(0.5), "long", "median")
+
+
+@query("u1_parser_in_sql", "gff", " select lower(id) as name, start, stop, cast(k as int) as k from gff, (values (0), (1)) t(k) where k < 2 - ln % 2")
+def _(gff):
+    """A parser of the user's as a table function in SQL: a line gives two rows, one or none."""
+
+    def parser(line):
+        name, start, stop, n = line.split("|")
+        return [(name.lower(), int(start), int(stop), k) for k in range(2 - int(n) % 2)]
+
+    spark = gff.sparkSession
+    register_parser(spark, "interval_line", parser, "name string, start long, stop long, k int")
+    lines = gff.select(F.concat_ws("|", "id", "start", "stop", "ln").alias("value"))
+    return spark.sql("select t.* from {lines} l, lateral interval_line(l.value) t", lines=lines)
 
 
 @query("o5_sample_size", "gff", " select cast(100 as bigint) as n, cast(100 as bigint) as different")

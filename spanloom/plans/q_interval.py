@@ -9,6 +9,7 @@ from spanloom.operators import joins as J
 from spanloom.operators import relational as R
 from spanloom.operators import windows as W
 from spanloom.operators.scoring import scored
+from spanloom.operators.search import search_join
 from spanloom.plans.book import query
 
 WIDTH = 64
@@ -223,7 +224,7 @@ _REG0 = ", r as (select *, case when (strand <> '-') then start else stop end as
 @query("j7_point_in_region", "sites genes", _REG0 + " select a.id, f.locus from sites a join f on a.sequence = f.sequence and a.start <= f.flag_stop and a.stop >= f.flag_start qualify row_number() over (partition by a.id order by flag_start, locus) = 1")
 def _(sites, genes):
     box = W.offset_regions(genes, 100, True).select("sequence", "locus", F.col("flag_start").alias("start"), F.col("flag_stop").alias("stop"))
-    return J.best_per(J.overlap_join(sites, box, WIDTH), ["id"], ["b_start", "b_locus"]).select("id", F.col("b_locus").alias("locus"))
+    return search_join(sites, box, order=["start", "locus"]).select("id", F.col("b_locus").alias("locus"))
 
 
 @query("w7_ends_profile", "gff genes", _REG0 + ", p as (select f.locus, f.strand, cast(floor((a.start - (f.anchor - 20 * 5)) / 20) as bigint) as bin, a.score * ((least(a.stop, f.flag_stop) - greatest(a.start, f.flag_start) + 1) / (a.stop - a.start + 1)) as s from gff a join f on a.sequence = f.sequence and a.start <= f.flag_stop and a.stop >= f.flag_start), q as (select locus, case when strand = '-' then 9 - bin else bin end as bin, s from p where bin >= 0 and bin < 10) select locus, bin, round(avg(s) / pi(), 4) as score, cast(count(*) as bigint) as n from q group by 1, 2")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanloom.functions import exprs as X
+from spanloom.operators import align as A
 from spanloom.operators import joins as J
 from spanloom.operators import methyl as M
 from spanloom.operators import seqops as Q
@@ -203,3 +204,46 @@ def _(gff):
     sign = F.when(F.col("ln") % 3 == 0, "x").when(F.col("ln") % 3 == 1, "y").otherwise("z")
     rows = gff.select("sequence", (F.col("start") % 500).alias("pos"), F.when(F.col("c") > 25, F.upper(sign)).otherwise(sign).alias("call"))
     return M.seeker_counts(rows)
+
+
+#: Reads with as many bases changed as their number modulo 3 tells, at places that depend on it.
+_K = "cast(substr(name, 2) as bigint)"
+_PUT = "case when {k} % 3 >= {least} then concat(substr({x}, 1, cast({k} % {n} + {off} as int)), translate(substr({x}, cast({k} % {n} + {off} + 1 as int), 1), 'ACGT', 'CATG'), substr({x}, cast({k} % {n} + {off} + 2 as int))) else {x} end"
+_WORN = _PUT.format(k=_K, least=2, n=19, off=20, x="(" + _PUT.format(k=_K, least=1, n=17, off=1, x="bases") + ")")
+_HITS = (
+    f", m as (select name as rd, read_no, case when length(bases) = 40 then {_WORN} else bases end as seq from reads)"
+    ", r as (select *, case when read_no = 1 then translate(seq, 'C', 'T') else translate(seq, 'G', 'A') end as cs from m)"
+    ", strands as (select seq_id, '+' as strand, seq from fasta union all select seq_id, '-', reverse(translate(seq, 'ACGT', 'TGCA')) from fasta)"
+    ", cut as materialized (select read_no, seq_id, strand, i as o, substr(case when read_no = 1 then translate(seq, 'C', 'T') else translate(seq, 'G', 'A') end, i, 239) as part from strands, (values (1), (2)) n(read_no), unnest(range(1, length(seq) + 1, 200)) t(i))"
+    ", w as materialized (select read_no, seq_id, strand, o + i as start, substr(part, i + 1, 40) as w from cut, unnest(range(0, least(200, length(part) - 39))) t(i))"
+    ", u as materialized (select distinct read_no, cs from r where length(cs) = 40)"
+    ", h as (select distinct read_no, cs, seq_id, strand, start, hamming(w, cs) as mismatches from (" + " union all ".join(f"select w.*, cs from w join u on w.read_no = u.read_no and substr(w, {13 * j + 1}, 13) = substr(cs, {13 * j + 1}, 13)" for j in range(3)) + ") where hamming(w, cs) <= 2)"
+    ", b as (select *, count(*) over (partition by read_no, cs) as hits from (select * from h qualify mismatches = min(mismatches) over (partition by read_no, cs)))"
+)
+
+
+def _worn(reads):
+    """Reads with up to two bases changed."""
+    seq = F.expr(f"case when length(bases) = 40 then {_WORN} else bases end")
+    return reads.select(F.col("name").alias("read"), "read_no", seq.alias("seq"))
+
+
+@query("x1_aligned_hits", "reads fasta", _HITS + ' select r.rd as "read", seq_id as sequence, strand, start, cast(mismatches as int) as mismatches, cast(coalesce(hits, 0) as bigint) as hits from r left join (select * from b where hits <= 10) x on r.read_no = x.read_no and r.cs = x.cs')
+def _(reads, fasta):
+    """Bisulfite reads of 40 bases with up to two mismatches on both strands of the converted genome."""
+    found = A.bisulfite_alignments(_worn(reads), fasta, mismatches=2, max_hits=10, shortest=40)
+    return found.select("read", "sequence", "strand", "start", "mismatches", "hits")
+
+
+@query("x1_aligned_windows", "reads fasta", _HITS + (
+    ", one as (select r.rd, r.read_no, r.seq, x.seq_id as sequence, x.strand, x.start from r join (select * from b where hits = 1) x on r.read_no = x.read_no and r.cs = x.cs)"
+    ", a as (select one.*, 'NN' || s.seq || 'NN' as ref, length(s.seq) as n from one join strands s on s.seq_id = one.sequence and s.strand = one.strand)"
+    ", k as (select *, substr(seq, i + 1, 1) as base, substr(ref, start + i, 5) as u, i from (select sequence, strand, start, read_no, seq, n, substr(ref, start, 44) as ref0, ref from a) z, unnest(range(0, 39)) t(i))"
+    ", c as (select sequence, case when strand = '-' then n + 1 - (start + i) else start + i end as pos, base in ('C', 'G') as methylated from k where case when read_no = 1 then u[3] = 'C' and base in ('C', 'T') else u[3] = 'G' and base in ('G', 'A') end)"
+    " select sequence, (pos - 1) // 50 * 50 + 1 as win_start, cast(count(*) filter (methylated) as bigint) as c, cast(count(*) filter (not methylated) as bigint) as t from c group by 1, 2"
+))
+def _(reads, fasta):
+    """From reads and a genome to alignments, calls and windows: reads of one best place only."""
+    hits = A.bisulfite_alignments(_worn(reads), fasta, mismatches=2, max_hits=10, shortest=40).where("hits = 1")
+    calls = M.base_calls(hits.withColumnRenamed("seq", "bases"))
+    return calls.groupBy("sequence", (F.floor((F.col("pos") - 1) / 50) * 50 + 1).alias("win_start")).agg(F.count_if("methylated").alias("c"), F.count_if(~F.col("methylated")).alias("t"))

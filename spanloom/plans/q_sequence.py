@@ -112,7 +112,7 @@ def _(fasta):
 
 @query("j21_genome_diff", "fasta", ", p as (select seq_id, seq as a, translate(seq, 'G', 'A') as b from fasta) select seq_id, cast(i as int) as pos, substr(a, i, 1) as a, substr(b, i, 1) as b, substr(a, i, 1) || '>' || substr(b, i, 1) as snp from p, unnest(range(1, length(a) + 1)) t(i) where substr(a, i, 1) <> substr(b, i, 1)")
 def _(fasta):
-    out = Q.differences(fasta, fasta.select("seq_id", F.translate("seq", "G", "A").alias("seq")), 500)
+    out = Q.differences(fasta, fasta.select("seq_id", F.translate("seq", "G", "A").alias("seq")), 500, equal_lengths=True)
     return out.withColumn("snp", X.snp_notation("a", "b"))
 
 
@@ -127,11 +127,41 @@ def _(fasta):
     return out.groupBy(F.col("seq_id").alias("rank")).agg(F.count("*").alias("differences"))
 
 
-@query("j20_patch", "fasta", " select seq_id, substr(seq, 1, 9) || 'x' || substr(seq, 11, 289) || case when length(seq) >= 300 then 'y' else '' end || substr(seq, 301) as seq from (select seq_id, case when length(seq) >= 300 then substr(seq, 1, 299) || substr(seq, 301) else seq end as s0, seq from fasta) z where length(seq) >= 310 and true".replace("substr(seq, 11, 289) || case when length(seq) >= 300 then 'y' else '' end", "substr(seq, 11, 289) || 'y'"))
+_SIDES = ", o as (select seq_id, seq, row_number() over (order by seq_id) as k from fasta), p as (select r.seq_id as a_id, s.seq_id as b_id, (r.k + 1) // 2 as rank, r.seq as a, s.seq as b from o r left join o s on s.k = r.k + 1 where r.k % 2 = 1)"
+
+
+def _sides(fasta):
+    """The sequences of odd and of even ranks as two genomes."""
+    from spanloom.operators.ordering import running_total
+
+    ranked = running_total(fasta.withColumn("one", F.lit(1)), ["seq_id"], "one", "k")
+    return [ranked.where(f"k % 2 = {odd}").select(F.expr("(k + 1) div 2").alias("rank"), F.col("seq_id").alias("header"), "seq") for odd in (1, 0)]
+
+
+@query("j22_marked_sequences", "fasta", _SIDES + ", c as (select rank, a_id as header, coalesce(a, '') as x, coalesce(b, '') as y from p union all select rank, b_id, b, a from p where b_id is not null), m as (select rank, header, list_transform(range(1, length(x) + 1), lambda i: case when x[i] = y[i] and i <= length(y) then lower(x[i]) else upper(x[i]) end) as l from c where length(x) > 0) select rank, header, sha256(array_to_string(l, '')) as digest from m")
+def _(fasta):
+    """Both sequences of each rank with the bases in upper case where they differ."""
+    marked, _ = Q.marked_differences(*_sides(fasta), 256)
+    whole = marked.groupBy("rank", "header").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "").alias("seq"))
+    return whole.select("rank", "header", F.sha2("seq", 256).alias("digest"))
+
+
+@query("j22_difference_report", "fasta", _SIDES + " select rank, a_id as a, b_id as b, cast(len(list_filter(range(1, greatest(length(a), length(b)) + 1), lambda i: i > length(a) or i > length(b) or p.a[i] <> p.b[i])) as bigint) as mismatches, case when length(p.a) <> length(p.b) then 'strings have different sizes: ' || length(p.a) || ', ' || length(p.b) end as warning from p where b_id is not null")
+def _(fasta):
+    return Q.marked_differences(*_sides(fasta), 256)[1]
+
+
+#: Places that are patched: every 97th base from one on that depends on the sequence, and one behind the end.
+_SNPS = ", s as (select seq_id, seq, length(seq) as n, cast(substr(seq_id, 2) as bigint) % 97 + 1 as first from fasta where length(seq) > 0)"
+
+
+@query("j20_patch", "fasta", _SNPS + " select seq_id, sha256(array_to_string(list_transform(range(1, n + 1), lambda i: case when i % 97 = first % 97 then case when i % 2 = 0 then 'x' else 'y' end else seq[i] end), '')) as digest from s")
 def _(fasta):
-    rows = fasta.where("length(seq) >= 310")
-    snps = rows.select("seq_id", F.explode(F.array(F.struct(F.lit(10).alias("pos"), F.lit("x").alias("base")), F.struct(F.lit(300).alias("pos"), F.lit("y").alias("base")))).alias("s")).select("seq_id", "s.*")
-    return Q.patch(rows, snps, 128)
+    """Replacements all over every sequence."""
+    rows = fasta.where("length(seq) > 0")
+    first = "cast(substring(seq_id, 2) as bigint) % 97 + 1"
+    snps = rows.select("seq_id", F.explode(F.expr(f"sequence({first}, greatest({first}, length(seq) + 97), 97)")).alias("pos")).withColumn("base", F.when(F.col("pos") % 2 == 0, "x").otherwise("y"))
+    return Q.patch(rows, snps, 128).select("seq_id", F.sha2("seq", 256).alias("digest"))
 
 
 @query("j18_assembly", "fasta", ", p as (select 'O' || (cast(substr(seq_id, 2) as bigint) // 5) as object, cast(substr(seq_id, 2) as bigint) as part_no, case when cast(substr(seq_id, 2) as bigint) % 3 = 0 then 'N' else 'W' end as type, seq from fasta) select object, string_agg(case when type = 'N' then repeat('N', 7) else seq end, '' order by part_no) as seq from p group by 1")

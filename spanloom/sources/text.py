@@ -79,14 +79,12 @@ def parse_fastq(df: DataFrame) -> DataFrame:
     return df.select(F.regexp_replace(f[0], "^@", "").alias("name"), f[1].alias("seq"), F.get(f, F.lit(3)).alias("qual"))
 
 
-def read_fastq(spark: SparkSession, path) -> DataFrame:
-    """Whole files of four-line records: lines are numbered by running totals over the splits' counts."""
-    from spanloom.operators.ordering import running_total
-
-    rows = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"), F.lit(1).alias("one"))
-    numbered = running_total(rows, ["at"], "one", "n")
-    grouped = numbered.groupBy(F.floor((F.col("n") - 1) / 4).alias("record")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "value"))), lambda x: x["value"]), "\n").alias("value"))
-    return parse_fastq(grouped)
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """Files of four-line records, by byte ranges that find where records begin (sources.formats): no line is numbered or moved."""
+    from spanloom.sources.formats import register
+
+    register(spark)
+    return spark.read.format("fastq").load(path)
 
 
 def parse_scarf(df: DataFrame) -> DataFrame:
