@@ -1,55 +1,95 @@
 """Sums, neighbours and reaches along an order without one task that holds a table or a group.
 
 A table is dealt once by ranges of its order. Within a range, windows do the work; what a row needs from
-the ranges before or after it is carried over by a table of one row for each range and group.
+the ranges before or after it is carried over by a table of one row for each range and group. What is asked for
+together is carried by one such table, and the ranges lie in buckets, so that windows and sums move no row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.storage import write_table
+from spanloom.storage import broadcast_if_small, drop_table, write_buckets, write_table
 
 #: Rows of a range (about); a table of fewer stays one range.
 RANGE_ROWS = 200_000
+#: Buckets that the ranges lie in at most, and rows of a carried table that are broadcast at most.
+MOST_BUCKETS, MOST_CARRIED = 10_000, 1_000_000
 PART = "__part"
 
 
 def ranged(df: DataFrame, order: list[str], rows: int | None = None) -> tuple[DataFrame, int]:
     """(df with the number of its range in __part, number of ranges).
 
-    The ranges are cut once, on a table that is written: a plan that deals the same rows twice may cut them at other
-    places each time. Their number comes from a count."""
-    parts = -(-df.count() // (rows or RANGE_ROWS))
+    df is written, so that it is made once, and then counted; the ranges are cut once, on a table that is written: a plan that deals the
+    same rows twice may cut them at other places each time."""
+    whole = write_table(df, "rows")
+    parts = -(-whole.count() // (rows or RANGE_ROWS))
     if parts <= 1:
-        return df.withColumn(PART, F.lit(0)), 1
-    return write_table(df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), "ranges"), parts
+        return whole.withColumn(PART, F.lit(0)), 1
+    cut = whole.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id())
+    out = write_buckets(cut, "ranges", PART, min(MOST_BUCKETS, parts))
+    drop_table(whole)
+    return out, parts
+
+
+@dataclass
+class _Step:
+    """A column to be added: its value within the range, what a range contributes, how that is carried to other
+    ranges, and both together (the carried value is None where there is one range)."""
+
+    name: str
+    local: Column
+    own: Column
+    carried: Callable[[Column], Column]
+    both: Callable[[Column, Column | None], Column]
 
 
 class Along:
     """Windows over the rows of each group in a total order, by ranges.
 
-    Rows are dealt by ranges of (keys, order), so a group's rows lie in neighbouring ranges; each method adds a column."""
+    Rows are dealt by ranges of (keys, order), so a group's rows lie in neighbouring ranges; each method adds a column. Columns are
+    added when `rows` is read: those asked for since it was last read share one scan of the ranges, which makes the table that is
+    carried over. A column that is made of added ones can so be summed in its turn, by one more scan."""
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], rows: int | None = None):
         self.keys, self.order = keys, order
-        self.rows, self.parts = ranged(df, [*keys, *order], rows)
+        self._rows, self.parts = ranged(df, [*keys, *order], rows)
+        self._steps: list[_Step] = []
         self.here = Window.partitionBy(PART, *keys).orderBy(*order)
         self.ranges = Window.partitionBy(*keys).orderBy(PART)
 
-    def _add(self, name: str, local: Column, own: Column, carried, both) -> Along:
-        """Adds both(local, carried(own of each of the group's ranges)); a single range has nothing to carry."""
+    @property
+    def rows(self) -> DataFrame:
+        steps, self._steps = self._steps, []
+        if not steps:
+            return self._rows
         if self.parts == 1:
-            self.rows = self.rows.withColumn(name, both(local, None))
-            return self
+            self._rows = self._rows.withColumns({s.name: s.both(s.local, None) for s in steps})
+            return self._rows
         groups = [f"__g{i}" for i in range(len(self.keys))]
-        table = self.rows.groupBy(PART, *self.keys).agg(own.alias("__own"))
-        table = table.withColumn("__carried", carried(F.col("__own"))).drop("__own").toDF("__p", *groups, "__carried")
-        on = self.rows[PART] == table["__p"]
+        table = self._rows.groupBy(PART, *self.keys).agg(*[s.own.alias(f"__own{i}") for i, s in enumerate(steps)])
+        table = write_table(table, "carried").select(PART, *self.keys, *[s.carried(F.col(f"__own{i}")).alias(f"__carried{i}") for i, s in enumerate(steps)])
+        table = write_table(table.toDF("__p", *groups, *[f"__carried{i}" for i in range(len(steps))]), "carried")
+        local = self._rows.withColumns({f"__local{i}": s.local for i, s in enumerate(steps)})
+        on = F.col(PART) == F.col("__p")
         for g, k in zip(groups, self.keys):
-            on = on & self.rows[k].eqNullSafe(table[g])
-        self.rows = self.rows.join(table, on).withColumn(name, both(local, F.col("__carried"))).drop("__p", *groups, "__carried")
+            on = on & F.col(f"`{k}`").eqNullSafe(F.col(g))
+        joined = local.join(broadcast_if_small(table, MOST_CARRIED), on)
+        added = joined.withColumns({s.name: s.both(F.col(f"__local{i}"), F.col(f"__carried{i}")) for i, s in enumerate(steps)})
+        self._rows = added.drop("__p", *groups, *[f"__{c}{i}" for i in range(len(steps)) for c in ("local", "carried")])
+        return self._rows
+
+    @rows.setter
+    def rows(self, df: DataFrame) -> None:
+        self._rows = df
+
+    def _add(self, *step) -> Along:
+        self._steps.append(_Step(*step))
         return self
 
     def total(self, value: str, name: str, before: bool = False) -> Along:

@@ -249,9 +249,13 @@ def _(gff):
     return spark.sql("select t.* from {lines} l, lateral interval_line(l.value) t", lines=lines)
 
 
-@query("o5_sample_size", "gff", " select cast(100 as bigint) as n, cast(100 as bigint) as different")
+@query("o5_sample_size", "gff", " select cast(100 as bigint) as n, cast(100 as bigint) as different, cast(100 as bigint) as found, cast(count(*) as bigint) as total from gff")
 def _(gff):
-    return R.sample_rows(gff, 100, 3).agg(F.count("*").alias("n"), F.count_distinct("id", "ln").alias("different"))
+    """A sample has as many rows as asked for, all different, and all of them rows of the table."""
+    sample = R.sample_rows(gff, 100, 3)
+    found = sample.join(gff.select("id", "ln").distinct(), ["id", "ln"], "left_semi")
+    counts = sample.agg(F.count("*").alias("n"), F.count_distinct("id", "ln").alias("different"))
+    return counts.join(found.agg(F.count("*").alias("found"))).join(gff.agg(F.count("*").alias("total")))
 
 
 @query("u1_row_parser", "gff", " select upper(id) as name, start, stop - start + 1 as bases from gff")

@@ -220,19 +220,19 @@ def _(gff):
     return gff.groupBy("sequence").agg(F.max_by(F.concat_ws(":", "id", "ln"), F.struct("score", "id", "ln")).alias("best"))
 
 
-_BINS = ", b as (select cast(ln as bigint) as bin, id as locus, score from gff where c > 10)"
+_BINS = ", b as (select cast(ln as bigint) as bin, id as locus, score from gff)"
 
 
 @query("a23_bin_profile", "gff", _BINS + " select bin, round(avg(score), 6) as mean, round(stddev_samp(score), 4) as std, round(var_samp(score), 2) as var, cast(count(*) as bigint) as n, round(stddev_samp(score) / sqrt(count(*)), 4) as ste, round(avg(score) - 1.96 * stddev_samp(score) / sqrt(count(*)), 3) as low, round(avg(score) + 1.96 * stddev_samp(score) / sqrt(count(*)), 3) as high from b group by 1")
 def _(gff):
-    out = S.bin_profile(gff.where("c > 10").select(F.col("ln").alias("bin"), F.col("id").alias("locus"), "score"))
+    out = S.bin_profile(gff.select(F.col("ln").alias("bin"), F.col("id").alias("locus"), "score"))
     places = {"mean": 6, "std": 4, "var": 2, "ste": 4, "low": 3, "high": 3}
     return out.select("bin", "n", *[F.round(c, k).alias(c) for c, k in places.items()])
 
 
 @query("a24_bin_quartiles", "gff", _BINS + ", s as (select bin, list(score order by score) as a, avg(score) as m from b group by 1) select bin, round(m, 6) as mean, a[len(a) // 4 + 1] as q1, a[len(a) // 2 + 1] as q2, a[len(a) * 3 // 4 + 1] as q3, cast(len(a) as bigint) as n from s")
 def _(gff):
-    return S.bin_quartiles(gff.where("c > 10").select(F.col("ln").alias("bin"), F.col("id").alias("locus"), "score")).withColumn("mean", F.round("mean", 6))
+    return S.bin_quartiles(gff.select(F.col("ln").alias("bin"), F.col("id").alias("locus"), "score")).withColumn("mean", F.round("mean", 6))
 
 
 def _ends(five: bool, strategy: int) -> str:
@@ -269,9 +269,9 @@ def _matrix_part(group: str, five: bool, strategy: int) -> str:
     return f"(with {rows}, m as (select locus, bin, avg(s) as score from q where feature = '{group}' group by 1, 2) select '{group}' as \"group\", '{'5p' if five else '3p'}' as side, cast({strategy} as int) as strategy, bin, cast(round(avg(score) / pi()) as bigint) as mean, cast(count(*) as bigint) as n from m group by bin)"
 
 
-@query("x6_ends_matrix", "gff genes", " select * from (" + " union all ".join(_matrix_part(k, five, s) for k in "AN" for five in (True, False) for s in (0, 2)) + ") z")
+@query("x6_ends_matrix", "gff genes", " select * from (" + " union all ".join(_matrix_part(k, five, s) for k in "ANR" for five in (True, False) for s in (0, 2)) + ") z")
 def _(gff, genes):
     from spanloom.plans.pipelines import ends_matrix
 
-    out = ends_matrix({"A": gff.where("feature = 'A'"), "N": gff.where("feature = 'N'")}, genes, 100, 20, (0, 2), 64)
+    out = ends_matrix({k: gff.where(F.col("feature") == k) for k in "ANR"}, genes, 100, 20, (0, 2), 64)
     return out.withColumn("mean", F.round(F.col("mean") / F.pi()).cast("long"))

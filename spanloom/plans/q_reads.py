@@ -166,10 +166,11 @@ def _(hits, reads):
     return hits.join(own, "read", "left_semi").select("read", "coord")
 
 
-@query("f12_quality", "part", ", q as (select p_partkey as k, unnest(range(-5, 41)) as q from part) select k, string_agg(chr(cast(floor(33 + 10 * log10(1 + pow(10, q / 10.0)) + 0.499) as int)), '' order by q) as qual from q group by 1")
+@query("f12_quality", "part", ", q as (select p_partkey as k, i, (p_partkey * 7 + i * i) % 46 - 5 as q from part, unnest(range(0, p_size + 1)) t(i)) select k, string_agg(chr(cast(floor(33 + 10 * log10(1 + pow(10, q / 10.0)) + 0.499) as int)), '' order by i) as qual from q group by 1")
 def _(part):
-    rows = part.select(F.col("p_partkey").alias("k"), F.array_join(F.transform(F.sequence(F.lit(-5), F.lit(40)), lambda q: F.chr(q + 64)), "").alias("s"))
-    return rows.select("k", X.solexa_to_sanger("s").alias("qual"))
+    """Qualities that depend on the row."""
+    text = F.expr("array_join(transform(sequence(0, p_size), i -> char((p_partkey * 7 + i * i) % 46 + 59)), '')")
+    return part.select(F.col("p_partkey").alias("k"), text.alias("s")).select("k", X.solexa_to_sanger("s").alias("qual"))
 
 
 @query("f14_contexts", "fasta", ", p as (select seq_id, seq, unnest(range(1, length(seq) + 1)) as i from fasta where length(seq) > 0) select case when substr(seq, i + 1, 1) = 'G' then 'CG' when substr(seq, i + 2, 1) = 'G' then 'CHG' else 'CHH' end as context, cast(count(*) as bigint) as n from p where substr(seq, i, 1) = 'C' group by 1")
@@ -199,15 +200,15 @@ def _(reads):
     return reads.where("length(bases) > 0").select(pair.alias("pair_id"), no.alias("read_no"), bases.alias("bases"))
 
 
-@query("a16_seeker_counts", "gff", ", k as (select sequence, case ln % 3 when 0 then 'CG' when 1 then 'CHG' else 'CHH' end as context, start % 500 as pos, c > 25 as up from gff) select sequence, context, pos, cast(count(*) filter (up) as bigint) as c, cast(count(*) filter (not up) as bigint) as t from k group by 1, 2, 3")
+@query("a16_seeker_counts", "gff", ", k as (select sequence, case ln % 3 when 0 then 'CG' when 1 then 'CHG' else 'CHH' end as context, start as pos, c > 25 as up from gff) select sequence, context, pos, cast(count(*) filter (up) as bigint) as c, cast(count(*) filter (not up) as bigint) as t from k group by 1, 2, 3")
 def _(gff):
     sign = F.when(F.col("ln") % 3 == 0, "x").when(F.col("ln") % 3 == 1, "y").otherwise("z")
-    rows = gff.select("sequence", (F.col("start") % 500).alias("pos"), F.when(F.col("c") > 25, F.upper(sign)).otherwise(sign).alias("call"))
+    rows = gff.select("sequence", F.col("start").alias("pos"), F.when(F.col("c") > 25, F.upper(sign)).otherwise(sign).alias("call"))
     return M.seeker_counts(rows)
 
 
-#: Reads with as many bases changed as their number modulo 3 tells, at places that depend on it.
-_K = "cast(substr(name, 2) as bigint)"
+#: Reads with as many bases changed as their place's number modulo 3 tells, at places that depend on it.
+_K = "(start // 40 + start % 7)"
 _PUT = "case when {k} % 3 >= {least} then concat(substr({x}, 1, cast({k} % {n} + {off} as int)), translate(substr({x}, cast({k} % {n} + {off} + 1 as int), 1), 'ACGT', 'CATG'), substr({x}, cast({k} % {n} + {off} + 2 as int))) else {x} end"
 _WORN = _PUT.format(k=_K, least=2, n=19, off=20, x="(" + _PUT.format(k=_K, least=1, n=17, off=1, x="bases") + ")")
 _HITS = (
@@ -224,7 +225,7 @@ _HITS = (
 
 def _worn(reads):
     """Reads with up to two bases changed."""
-    seq = F.expr(f"case when length(bases) = 40 then {_WORN} else bases end")
+    seq = F.expr(f"case when length(bases) = 40 then {_WORN.replace('//', 'div')} else bases end")
     return reads.select(F.col("name").alias("read"), "read_no", seq.alias("seq"))
 
 

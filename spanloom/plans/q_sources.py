@@ -233,18 +233,25 @@ def _(lists):
     return T.parse_list(lines).select("id", "list_score")
 
 
-@query("s33_chromosome_lengths", "region", "select 'chr' || i as sequence, cast(n as bigint) as length from (values ('1', 30432563), ('2', 19705359), ('3', 23470805), ('4', 18585042), ('5', 26992728), ('c', 154478), ('m', 366924)) t(i, n)")
-def _(region):
-    return T.chromosome_lengths(region.sparkSession)
+_LENGTHS = ", ".join(f"('{g}', '{k}', {n})" for g, own in T.CHROMOSOME_LENGTHS.items() for k, n in own.items())
 
 
-_LENGTHS = ", ".join(f"('{g}', '{k}', {n})" for g, own in T.CHROMOSOME_LENGTHS.items() for k, n in own.items())
+@query("s33_chromosome_lengths", "gff", f", l as (select sequence as name, n from (values {_LENGTHS}) t(genome, sequence, n) where genome = 'arabidopsis') select sequence, cast(n as bigint) as length, cast(count(*) as bigint) as rows_, cast(count(*) filter (stop > n) as bigint) as beyond, cast(min(n + 1 - stop) as bigint) as flipped from gff join l on name = sequence group by 1, 2")
+def _(gff):
+    """Rows by chromosome, those that leave it, and the least start on the other strand."""
+    lengths = T.chromosome_lengths(gff.sparkSession)
+    rows = gff.join(F.broadcast(lengths), "sequence")
+    return rows.groupBy("sequence", "length").agg(F.count("*").alias("rows_"), F.count_if(F.col("stop") > F.col("length")).alias("beyond"), F.min(X.flip("stop", "length")).alias("flipped"))
 
 
-@query("s33_chromosomes_of_genomes", "region", f"select genome, sequence, cast(n as bigint) as length from (values {_LENGTHS}) t(genome, sequence, n) where genome <> 'arabidopsis'")
-def _(region):
-    parts = [T.chromosome_lengths(region.sparkSession, g).select(F.lit(g).alias("genome"), "sequence", "length") for g in ("rice", "puffer")]
-    return parts[0].unionByName(parts[1])
+@query("s33_chromosomes_of_genomes", "sites", f", l as (select genome, sequence, n from (values {_LENGTHS}) t(genome, sequence, n) where genome <> 'arabidopsis'), s as (select *, cast(substr(sequence, 4) as bigint) as k from sites) select genome, l.sequence, cast(n as bigint) as length, cast(count(*) as bigint) as sites, cast(sum(c) as bigint) as c from s join l on l.sequence = case genome when 'rice' then 'chr' || lpad(cast(k as varchar), 2, '0') else cast(k as varchar) end where start <= n group by 1, 2, 3")
+def _(sites):
+    """Sites on the chromosomes of two genomes that name them in ways of their own."""
+    lengths = [T.chromosome_lengths(sites.sparkSession, g).select(F.lit(g).alias("genome"), F.col("sequence").alias("name"), "length") for g in ("rice", "puffer")]
+    k = F.substring("sequence", 4, 9)
+    named = sites.select("start", "c", F.explode(F.array(F.struct(F.lit("rice").alias("genome"), F.concat(F.lit("chr"), F.lpad(k, 2, "0")).alias("name")), F.struct(F.lit("puffer").alias("genome"), k.alias("name")))).alias("x")).select("start", "c", "x.*")
+    rows = named.join(F.broadcast(lengths[0].unionByName(lengths[1])), ["genome", "name"]).where("start <= length")
+    return rows.groupBy("genome", F.col("name").alias("sequence"), "length").agg(F.count("*").alias("sites"), F.sum("c").alias("c"))
 
 
 @query("s35_store_view", "gff", " select sequence, cast(count(*) as bigint) as n from gff where strand = '+' group by 1")

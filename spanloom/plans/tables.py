@@ -109,7 +109,7 @@ ADAPTERS: dict[str, tuple[str, list[str]]] = {
     "reads": (
         "tiles",
         [
-            "concat('r', cast(doc_id + k * 1000003 as varchar(20))) as name",
+            "concat('r', cast(doc_id as varchar(20)), case when k > 0 then concat('_', cast(k as varchar(20))) else '' end) as name",
             "substr(dna, cast(k * 40 + 1 as int), 40) as bases",
             "substr(concat('NN', dna, 'NN'), cast(k * 40 + 1 as int), 4 + length(substr(dna, cast(k * 40 + 1 as int), 40))) as target",
             "concat('chr', cast(doc_id % 4 + 1 as varchar(9))) as sequence",

@@ -33,6 +33,15 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_buckets(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """df as a table in the shared folder whose files lie by a hash of a column: what is then grouped, joined or put in
+    order by that column, or by it and others, is not shuffled. The table is known to the session under a name of its own."""
+    spark = df.sparkSession
+    own = f"spanloom_{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("path", f"{shared_dir(spark)}/{own}").saveAsTable(own)
+    return spark.table(own)
+
+
 def drop_table(df: DataFrame) -> None:
     """Deletes the files of a table made by write_table()."""
     spark = df.sparkSession

@@ -178,3 +178,16 @@ def test_pushed_down_scan(spark, sf):
     df = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity > 10").select("l_partkey", "l_quantity")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan and "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
+
+
+def test_ranges_are_scanned_once_and_not_moved(spark, monkeypatch):
+    """In the plan of a result each table of ranges is read once, and what is carried over is broadcast."""
+    from spanloom.operators import ordering
+
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 50)
+    df = ranges(spark, 400, 5, 60).where("start <= stop").withColumn("score", F.col("id") % 7 * 1.0)
+    for found, scans in ((W.islands(df, 3, "id"), 1), (W.gaps(df, "id"), 1), (W.by_coordinate(df, "id").total("id", "a").highest_before("stop", "b").neighbour("start", "c").done(), 1)):
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len([x for x in plan.splitlines() if "FileScan" in x and "spanloom_ranges" in x]) == scans
+        assert "hashpartitioning(__part" not in plan
