@@ -34,18 +34,54 @@ def spelled(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')")
 
 
+def leading(array: str, test: str) -> str:
+    """SQL of how many elements e of an array fulfil a test of `e`, where those that do come first: a binary search."""
+    mid = "shiftright(bs.lo + bs.hi, 1)"
+    return (
+        f"aggregate(sequence(1, cast(log2(size({array}) + 1) as int) + 1), named_struct('lo', 0, 'hi', size({array})), (bs, bk) -> case when bs.lo >= bs.hi then bs"
+        f" when element_at(transform(array({array}[{mid}]), e -> {test}), 1) then named_struct('lo', {mid} + 1, 'hi', bs.hi) else named_struct('lo', bs.lo, 'hi', {mid}) end, bs -> bs.lo)"
+    )
+
+
+def inside_one(arrays: list[str], start: str, end: str) -> str:
+    """Whether a span of any of the arrays (each in order, without overlaps) holds the place from start to end."""
+    return " or ".join(_last_one(a, f"e.start <= {start}", f"o.end >= {end}") for a in arrays)
+
+
+def meets_one(arrays: list[str], start: str, end: str) -> str:
+    """Whether a span of any of the arrays (each in order, without overlaps) shares a character with that place."""
+    return " or ".join(_last_one(a, f"e.start < {end}", f"o.end > {start}") for a in arrays)
+
+
+def _last_one(array: str, test: str, then: str) -> str:
+    return f"element_at(transform(array({leading(array, test)}), n -> case when n = 0 then false else element_at(transform(array({array}[n - 1]), o -> {then}), 1) end), 1)"
+
+
+def before_each(array: str, value: str, nothing: str) -> str:
+    """SQL of an array: for each element the greatest `value` (of an element x) of those before it, `nothing` for the
+    first. Runs of RUN elements are gone through one by one, so no array grows with each step."""
+    runs = f"sequence(0, (size({array}) + {RUN - 1}) div {RUN})"
+    own = f"slice({array}, int(br) * {RUN} + 1, {RUN})"
+    heads = f"aggregate(transform({runs}, br -> aggregate({own}, {nothing}, (ba, x) -> greatest(ba, {value}))), array({nothing}), (bh, bv) -> concat(bh, array(greatest(element_at(bh, -1), bv))))"
+    steps = f"slice(aggregate({own}, array(bt[int(br)]), (ba, x) -> concat(ba, array(greatest(element_at(ba, -1), {value})))), 1, size({own}))"
+    return f"element_at(transform(array({heads}), bt -> flatten(transform({runs}, br -> {steps}))), 1)"
+
+
+#: Characters of a block of a text that is cut: a place is looked for in its block, not from the start of the text.
+BLOCK = 1024
+
+
 def cut_out(text: str, spans: str, mark: str) -> Column:
     """The text with each of the spans (sorted by start; overlapping ones are joined) replaced by mark.
 
-    Spans are first merged into disjoint ones; the result is put together from the parts between them."""
-    merged = (
-        f"aggregate({spans}, cast(array() as array<struct<start:int,end:int>>), (a, x) -> case"
-        f" when size(a) > 0 and element_at(a, -1).end >= x.start then concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end))))"
-        f" else concat(a, array(named_struct('start', x.start, 'end', x.end))) end)"
-    )
-    parts = (
-        f"transform(m, (x, i) -> concat(substring({text}, (case when i = 0 then 0 else m[i - 1].end end) + 1, x.start - (case when i = 0 then 0 else m[i - 1].end end)), '{mark}'))"
-    )
-    return F.expr(
-        f"case when size({spans}) = 0 then {text} else element_at(transform(array({merged}), m -> concat(array_join({parts}, ''), substring({text}, element_at(m, -1).end + 1))), 1) end"
+    A span that starts behind the end of all before it begins a stretch to be replaced; the result is put together from
+    the parts between these, which are taken from blocks of the text, so the work is in proportion to text and spans."""
+    part = (
+        f"case when {{0}} >= {{1}} then '' else array_join(transform(sequence({{0}} div {BLOCK}, ({{1}} - 1) div {BLOCK}), cb -> "
+        f"substring(c.blocks[int(cb)], int(greatest({{0}} - cb * {BLOCK}, 0) + 1), int(least({{1}} - cb * {BLOCK}, {BLOCK}) - greatest({{0}} - cb * {BLOCK}, 0)))), '') end"
     )
+    own = f"transform({spans}, x -> named_struct('start', x.start, 'end', x.end))"
+    bound = f"named_struct('blocks', regexp_extract_all({text}, '(?s).{{1,{BLOCK}}}', 0), 'spans', {own}, 'ends', {before_each(spans, 'x.end', '0')}, 'size', length({text}), 'last', array_max(transform({spans}, x -> x.end)))"
+    stretches = "filter(transform(c.spans, (x, i) -> named_struct('start', x.start, 'before', c.ends[i], 'i', i)), x -> x.i = 0 or x.start > x.before)"
+    body = f"concat(array_join(transform({stretches}, x -> concat({part.format('x.before', 'x.start')}, '{mark}')), ''), {part.format('c.last', 'c.size')})"
+    return F.expr(f"case when size({spans}) = 0 then {text} else element_at(transform(array({bound}), c -> {body}), 1) end")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import boosting
 from spanloom.llm.learn import logistic
-from spanloom.llm.matches import LEFT, add_matches, cut_out
+from spanloom.llm.matches import LEFT, add_matches, cut_out, leading, meets_one
 
 KINDS = ("email", "ip", "card", "phone")
 #: The stated patterns. Possessive quantifiers and a look behind keep Java from trying every start of a
@@ -143,19 +143,27 @@ def _candidates(df: DataFrame, text: str) -> DataFrame:
         df = df.withColumn(f"__form{kind}", F.expr(f"transform({'filter(__form2, x -> ' + _PASS['card']('x.m') + ')' if kind == 2 else f'__form{kind}'}, x -> named_struct('kind', {kind}, 'start', x.start, 'end', x.end, 'm', x.m, 'left', x.left, 'right', x.right))"))
     df = df.withColumn("__all", F.concat("__mail", "__windows", *[f"__form{k}" for k in FORMS]))
     features = ", ".join(f"'{k}', double({v})" for k, v in FEATURES.items() if k != "kind")
-    apart = "filter(__all, c -> not exists(__base, b -> b.start < c.end and c.start < b.end))"
+    apart = f"filter(__all, c -> not ({meets_one([f'__{k}' for k in KINDS], 'c.start', 'c.end')}))"
     return df.withColumn("__found", F.expr(f"transform({apart}, c -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, {features}))"))
 
 
 def _best(found: str) -> str:
-    """The best of overlapping candidates (structs that sort best first, with start and end), as SQL of their array by
-    start. Candidates that hang together are compared with each other only."""
-    kind = "array<struct<rank:double,shorter:int,start:int,end:int,no:int>>"
-    pick = f"aggregate(array_sort({{0}}), cast(array() as {kind}), (a, x) -> case when exists(a, y -> y.start < x.end and x.start < y.end) then a else concat(a, array(x)) end)"
-    state = "named_struct('done', {0}, 'open', {1}, 'till', {2})"
-    step = f"case when x.start < s.till then {state.format('s.done', 'concat(s.open, array(x))', 'greatest(s.till, x.end)')} else {state.format('concat(s.done, ' + pick.format('s.open') + ')', 'array(x)', 'x.end')} end"
-    none = f"cast(array() as {kind})"
-    return f"aggregate({found}, {state.format(none, none, '0')}, (s, x) -> {step}, s -> concat(s.done, {pick.format('s.open')}))"
+    """The best of overlapping candidates, as SQL of an array of them, sorted by start and end, of structs that sort best first: a
+    candidate is taken if no better one that is taken overlaps it.
+
+    In each round the candidates that are better than all undecided ones that they overlap are taken, and what overlaps a taken one
+    is dropped, until all are decided. A candidate looks at those that start at most the longest one's length before it."""
+    size = "array_max(transform(f.x, y -> y.end - y.start))"
+    near = f"transform(f.x, (x, i) -> named_struct('lo', {leading('f.x', 'e.start <= x.start - z')}, 'hi', {leading('f.x', 'e.start < x.end')}))"
+    # a place's state: 0 undecided, 1 taken, 2 dropped
+    others = "filter(sequence(g.near[i].lo, g.near[i].hi - 1), j -> j <> i and g.x[j].start < x.end and x.start < g.x[j].end)"
+    state = f"case when st[i] <> 0 then st[i] else element_at(transform(array({others}), o -> case when exists(o, j -> st[j] = 1) then 2 when exists(o, j -> st[j] = 0 and (g.x[j] < x or (g.x[j] = x and j < i))) then 0 else 1 end), 1) end"
+    step = f"element_at(transform(array(transform(g.x, (x, i) -> {state.replace('st[', 'r.st[')})), t -> named_struct('st', t, 'open', exists(t, v -> v = 0))), 1)"
+    rounds = f"aggregate(sequence(1, size(g.x)), named_struct('st', transform(g.x, x -> 0), 'open', true), (r, k) -> case when r.open then {step} else r end, r -> r.st)"
+    taken = f"element_at(transform(array({rounds}), st -> filter(g.x, (x, i) -> st[i] = 1)), 1)"
+    bound = f"element_at(transform(array({size}), z -> {near}), 1)"
+    body = f"element_at(transform(array(named_struct('x', f.x, 'near', {bound})), g -> {taken}), 1)"
+    return f"case when size({found}) = 0 then {found} else element_at(transform(array(named_struct('x', {found})), f -> {body}), 1) end"
 
 
 def _made(seed: int = 23) -> list[tuple[str, list[tuple[int, int]]]]:
@@ -274,7 +282,7 @@ def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     found = found.withColumn("__likely", F.expr(f"array_sort(filter(__scored, x -> -x.rank >= {limit}), (a, b) -> case when a.start <> b.start then a.start - b.start else a.end - b.end end)"))
     names = "case x.no " + " ".join(f"when {k} then '{n}'" for k, n in ADDED.items()) + " end"
     found = found.withColumn("__more", F.expr(f"transform({_best('__likely')}, x -> named_struct('no', x.no, 'kind', {names}, 'start', x.start, 'end', x.end))"))
-    return found.select(*kept, *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS], F.col("__base").alias("base_spans"), F.array_sort(F.array_distinct(F.concat("__base", "__more"))).alias("spans"))
+    return found.select(*kept, *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS], F.col("__base").alias("base_spans"), F.array_sort(F.concat("__base", "__more")).alias("spans"))
 
 
 def redact(df: DataFrame, model: Model, text_col: str = "text", mark: str = "[PII]") -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.matches import add_matches, cut_out
+from spanloom.llm.matches import add_matches, cut_out, inside_one
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
@@ -142,7 +142,8 @@ def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     place = lambda i: f"locate(substring(x.m, {i}, 1), '{ALPHABET}')"
     total = f"aggregate(sequence(1, length(x.m) - 1), 0D, (a, i) -> a + element_at({table}, ({place('i')} - 1) * {len(ALPHABET)} + {place('i + 1')}))"
     limit = "case " + " ".join(f"when length(x.m) >= {n} then {t!r}D" for n, t in reversed(list(zip(LENGTHS, model.thresholds)))) + " end"
-    more = f"filter(__token, x -> not exists(__base, b -> b.start <= x.start and x.end <= b.end) and {total} >= {limit} * (length(x.m) - 1))"
+    held = inside_one([f"__{k}" for k in KINDS], "x.start", "x.end")
+    more = f"filter(__token, x -> not ({held}) and {total} >= {limit} * (length(x.m) - 1))"
     found = found.withColumn("__more", F.expr(f"transform({more}, x -> named_struct('start', x.start, 'no', {len(KINDS)}, 'end', x.end, 'kind', 'random'))"))
     return found.select(*kept, *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS], F.col("__base").alias("base_spans"), F.array_sort(F.concat("__base", "__more")).alias("spans"))
 
