@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import words
-from spanloom.llm.shared import join_hot, shared_dir, write_table
+from spanloom.llm.shared import broadcast_if_small, join_hot, shared_dir, write_table
 
 #: Bytes between two selected records that one read may skip over, and bytes of one read at most.
 GAP, READ = 64 << 10, 8 << 20
@@ -24,6 +24,8 @@ GAP, READ = 64 << 10, 8 << 20
 FILE_BYTES = 64 << 20
 #: Bytes of records of one read task (about), and of a run of records that stays together.
 TASK_BYTES, RUN_BYTES = 16 << 20, 4 << 20
+#: Revisits (an id, a digest and an address) that are broadcast at most: about 30 MB.
+MOST_REVISITS = 200_000
 DATE = "2024-01-01T00:00:00Z"
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, record_type string, refers_to long"
 
@@ -106,13 +108,14 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     and further rows of the id that is the response are responses too: no revisit can name itself.
     Repeated rows of other ids each get their record; very long payloads are one record each; an empty table gives an
     empty index. Columns of df beside the three, whatever their names, don't matter.
-    The payloads are not shuffled: only digests are, a very common one dealt over several tasks, and the records that they make revisits are
-    joined back by id."""
+    Digests are shuffled, a very common one dealt over several tasks, and the list of revisits that they give is written and counted: up to
+    MOST_REVISITS rows are broadcast, so that the payloads stay where they are; a longer list is joined by id, with a shuffle of the payloads."""
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     made = pages.mapInArrow(_digests, "page_id long, url string, html string, digest string, bytes long")
     short = write_table(made.select("page_id", "url", "digest", "bytes"), "digests")
     first = short.where(f"page_id is not null and bytes >= {min_bytes}").groupBy("digest").agg(F.max_by("url", "page_id").alias("refers_url"), F.max("page_id").alias("refers_to"), F.count("*").alias("size")).where("size > 1")
     revisits = join_hot(short.select("page_id", "digest"), first, "digest", "page_id").where("page_id < refers_to").select("page_id", "digest", "refers_to", "refers_url").dropDuplicates(["page_id", "digest"])
+    revisits = broadcast_if_small(write_table(revisits, "revisits"), MOST_REVISITS)
     rows = made.select("page_id", "url", "html", "digest").join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "html", "digest", "refers_to", "refers_url")
     folder = f"{shared_dir(df.sparkSession)}/warc-{uuid.uuid4().hex}"
     return folder, write_table(rows.mapInArrow(_write(folder), INDEX), "warc-index")
