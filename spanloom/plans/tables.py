@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.operators.seqops import chunks
 from spanloom.session import spread
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASES = ("ACGT" * 7)[:26] * 2
-_DNA = f"translate(regexp_replace(text, '[^A-Za-z]', '', 'g'), '{LETTERS}', '{BASES}')"
+_DNA = f"translate(regexp_replace(text, '[^A-Za-z]+', '', 'g'), '{LETTERS}', '{BASES}')"
 
 ADAPTERS: dict[str, tuple[str, list[str]]] = {
     "gff": (
@@ -110,11 +111,11 @@ ADAPTERS: dict[str, tuple[str, list[str]]] = {
         "tiles",
         [
             "concat('r', cast(doc_id as varchar(20)), case when k > 0 then concat('_', cast(k as varchar(20))) else '' end) as name",
-            "substr(dna, cast(k * 40 + 1 as int), 40) as bases",
-            "substr(concat('NN', dna, 'NN'), cast(k * 40 + 1 as int), 4 + length(substr(dna, cast(k * 40 + 1 as int), 40))) as target",
+            "bases",
+            "target",
             "concat('chr', cast(doc_id % 4 + 1 as varchar(9))) as sequence",
             "(doc_id - doc_id % 4) * 50 + k * 40 + 1 as start",
-            "(doc_id - doc_id % 4) * 50 + k * 40 + 1 + length(substr(dna, cast(k * 40 + 1 as int), 40)) as stop",
+            "(doc_id - doc_id % 4) * 50 + k * 40 + 1 + length(bases) as stop",
             "case when doc_id % 2 = 0 then '+' else '-' end as strand",
             "cast(doc_id % 2 + 1 as int) as read_no",
             "cast(4000000000 as bigint) as length",
@@ -124,8 +125,20 @@ ADAPTERS: dict[str, tuple[str, list[str]]] = {
 }
 
 
-#: The documents' bases with a row for each run of 40 (k, from 0), for DuckDB.
-_TILES = f"(select doc_id, dna, unnest(range(0, greatest(length(dna) - 1, 0) // 40 + 1)) as k from (select doc_id, {_DNA} as dna from documents where text is not null) y) tiles"
+#: Bases of a read that is cut from a text.
+TILE = 40
+#: The documents' bases with a row for each run of TILE (k, from 0): the run, and it with two more bases on either side. For DuckDB.
+_TILES = (
+    f"(select doc_id, k, substr(dna, k * {TILE} + 1, {TILE}) as bases, substr('NN' || dna || 'NN', k * {TILE} + 1, 4 + length(substr(dna, k * {TILE} + 1, {TILE}))) as target"
+    f" from (select doc_id, dna, unnest(range(0, greatest(length(dna) - 1, 0) // {TILE} + 1)) as k from (select doc_id, {_DNA} as dna from documents where text is not null) y) z) tiles"
+)
+
+
+def _tiles(docs: DataFrame) -> DataFrame:
+    """The same rows: pieces of the padded bases, so the work is in proportion to a text's length."""
+    cut = chunks(docs.where("text is not null").selectExpr("doc_id as seq_id", f"concat('NN', {_portable(_DNA)}, 'NN') as seq"), TILE, 4)
+    runs = cut.where("at = 1 or length(part) > 4")
+    return runs.selectExpr("seq_id as doc_id", f"cast(at - 1 as bigint) div {TILE} as k", "substring(part, 3, length(part) - 4) as bases", "part as target")
 
 
 def _portable(text: str) -> str:
@@ -138,8 +151,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     base, columns = ADAPTERS[name]
     if base == "tiles":
-        rows = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("text is not null")
-        rows = rows.selectExpr("doc_id", _portable(_DNA) + " as dna").selectExpr("doc_id", "dna", "explode(sequence(0L, greatest(length(dna) - 1, 0) div 40)) as k")
+        rows = _tiles(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     else:
         rows = spread(spark.read.parquet(f"{sf_dir}/{base}.parquet"))
     return rows.selectExpr(*map(_portable, columns))
