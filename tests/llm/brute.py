@@ -111,22 +111,21 @@ def grams(word: bytes, sizes, bits: int) -> list[int]:
 
 
 def rejected(text, model, table: bytes, sizes, bits: int) -> bool:
-    """Whether a language model turns a text away: plain averages of its n-grams' rows, softmax, threshold."""
+    """Whether a language model turns a text away: the plain average of its n-grams' commonness, odds, threshold."""
     if not re.search(r"[^\W\d_]", text or ""):
         return True
     counted: dict[bytes, int] = {}
     for w in text.encode().translate(table).split(b"\0"):
         if w:
             counted[w] = counted.get(w, 0) + 1
-    total, n = [0.0] * len(model.languages), 0
+    total, n = 0.0, 0
     for w, k in counted.items():
         for g in grams(w, sizes, bits):
             n += k
-            for i, v in enumerate(model.table[g].tolist()):
-                total[i] += k * v
-    z = [model.sharpness * (t / max(n, 1) + b) for t, b in zip(total, model.bias)]
-    e = [math.exp(x - max(z)) for x in z]
-    return max(e) / sum(e) < model.reject
+            total += k * float(model.table[g, -1])
+    common, sure = max(total / max(n, 1), -16) / 4, 1 / math.sqrt(max(n, 1))
+    odds = sum(x * float(v) for x, v in zip((1, common, sure, common * sure), model.weights))
+    return 1 / (1 + math.exp(-max(-60.0, min(60.0, odds)))) < model.reject
 
 
 def redacted(text, model, token: str, mark: str = "[SECRET]"):

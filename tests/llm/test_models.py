@@ -71,6 +71,28 @@ def test_language_of_held_out_documents(spark, sf):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
 
 
+def test_texts_of_no_language_are_rejected(spark, sf):
+    """Texts that the model hasn't seen: nearly all are kept as they are, and rejected with their letters dealt anew."""
+    rows = [r for r in spark.read.parquet(sf.replace("0.001", "0.01") + "/documents.parquet").collect() if r.text and r.lang]
+    learned, held = ([r for r in rows if (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) == h] for h in (False, True))
+    model = langid.fit([r.text for r in learned], [r.lang for r in learned])
+    texts = [r.text for r in held if any(c.isalpha() for c in r.text)]
+    rng = np.random.default_rng(2)
+    rejected = lambda some: model.judge(*langid._bytes(some))[1].mean()
+    assert 0 < model.reject <= 0.5
+    assert rejected(texts) < 0.005
+    assert rejected([langid._shuffled(t, rng) for t in texts]) > 0.95
+    assert rejected(["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), 300)) for _ in range(200)]) > 0.99
+
+
+def test_rejection_in_edge_cases():
+    few = langid.fit(["uno dos tres", "one two three"] * 20, ["es", "en"] * 20)
+    assert few.reject == 0 and not few.judge(*langid._bytes(["qzx vvk"]))[1].any()
+    assert langid._shuffled("", np.random.default_rng(1)) == "" and langid._shuffled("12 3", np.random.default_rng(1)) == "12 3"
+    many = langid.fit(["uno dos tres", "one two three", "12 34"] * 120, ["es", "en", "en"] * 120)
+    assert not many.judge(*langid._bytes(["uno dos tres", "one two three"]))[1].any()
+
+
 def test_language_edges(clashing, none):
     model = langid.train(clashing)
     assert langid.train(none).languages == []
@@ -132,13 +154,13 @@ def test_language_equals_plain_averages():
     from spanloom.llm.words import text_bytes
 
     rng = np.random.default_rng(1)
-    table = np.vstack((rng.normal(size=(1 << langid.BITS, 3)), np.zeros(3))).astype(np.float32)
-    model = langid.Model(["a", "b", "c"], table, rng.normal(size=3), 1.7, 0.0)
+    table = np.vstack((rng.normal(size=(1 << langid.BITS, 4)), np.zeros(4))).astype(np.float32)
+    model = langid.Model(["a", "b", "c"], table, rng.normal(size=3), 1.7, np.zeros(4), 0.0)
     got = model.probabilities(*text_bytes(pa.array(TEXTS)))
     for text, p in zip(TEXTS, got):
         ids = [g for w in text.encode().translate(LETTERS.tobytes()).split(b"\0") if w for g in brute.grams(w, langid.SIZES, langid.BITS)]
-        mean = np.mean([table[i].astype(float) for i in ids], axis=0) if ids else np.zeros(3)
-        assert np.allclose(p, langid.softmax((1.7 * (mean + model.bias))[None])[0], atol=1e-6)
+        mean = np.mean([table[i].astype(float) for i in ids], axis=0) if ids else np.zeros(4)
+        assert np.allclose(p, langid.softmax((1.7 * (mean[:3] + model.bias))[None])[0], atol=1e-6)
 
 
 def test_votes_equal_plain_votes_with_ties():
