@@ -113,6 +113,15 @@ def test_classifiers_on_held_out_documents(spark, sf, query, label, least):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= limit) for r in got) and len(got) == 1000
 
 
+def test_toxic_held_out_documents_are_found(spark, sf):
+    """Precision and recall of the toxic label: calling nothing toxic would be right for most rows."""
+    sf = sf.replace("0.001", "0.1")
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(r.predicted, truth[r.doc_id]) for r in registry.op4_toxicity(spark, sf).where("held_out").select("doc_id", "predicted").collect() if truth.get(r.doc_id) is not None]
+    both, called, toxic = sum(p and t for p, t in held), sum(p for p, _ in held), sum(t for _, t in held)
+    assert toxic > 80 and both / called >= 0.9 and both / toxic >= 0.8
+
+
 def test_misspelled_words_share_subwords():
     texts = [f"the cat sat on {w} mat {i}" for i, w in enumerate(["idiot", "moron", "clown"] * 60)] + [f"the cat sat on {w} mat {i}" for i, w in enumerate(["table", "chair", "sofa"] * 60)]
     label = np.array([1] * 180 + [0] * 180)
