@@ -50,9 +50,10 @@ def _next_starts(rows: DataFrame, least: int) -> DataFrame:
     both = rows.select("__seq", "__at", F.lit(1).alias("__is_row"), "__k").unionByName(rows.select("__seq", (F.col("__at") + least).alias("__at"), F.lit(0).alias("__is_row"), "__k"))
     cut, _ = ranged(both, ["__seq", "__at", "__is_row", "__k"])
     place = F.when(F.col("__is_row") == 1, F.struct("__k", "__seq"))
-    behind = Window.partitionBy("__part").orderBy("__seq", "__at", "__is_row", "__k").rowsBetween(0, Window.unboundedFollowing)
-    found = cut.withColumn("__here", F.first(place, ignorenulls=True).over(behind))
+    # from the last row back, so that the window only grows: one that shrinks is folded anew for every row
+    back = Window.partitionBy("__part").orderBy(*[F.desc(c) for c in ("__seq", "__at", "__is_row", "__k")]).rowsBetween(Window.unboundedPreceding, 0)
+    found = cut.withColumn("__here", F.last(place, ignorenulls=True).over(back))
     firsts = cut.groupBy("__part").agg(F.min(place).alias("__place"))
-    later = firsts.withColumn("__later", F.first("__place", ignorenulls=True).over(Window.orderBy("__part").rowsBetween(1, Window.unboundedFollowing))).select("__part", "__later")
+    later = firsts.withColumn("__later", F.last("__place", ignorenulls=True).over(Window.orderBy(F.desc("__part")).rowsBetween(Window.unboundedPreceding, -1))).select("__part", "__later")
     found = found.where("__is_row = 0").join(F.broadcast(later), "__part").withColumn("__found", F.coalesce("__here", "__later"))
     return found.where(F.col("__found.__seq").eqNullSafe(F.col("__seq"))).select("__k", F.col("__found.__k").alias("__next"))
