@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,7 +55,18 @@ def measure(name: str) -> Column:
 MEASURES = ("dice", "jaccard", "phi", "x2", "tscore", "pmi", "tmi", "ll", "ps")
 
 
-_SMALL = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 1024)))))
+def _c_lgamma():
+    """lgamma of the C library, which databases use too: where a probability lies on a bound (1/20, say), the last bit of its logarithm
+    decides. Python's own differs in that bit, and takes its place where there is no such library."""
+    try:
+        found = ctypes.CDLL(ctypes.util.find_library("m")).lgamma
+    except (OSError, AttributeError, TypeError):
+        return math.lgamma
+    found.restype, found.argtypes = ctypes.c_double, [ctypes.c_double]
+    return found
+
+
+_SMALL = np.array([_c_lgamma()(float(n)) for n in range(1, 1025)])
 
 
 def _log_factorial(n: np.ndarray) -> np.ndarray:
@@ -176,8 +191,6 @@ def density(df: DataFrame, column: str, points: int = 101, bandwidth: float | No
     grid = np.linspace((s.a or 0.0) - 3 * h, (s.b or 0.0) + 3 * h, points)
 
     def run(batches):
-        import math
-
         erf = np.frompyfunc(math.erf, 1, 1)
         pdf, cdf = np.zeros(points), np.zeros(points)
         for part in batches:
