@@ -14,7 +14,7 @@ from spanloom.operators.joins import best_per, overlap_join, prefixed
 from spanloom.operators.sweep import _split
 
 #: Rows of the small table that are sent to every task at most; with more the tables are joined by bins.
-MOST_ROWS = 1_000_000
+MOST_ROWS = 100_000
 
 
 class NestedLists:
@@ -89,17 +89,13 @@ def search_join(large: DataFrame, small: DataFrame, order: list[str] | None = No
     are as many as intervals of small lie within each other."""
     fine = small.where("sequence is not null and start <= stop")
     if fine.limit(most_rows + 1).count() > most_rows:
-        pairs = overlap_join(large, small)
         if not order:
-            return pairs
-        own = pairs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in large.columns]))
-        rest = [f"b_{c}" for c in small.columns if c not in order]
+            return overlap_join(large, small)
         # rows of large that are alike have the same first match, so one of them stands for all
-        ranked = best_per(own, ["__row"], [*[f"b_{c}" for c in order], *rest]).drop("__row")
-        alike = large.where("sequence is not null and start <= stop").groupBy(*large.columns).count()
-        on = [F.col(f"x.`{c}`").eqNullSafe(F.col(f"y.`{c}`")) for c in large.columns]
-        joined = ranked.alias("x").join(alike.alias("y"), on)
-        return joined.select("x.*", F.explode(F.expr("sequence(1L, y.count)")).alias("__k")).drop("__k")
+        alike = large.where("sequence is not null and start <= stop").groupBy(*large.columns).agg(F.count("*").alias("__n"))
+        rest = [f"b_{c}" for c in small.columns if c not in order]
+        first = best_per(overlap_join(alike, small), [*large.columns, "__n"], [*[f"b_{c}" for c in order], *rest])
+        return first.withColumn("__k", F.explode(F.expr("sequence(1L, __n)"))).drop("__k", "__n")
     if order:
         fine = fine.orderBy(*order, *[c for c in small.columns if c not in order])
     table = fine.withColumn("start", F.col("start").cast("long")).withColumn("stop", F.col("stop").cast("long")).toArrow()
