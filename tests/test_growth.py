@@ -70,3 +70,15 @@ def test_contexts_are_counted_without_a_row_for_each_base(spark):
 
     plan = text_of(queries()["f14_contexts"](spark, "/root/testdata/sf0.001"))
     assert "explode(sequence(1" not in plan and "least(length(" not in plan.split("generate")[0]
+
+
+def test_repeats_cost_no_row_for_each_read_and_place(spark):
+    """Reads of a repeat are compared once with each kind of bases there."""
+    from spanloom.operators import align
+
+    genome = spark.createDataFrame([("g", "TA" * 3000)], "seq_id string, seq string")
+    near = spark.createDataFrame([(x, x) for x in ("TA" * i + "TG" + "TA" * (19 - i) for i in range(20))], "read string, seq string")
+    found, _ = align._hits(near.select("seq"), genome, 1, 24, lambda x: x)
+    per = {r.seq: r.n for r in found.groupBy("seq").agg(F.sum("n").alias("n")).collect()}
+    assert len(per) == 20 and set(per.values()) == {2981} and found.count() < 100
+    assert align.align(near, genome, 1, max_hits=10).where("hits = 0").count() == 20
