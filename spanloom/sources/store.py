@@ -14,14 +14,15 @@ BIN = 1 << 17
 
 
 class IntervalStore:
-    """Rows with sequence, start and stop in Parquet files under rows/load=.../sequence=.../bin=..., sorted by start.
+    """Rows with sequence, start and stop in Parquet files under rows/load=.../sequence=..., sorted by bin and start.
 
     A load is written to a folder of its own and counts once the manifest names it. A manifest is a file of one line for each
     load; a new version is a new file, which only one writer can make, so a load that fails leaves nothing that is
     read, and a reader sees whole loads. A load whose name is in the manifest is not loaded again.
 
-    A row lies in the bin of its start, one longer than a bin in bin -1, so a range is in few bins: reads prune folders by sequence
-    and bin, and row groups by the bounds of start. Rows of a null sequence or start are kept, in folders of their own."""
+    A row lies in the bin of its start, one longer than a bin in bin -1, so a range is in few bins: reads prune folders by sequence,
+    and files, row groups and pages by the bounds of bin and start. A load has about a file for each task that writes it, however many
+    bins there are. Rows of a null sequence or start are kept, the former in a folder of their own."""
 
     def __init__(self, spark: SparkSession, root: str, bin_size: int = BIN):
         self.spark, self.root, self.bin = spark, root.rstrip("/"), bin_size
@@ -65,7 +66,7 @@ class IntervalStore:
         at = F.when(F.col("stop") - F.col("start") >= self.bin, F.lit(-1).cast("long")).otherwise(F.floor(F.col("start") / self.bin))
         rows = df.withColumn("bin", at)
         rows = rows.repartitionByRange("sequence", "bin", "start").sortWithinPartitions("sequence", "bin", "start")
-        rows.write.mode("overwrite").partitionBy("sequence", "bin").parquet(f"{self.root}/rows/load={name}")
+        rows.write.mode("overwrite").partitionBy("sequence").parquet(f"{self.root}/rows/load={name}")
 
     def load(self, df: DataFrame, name: str) -> bool:
         """Adds the rows of df as the load of that name; False if it is there already."""

@@ -82,3 +82,49 @@ def test_repeats_cost_no_row_for_each_read_and_place(spark):
     per = {r.seq: r.n for r in found.groupBy("seq").agg(F.sum("n").alias("n")).collect()}
     assert len(per) == 20 and set(per.values()) == {2981} and found.count() < 100
     assert align.align(near, genome, 1, max_hits=10).where("hits = 0").count() == 20
+
+
+def test_small_splits_are_dealt_by_bytes(spark, tmp_path):
+    from spanloom.sources import formats
+
+    (tmp_path / "x.fa").write_bytes(b">a\n" + b"ACGT" * 19 + b"\n" + (b"ACGT" * 20 + b"\n") * 4000)
+    formats.register(spark)
+    pieces = formats.read_fasta_pieces(spark, f"file://{tmp_path}/x.fa", 100, 1 << 10)
+    assert pieces.agg(F.sum(F.length("part"))).first()[0] == 76 + 80 * 4000
+    assert spark.read.format("fasta").option("pieces", 100).option("split_bytes", 1 << 10).load(f"file://{tmp_path}/x.fa").rdd.getNumPartitions() <= 4
+
+
+def test_a_load_has_no_file_for_each_bin(spark, tmp_path):
+    import glob
+
+    from spanloom.sources.store import IntervalStore
+
+    rows = spark.range(3000).selectExpr("concat('chr', id % 3) as sequence", "id * 7 as start", "id * 7 + 5 as stop", "id")
+    store = IntervalStore(spark, f"file://{tmp_path}/store", 16)
+    store.load(rows, "one")
+    assert len(glob.glob(f"{tmp_path}/store/rows/**/*.parquet", recursive=True)) < 40
+    assert store.overlapping("chr1", [(70, 84)]).count() == rows.where("sequence = 'chr1' and start <= 84 and stop >= 70").count() > 0
+
+
+def test_alignments_of_bam_make_their_own_columns_only(spark, tmp_path):
+    from spanloom.sources import bam, formats
+
+    rows = spark.createDataFrame([("r", 16, "chr1", 5, "ACGTN", "5M")], "read string, flag int, sequence string, pos long, seq string, cigar string")
+    bam.write_bam(rows, f"file://{tmp_path}/b", [("chr1", 100)])
+    formats.register(spark)
+    found = bam.read_bam(spark, f"file://{tmp_path}/b")
+    assert "qual" not in text_of(found) and tuple(found.first()) == ("r", "chr1", 5, 9, "-", "ACGTN")
+
+
+@pytest.mark.parametrize("name, heavy", [("s5_indexed_rows", {"attrs", "attributes", "source"}), ("w15_concat_runs", {"seq"})])
+def test_ranges_of_an_order_hold_no_wide_columns(spark, name, heavy, monkeypatch):
+    """A range has a number of rows, so what is not needed in order is left out of it; lines are parsed once, not for a condition ahead of a shuffle too."""
+    from spanloom.operators import ordering
+    from spanloom.plans import registry
+
+    written = []
+    plain = ordering.write_table
+    monkeypatch.setattr(ordering, "write_table", lambda df, kind: (written.append(df), plain(df, kind))[1])
+    assert registry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert written and not heavy & set(written[0].columns)
+    assert "key is not null" not in text_of(written[0]) and "isnotnull(try_element_at" not in text_of(written[0])
