@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
-#: Bytes of a split, of a read, and rows of a batch.
-SPLIT, READ, ROWS = 64 << 20, 1 << 20, 8192
+#: Bytes of a split, of a read, rows of a batch, bytes of a file that a task gets about, as one split or several small ones, and tasks
+#: that a file of small splits is dealt to at least.
+SPLIT, READ, ROWS, TASK, LEAST = 64 << 20, 1 << 20, 8192, 8 << 20, 4
 
 
 @dataclass
@@ -31,6 +32,13 @@ class Split(InputPartition):
     number: int
 
 
+@dataclass
+class Splits(InputPartition):
+    """Splits that one task reads, one behind the other."""
+
+    splits: list[Split]
+
+
 def _system(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
 
@@ -57,14 +65,14 @@ def files(path: str) -> list[tuple[str, int]]:
 class Bytes:
     """A file read in blocks from a place on; a .gz file is read from its start and has no length."""
 
-    def __init__(self, path: str, at: int = 0):
+    def __init__(self, path: str, at: int = 0, size: int = READ):
         fs, inner = _system(path)
-        self.file = fs.open_input_file(inner)
+        self.file, self.size = fs.open_input_file(inner), size
         self.file.seek(at)
         self.unpack = zlib.decompressobj(31) if path.endswith(".gz") else None
 
     def blocks(self) -> Iterator[bytes]:
-        while block := self.file.read(READ):
+        while block := self.file.read(self.size):
             if self.unpack is None:
                 yield block
                 continue
@@ -94,9 +102,10 @@ class Bytes:
             yield at, rest.rstrip(b"\r")
 
 
-def lines_from(path: str, lo: int) -> Iterator[tuple[int, bytes]]:
-    """(place, line) of the lines that begin at lo or behind it."""
-    found = Bytes(path, max(0, lo - 1)).lines(max(0, lo - 1))
+def lines_from(path: str, lo: int, hi: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(place, line) of the lines that begin at lo or behind it; a small split, which ends at hi, is read in small blocks."""
+    size = READ if hi is None else max(1 << 14, min(READ, hi - lo + (1 << 10)))
+    found = Bytes(path, max(0, lo - 1), size).lines(max(0, lo - 1))
     if lo:
         # what stands before the first end of a line from lo - 1 on belongs to a line of the split before
         next(found, None)
@@ -113,12 +122,15 @@ class _Reader(DataSourceReader):
         self.size = int(options.get("split_bytes", SPLIT))
         self.options = options
 
-    def partitions(self) -> list[Split]:
+    def partitions(self) -> list[Splits]:
+        """Small splits of a file are dealt together, so the number of tasks goes with the bytes, not with the splits."""
         out = []
         for path, size in files(self.path):
             step = size if path.endswith(".gz") else self.size
-            out += [Split(path, lo, min(size, lo + step), i) for i, lo in enumerate(range(0, size, step))]
-        return out or [Split("", 0, 0, 0)]
+            found = [Split(path, lo, min(size, lo + step), i) for i, lo in enumerate(range(0, size, step))]
+            each = max(1, min(TASK // step, -(-len(found) // LEAST)))
+            out += [Splits(found[i : i + each]) for i in range(0, len(found), each)]
+        return out or [Splits([])]
 
     def batch(self, rows: list[tuple]) -> pa.RecordBatch:
         """Rows in the order of the schema's columns."""
@@ -126,17 +138,16 @@ class _Reader(DataSourceReader):
         columns = list(zip(*rows)) if rows else [()] * len(types)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types)], schema=types)
 
-    def read(self, split: Split) -> Iterator[pa.RecordBatch]:
-        if not split.path:
-            return
+    def read(self, part: Splits) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
-        for record in self.records(split):
-            rows.append(tuple(record[n] for n in self.names))
-            held += record.get("__bytes", 200)
-            if len(rows) >= ROWS or held > READ * 4:
-                yield self.batch(rows)
-                rows, held = [], 0
+        for split in part.splits:
+            for record in self.records(split):
+                rows.append(tuple(record[n] for n in self.names))
+                held += record.get("__bytes", 200)
+                if len(rows) >= ROWS or held > READ * 4:
+                    yield self.batch(rows)
+                    rows, held = [], 0
         if rows:
             yield self.batch(rows)
 
@@ -161,7 +172,7 @@ class FastqReader(_Reader):
     qualities may begin with @ too, but two behind it stand a record's bases."""
 
     def records(self, split: Split) -> Iterator[dict]:
-        found = lines_from(split.path, split.lo)
+        found = lines_from(split.path, split.lo, split.hi)
         ahead: list[tuple[int, bytes]] = []
         if split.lo:
             while True:
@@ -221,7 +232,7 @@ class FastaReader(_Reader):
     def _whole(self, split: Split) -> Iterator[dict]:
         header, parts = None, []
         last = split.hi if not split.path.endswith(".gz") else 1 << 62
-        for at, line in lines_from(split.path, split.lo):
+        for at, line in lines_from(split.path, split.lo, split.hi):
             if line[:1] == b">":
                 if header is not None:
                     yield self._record(header, parts)
@@ -249,7 +260,7 @@ class FastaReader(_Reader):
         def row(part: bytes) -> dict:
             return {"path": split.path, "split": split.number, "run": run, "header": header, "at": at, "part": _text(part), "__bytes": len(part) + 300}
 
-        for place, line in lines_from(split.path, split.lo):
+        for place, line in lines_from(split.path, split.lo, split.hi):
             if place >= last:
                 break
             if line[:1] == b">":
@@ -335,7 +346,7 @@ class GffReader(_Reader):
         last = split.hi if not split.path.endswith(".gz") else 1 << 62
         kinds = list(self._TESTS.values())
         wanted = [n for n in self._PLACES if n in self.names or any(n == t[0] for t in self.tests)]
-        for at, line in lines_from(split.path, split.lo):
+        for at, line in lines_from(split.path, split.lo, split.hi):
             if at >= last:
                 return
             fields = line.split(b"\t")
