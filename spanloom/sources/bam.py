@@ -7,6 +7,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.fs
@@ -21,6 +22,10 @@ from spanloom.sources.formats import READ, Split, _Reader, _system, _text
 BLOCK_HEAD = b"\x1f\x8b\x08\x04"
 LAST_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 BASES = "=ACMGRSVTWYHKDBN"
+#: Bases as hexadecimal digits and back: other letters are N. Qualities as letters.
+_DIGITS = {i: format(BASES.find(chr(i)), "x") if chr(i) in BASES else "f" for i in range(128)}
+_LETTERS = str.maketrans("0123456789abcdef", BASES)
+_QUALITIES = bytes((i + 33) % 256 for i in range(256))
 CIGAR = "MIDNSHP=X"
 #: Bytes of a block before compression, and records that must follow a supposed record's start.
 BLOCK_BYTES, CHAIN = 60_000, 4
@@ -45,12 +50,12 @@ class Blocks:
     def __init__(self, path: str, at: int, end: int):
         fs, inner = _system(path)
         self.file, self.end, self.at, self.held = fs.open_input_file(inner), end, at, b""
-        self.size = self.file.size()
+        self.size, self.step = self.file.size(), max(1 << 17, min(READ, end - at))
         self.file.seek(at)
 
     def _ensure(self, n: int) -> bool:
         while len(self.held) < n:
-            more = self.file.read(READ)
+            more = self.file.read(self.step)
             if not more:
                 return False
             self.held += more
@@ -144,9 +149,17 @@ class BamReader(_Reader):
     """Records by the split in which the block stands that they begin in. In the first block of a split, a record's start is a place from
     which CHAIN plausible records (or all up to the end) follow each other."""
 
+    _headers: tuple = ("", None)
+
+    def header(self, path: str) -> tuple[list[tuple[str, int]], int]:
+        """The header of a file, which is read once for splits that follow each other."""
+        if self._headers[0] != path:
+            self._headers = (path, read_header(path))
+        return self._headers[1]
+
     def records(self, split: Split) -> Iterator[dict]:
-        sequences, header = read_header(split.path)
-        blocks = Blocks(split.path, split.lo, split.hi)
+        sequences, header = self.header(split.path)
+        blocks, wanted = Blocks(split.path, split.lo, split.hi), set(self.names)
         if not blocks.find():
             return
         data, ends = b"", []  # what is unpacked, and up to where it comes from blocks of this split
@@ -179,7 +192,7 @@ class BamReader(_Reader):
             if at >= ends[0] and blocks.at >= split.hi:
                 return
             size = struct.unpack_from("<i", data, at)[0]
-            yield self._record(data[at + 4 : at + 4 + size], sequences)
+            yield self._record(data[at + 4 : at + 4 + size], sequences, wanted)
             at += 4 + size
             if at > READ:
                 ends[:] = [ends[0] - at]
@@ -212,22 +225,32 @@ class BamReader(_Reader):
                 return None
 
     @staticmethod
-    def _record(x: bytes, sequences: list[tuple[str, int]]) -> dict:
+    def _record(x: bytes, sequences: list[tuple[str, int]], wanted: set[str]) -> dict:
         ref, pos, name, mapq, _, cigar, flag, bases, next_ref, next_pos, insert = struct.unpack_from("<iiBBHHHiiii", x, 0)
         at = 32 + name
-        ops = struct.unpack_from(f"<{cigar}I", x, at)
+        ops = x[at : at + 4 * cigar]
         at += 4 * cigar
         packed = x[at : at + (bases + 1) // 2]
-        seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:bases]
-        qual = x[at + len(packed) : at + len(packed) + bases]
+        seq = packed.hex().translate(_LETTERS)[:bases] if "seq" in wanted else ""
+        qual = x[at + len(packed) : at + len(packed) + bases] if "qual" in wanted else b""
         named = lambda r: sequences[r][0] if r >= 0 else "*"
         return {
-            "read": _text(x[32 : 31 + name]), "flag": flag, "sequence": named(ref), "pos": pos + 1, "mapq": mapq, "cigar": "".join(f"{o >> 4}{CIGAR[o & 15]}" for o in ops) or "*",
+            "read": _text(x[32 : 31 + name]), "flag": flag, "sequence": named(ref), "pos": pos + 1, "mapq": mapq, "cigar": _cigar_text(ops) if "cigar" in wanted else None,
             "next_sequence": "=" if next_ref == ref and ref >= 0 else named(next_ref), "next_pos": next_pos + 1, "insert": insert, "seq": seq or "*",
-            "qual": "*" if not bases or qual[:1] == b"\xff" else bytes(q + 33 for q in qual).decode("latin-1"), "__bytes": 2 * bases + 200,
+            "qual": "*" if not qual or qual[:1] == b"\xff" else qual.translate(_QUALITIES).decode("latin-1"), "__bytes": 2 * bases + 200,
         }
 
 
+@lru_cache(4096)
+def _cigar_text(ops: bytes) -> str:
+    return "".join(f"{o >> 4}{CIGAR[o & 15]}" for o in struct.unpack(f"<{len(ops) // 4}I", ops)) or "*"
+
+
+@lru_cache(4096)
+def _cigar_bytes(text: str) -> bytes:
+    return b"".join(struct.pack("<I", int(n) << 4 | CIGAR.index(c)) for n, c in re.findall(rf"(\d+)([{re.escape(CIGAR)}])", text))
+
+
 class Bam(DataSource):
     """The eleven fields of an aligned read."""
 
@@ -250,7 +273,8 @@ def aligned(records: DataFrame) -> DataFrame:
 
 
 def read_bam(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
-    reader = spark.read.format("bam")
+    # a reader makes only the columns that it is given
+    reader = spark.read.format("bam").schema("read string, flag int, sequence string, pos long, seq string")
     return aligned((reader.option("split_bytes", split_bytes) if split_bytes else reader).load(path))
 
 
@@ -272,14 +296,14 @@ def header_bytes(sequences: list[tuple[str, int]]) -> bytes:
 def record_bytes(row: dict, numbers: dict[str, int]) -> bytes:
     """One record; a sequence that numbers lacks, `*` say, is none."""
     name, seq = (row["read"] or "*").encode() + b"\0", "" if row["seq"] in (None, "*") else row["seq"].upper()
-    ops = [(int(n), CIGAR.index(c)) for n, c in re.findall(rf"(\d+)([{re.escape(CIGAR)}])", row.get("cigar") or "")]
-    codes = [max(0, BASES.find(c)) if c in BASES else 15 for c in seq] + [0] * (len(seq) % 2)
+    ops = _cigar_bytes(row.get("cigar") or "")
+    codes = bytes.fromhex(seq.encode("ascii", "replace").decode().translate(_DIGITS) + "0" * (len(seq) % 2))
     qual = row.get("qual")
     quality = bytes(ord(c) - 33 for c in qual) if qual and qual != "*" and len(qual) == len(seq) else b"\xff" * len(seq)
     near = row.get("next_sequence")
     ref = numbers.get(row["sequence"], -1)
-    body = struct.pack("<iiBBHHHiiii", ref, (row["pos"] or 0) - 1, len(name), row.get("mapq") or 0, 4680, len(ops), row["flag"] or 0, len(seq), ref if near == "=" else numbers.get(near, -1), (row.get("next_pos") or 0) - 1, row.get("insert") or 0)
-    body += name + b"".join(struct.pack("<I", n << 4 | c) for n, c in ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2])) + quality
+    body = struct.pack("<iiBBHHHiiii", ref, (row["pos"] or 0) - 1, len(name), row.get("mapq") or 0, 4680, len(ops) // 4, row["flag"] or 0, len(seq), ref if near == "=" else numbers.get(near, -1), (row.get("next_pos") or 0) - 1, row.get("insert") or 0)
+    body += name + ops + codes + quality
     return struct.pack("<i", len(body)) + body
 
 
