@@ -45,7 +45,7 @@ def _(gff):
 
 @query("s5_indexed_rows", "gff", " select id as key, cast(count(*) as bigint) as n, min(start) as first from gff group by 1")
 def _(gff):
-    rows = T.indexed_by(T.parse_gff(_gff_lines(gff)), "ID")
+    rows = T.indexed_by(T.promoted(T.parse_gff(_gff_lines(gff)), ["ID"]).select("ID", "start", "stop"), "ID")
     return rows.groupBy("key").agg(F.max("rank").cast("long").alias("n"), F.min(F.when(F.col("rank") == 1, F.col("start"))).alias("first"))
 
 
