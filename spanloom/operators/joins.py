@@ -20,26 +20,35 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
 SS, SL, LS, LL = range(4)
 
 
-def _keys(start: str, stop: str, width: int, left: bool) -> Column:
+def _keys(start: str, stop: str, width: int, left: bool, meets_long: bool = True) -> Column:
     """The keys 4 * bin + kind of an interval. Short ones meet short ones in bins of `width`; where one side is long,
-    both sides use bins COARSE times as wide."""
+    both sides use bins COARSE times as wide. meets_long=False leaves out the keys for a side without long intervals."""
 
-    def bins(w: int, kind: int) -> str:
-        return f"transform(sequence({start} div {w}, {stop} div {w}), b -> 4 * b + {kind})"
+    def bins(w: int, *kinds: int) -> str:
+        return "concat(" + ", ".join(f"transform(sequence({start} div {v}, {stop} div {v}), b -> 4 * b + {k})" for v, k in zip((w, width * COARSE), kinds)) + ")"
 
-    short = f"concat({bins(width, SS)}, {bins(width * COARSE, SL if left else LS)})"
-    long_ = f"concat({bins(width * COARSE, LS if left else SL)}, {bins(width * COARSE, LL)})"
-    return F.expr(f"case when {stop} - {start} < {MOST_BINS * width} then {short} else {long_} end")
+    short = bins(width, SS, *([SL if left else LS] if meets_long else []))
+    long_ = bins(width * COARSE, LS if left else SL, *([LL] if meets_long else []))
+    return F.expr(f"case when {_short(start, stop, width)} then {short} else {long_} end")
+
+
+def _short(start: str, stop: str, width: int) -> str:
+    return f"{stop} - {start} < {MOST_BINS * width}"
+
+
+def _bins(df: DataFrame, start: str, stop: str, width: int) -> tuple[int, int, int]:
+    """Counts of df's rows by bin: short intervals in bins of `width`, these in coarse bins, and long ones in coarse bins."""
+    fine, coarse = (f"{stop} div {w} - {start} div {w} + 1" for w in (width, width * COARSE))
+    short = _short(start, stop, width)
+    sums = [F.expr(f"coalesce(sum({n}) filter (where {kind}), 0)") for n, kind in ((fine, short), (coarse, short), (coarse, f"not ({short})"))]
+    return tuple(df.agg(*sums).first())
 
 
 #: Rows of one side of the overlap join, with a row for each bin, that are broadcast at most.
 MOST_BROADCAST = 200_000
 
-
-def _sized(df: DataFrame) -> DataFrame:
-    """df, broadcast if a count shows it to be small, else shuffled and sorted: Spark knows the size of the files only, and would
-    send a small file to the driver and to every task although its rows are repeated for each bin."""
-    return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df.hint("merge")
+#: Rows by bin, of both sides, that a task of the overlap join gets about.
+TASK_ROWS = 1_000_000
 
 
 def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: bool = True, salts: int | None = 1) -> DataFrame:
@@ -51,27 +60,40 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: b
     long_intervals=False leaves that out where none is so long. Where a few bins hold much of a (repeats, organelles),
     salts=None finds these bins by a count when this is called and deals the rows of each over as many tasks as they need; a number of
     salts deals the rows of every bin over so many tasks without a count. b's rows by bin are counted when this is called, up to MOST_BROADCAST: so many are
-    broadcast, more are shuffled. Rows of null or reversed bounds pair with nothing."""
+    broadcast, as Spark knows only the size of a file, not how often its rows are repeated. With more, the rows by bin of both sides are counted and shuffled;
+    if spark.sql.shuffle.partitions is too few for tasks of TASK_ROWS, frequent bins are found and more partitions are made, so that what a
+    task holds does not grow with the tables. Rows of null or reversed bounds pair with nothing."""
     a, b = a.where("start <= stop"), prefixed(b.where("start <= stop"), "b_")
     first = "greatest(start, b_start)"
+    in_first = f"__key = {first} div {width}"
     if long_intervals:
-        x = a.withColumn("__key", F.explode(_keys("start", "stop", width, True)))
-        y = b.withColumn("__key", F.explode(_keys("b_start", "b_stop", width, False)))
         in_first = f"__key = 4 * ({first} div (case when pmod(__key, 4) = {SS} then {width}L else {width * COARSE}L end)) + pmod(__key, 4)"
-    else:
-        x = a.withColumn("__key", F.explode(F.expr(f"sequence(start div {width}, stop div {width})")))
-        y = b.withColumn("__key", F.explode(F.expr(f"sequence(b_start div {width}, b_stop div {width})")))
-        in_first = f"__key = {first} div {width}"
+
+    def by_bin(df: DataFrame, start: str, stop: str, left: bool, meets_long: bool = True) -> DataFrame:
+        if long_intervals:
+            return df.withColumn("__key", F.explode(_keys(start, stop, width, left, meets_long)))
+        return df.withColumn("__key", F.explode(F.expr(f"sequence({start} div {width}, {stop} div {width})")))
+
+    x, y = by_bin(a, "start", "stop", True), by_bin(b, "b_start", "b_stop", False)
+    keys, parts, small = ["sequence", "__key"], 0, False
+    if salts is not None:
+        small = y.limit(MOST_BROADCAST // salts + 1).count() <= MOST_BROADCAST // salts
+    if salts is not None and not small:
+        (fine, coarse, long_), (b_fine, b_coarse, b_long) = _bins(a, "start", "stop", width), _bins(b, "b_start", "b_stop", width)
+        x, y = by_bin(a, "start", "stop", True, b_long > 0), by_bin(b, "b_start", "b_stop", False, long_ > 0)
+        rows = fine + long_ + (coarse + long_ if b_long else 0) + salts * (b_fine + b_long + (b_coarse + b_long if long_ else 0))
+        parts = -(-rows // TASK_ROWS)
     y = y.withColumn("sequence", F.col("b_sequence"))
-    keys = ["sequence", "__key"]
-    if salts is None:
-        pairs = dealt_join(x, y, keys)
+    if salts is not None and salts > 1:
+        x = x.withColumn("__salt", F.pmod(F.xxhash64(*a.columns), F.lit(salts)))
+        y = y.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        keys.append("__salt")
+    if small:
+        pairs = x.join(F.broadcast(y), keys)
+    elif salts is None or parts > int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        pairs = dealt_join(x, y, keys, parts=parts)
     else:
-        if salts > 1:
-            x = x.withColumn("__salt", F.pmod(F.xxhash64(*a.columns), F.lit(salts)))
-            y = y.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-            keys.append("__salt")
-        pairs = x.join(_sized(y), keys)
+        pairs = x.join(y.hint("merge"), keys)
     return pairs.where(X.overlaps("start", "stop", "b_start", "b_stop") & F.expr(in_first)).select(*a.columns, *b.columns)
 
 
@@ -79,19 +101,22 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, long_intervals: b
 HOT_ROWS, MOST_KEYS = 100_000, 1_000_000
 
 
-def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
+def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], most: int | None = None, parts: int = 0) -> DataFrame:
     """left joined to right on keys, with the rows of keys that are frequent in left dealt over several tasks.
 
     Such keys are counted and written when this is called. Their rows of left go to tasks by a hash of the whole row, and their rows of right to
-    each of these tasks; of other keys nothing is repeated."""
+    each of these tasks; of other keys nothing is repeated. With parts both sides are shuffled to so many partitions and sorted."""
     most = most or HOT_ROWS
-    hot = left.groupBy(*keys).agg(F.ceil(F.count("*") / most).cast("int").alias("__salts")).where("__salts > 1")
+    hot = left.groupBy(*keys).agg(F.ceil(F.count("*") / most).cast("int").alias("__parts")).where("__parts > 1")
     hot = write_table(hot, "hot")
     few = broadcast_if_small(hot, MOST_KEYS)
-    own = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("__salts")), F.lit(0)).cast("int")
-    dealt = left.join(few, keys, "left").withColumn("__salt", own).drop("__salts")
-    copies = right.join(few, keys, "left").withColumn("__salt", F.explode(F.expr("sequence(0, coalesce(__salts, 1) - 1)"))).drop("__salts")
-    return dealt.join(copies, [*keys, "__salt"]).drop("__salt")
+    own = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("__parts")), F.lit(0)).cast("int")
+    dealt = left.join(few, keys, "left").withColumn("__part", own).drop("__parts")
+    copies = right.join(few, keys, "left").withColumn("__part", F.explode(F.expr("sequence(0, coalesce(__parts, 1) - 1)"))).drop("__parts")
+    keys = [*keys, "__part"]
+    if parts:
+        dealt, copies = dealt.repartition(parts, *keys), copies.repartition(parts, *keys).hint("merge")
+    return dealt.join(copies, keys).drop("__part")
 
 
 def overlaps_literal(df: DataFrame, sequence: str | None, ranges: list[tuple[int, int]], feature: str | None = None) -> DataFrame:

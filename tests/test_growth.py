@@ -1,5 +1,7 @@
 """What a task holds or does must not grow with the table."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,47 @@ def test_large_sides_of_the_overlap_join_are_not_broadcast(spark, name, monkeypa
     check(spark, con, name)
 
 
+@pytest.mark.parametrize("name", ["a3_score_sum"])
+def test_tasks_of_the_overlap_join_are_as_many_as_rows_ask_for(spark, name, monkeypatch):
+    """The session's shuffle partitions do not set what a task holds: 8 of them, and a few thousand rows by bin."""
+    import os
+
+    import duckdb
+
+    from spanloom.operators import joins
+    from spanloom.plans import registry
+    from tests.test_oracle import SF, check
+
+    monkeypatch.setattr(joins, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(joins, "TASK_ROWS", 500, raising=False)
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(sequence[^)]*, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert len(dealt) == 2 and len(set(dealt)) == 1 and dealt[0] > 16
+    assert re.search(r"SortMergeJoin \[sequence[^\]]*__key[^\]]*\]", plan)
+    con = duckdb.connect()
+    for f in os.listdir(SF):
+        con.execute(f"create view {f.split('.')[0]} as select * from '{SF}/{f}'")
+    check(spark, con, name)
+
+
+@pytest.mark.parametrize("left, right, rows", [(9, 9, 1), (9, 90000, 2), (90000, 9, 22), (90000, 90000, 44)])
+def test_coarse_bins_are_made_only_for_long_intervals_to_meet(spark, monkeypatch, left, right, rows):
+    """An interval of 10 bases in bins of 64 is one row, if no interval of the other side is long."""
+    from spanloom.operators import joins
+
+    seen = []
+    plain = joins._keys
+    monkeypatch.setattr(joins, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(joins, "_keys", lambda *a: (seen.append(a), plain(*a))[1])
+    a = spark.createDataFrame([("c", 0, left, "x")], "sequence string, start long, stop long, id string")
+    b = spark.createDataFrame([("c", 5, 5 + right, "y"), ("c", 5, 9, "z")], "sequence string, start long, stop long, locus string")
+    found = joins.overlap_join(a, b, 64)
+    assert sorted(r.b_locus for r in found.collect()) == ["y", "z"]
+    key = plain(*next(k for k in reversed(seen) if k[3]))
+    assert a.withColumn("__key", F.explode(key)).count() == rows
+
+
 def test_scans_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     from spanloom import session
 
