@@ -57,7 +57,7 @@ def test_large_sides_of_the_overlap_join_are_not_broadcast(spark, name, monkeypa
     check(spark, con, name)
 
 
-@pytest.mark.parametrize("name", ["a3_score_sum"])
+@pytest.mark.parametrize("name", ["a3_score_sum", "a5_fully_diluted"])
 def test_tasks_of_the_overlap_join_are_as_many_as_rows_ask_for(spark, name, monkeypatch):
     """The session's shuffle partitions do not set what a task holds: 8 of them, and a few thousand rows by bin."""
     import os
