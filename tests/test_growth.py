@@ -107,6 +107,22 @@ def test_scans_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     assert rows.rdd.getNumPartitions() == 50 and rows.agg(F.sum("id")).first()[0] == 5000 * 4999 // 2
 
 
+def test_scans_are_dealt_without_a_split_being_sorted(spark, tmp_path, monkeypatch):
+    """repartition(n) sorts a split's rows before it deals them, in memory that no task metric shows."""
+    from spanloom import session
+    from spanloom.plans import registry
+
+    monkeypatch.setattr(session, "SCAN_ROWS", 100)
+    spark.range(5000).selectExpr("id", "'wide' as wide").repartition(3).write.parquet(str(tmp_path / "t"))
+    rows = session.spread(spark.read.parquet(str(tmp_path / "t")), by_place=True)
+    sizes = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert rows.columns == ["id", "wide"] and len(sizes) == 50 and max(sizes) <= 103
+    assert sorted(r.id for r in rows.select("id").collect()) == list(range(5000))
+    assert "wide" not in rows.select("id")._jdf.queryExecution().executedPlan().toString()
+    plan = text_of(registry.queries()["a5_fully_diluted"](spark, "/root/testdata/sf0.001"))
+    assert "roundrobin" not in plan and "l_discount" not in plan.split("physical plan")[1]
+
+
 def test_contexts_are_counted_without_a_row_for_each_base(spark):
     from spanloom.plans import q_reads  # noqa: F401
     from spanloom.plans.registry import queries
