@@ -187,3 +187,36 @@ def test_ranges_of_an_order_hold_no_wide_columns(spark, name, heavy, monkeypatch
     assert registry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
     assert written and not heavy & set(written[0].columns)
     assert "key is not null" not in text_of(written[0]) and "isnotnull(try_element_at" not in text_of(written[0])
+
+
+def test_ranges_carry_two_rows_each_and_are_counted_as_they_are_written(spark, monkeypatch):
+    """A group that lies in one range takes nothing from another, so what is carried does not grow with the groups; a table is not read to be counted."""
+    from pyspark.sql import Window
+
+    from spanloom.operators import ordering
+
+    many = [(f"k{i % 400:03d}", i // 400, i) for i in range(2000)]
+    hot, none, again = [("k200", i, i) for i in range(700)], [(None, i % 7, None) for i in range(130)], [("k017", 2, 5)] * 3
+    df = spark.createDataFrame(many + hot + none + again, "k string, v long, w long")
+    written = []
+    plain = ordering.write_table
+    monkeypatch.setattr(ordering, "write_table", lambda df, kind: (written.append((kind, plain(df, kind))), written[-1][1])[1])
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "count", lambda self: pytest.fail("read to be counted"))
+        along = ordering.Along(df, ["k"], ["v", "w"], 100)
+    got = along.total("w", "s").total("w", "b", before=True).highest_before("w", "h").neighbour("v", "p").neighbour("v", "f", following=True).done()
+    own = Window.partitionBy("k").orderBy("v", "w")
+    to, ahead = own.rowsBetween(Window.unboundedPreceding, 0), own.rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("*", F.coalesce(F.sum("w").over(to), F.lit(0)), F.coalesce(F.sum("w").over(ahead), F.lit(0)), F.max("w").over(ahead), F.lag("v").over(own), F.lead("v").over(own))
+    in_order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert in_order(got.collect()) == in_order(want.collect())
+    carried = [table.count() for kind, table in written if kind == "carried"]
+    assert along.parts > 20 and len(carried) == 1 and 0 < carried[0] <= 2 * along.parts
+
+
+@pytest.mark.parametrize("where", [None, "k is not null"])
+def test_ranges_of_an_empty_table(spark, where):
+    from spanloom.operators import ordering
+
+    for df in (spark.createDataFrame([], "k string, v long"), spark.createDataFrame([(None, 1)], "k string, v long").where("v > 1")):
+        assert ordering.Along(df, ["k"], ["v"], 3, where).total("v", "s").done().collect() == []
