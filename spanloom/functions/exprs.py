@@ -51,13 +51,14 @@ def attribute_map(text) -> Column:
     cut = F.filter(F.split(F.regexp_replace(_c(text), r"\*$", ""), ";"), lambda x: _bare(x) != "")
 
     def entry(x: Column) -> Column:
-        parts = F.split(x, "=")
-        named = F.size(parts) > 1
-        return F.struct(F.when(named, _bare(parts[0])).otherwise("Note").alias("k"), F.when(named, _bare(parts[1])).otherwise(_bare(x)).alias("v"))
+        key = F.when(x.contains("="), _bare(F.substring_index(x, "=", 1))).otherwise("Note")
+        # between the first and the second `=`; all of a bare token
+        value = _bare(F.substring_index(F.substring_index(x, "=", 2), "=", -1))
+        return F.struct(key.alias("k"), value.alias("v"))
 
     def last_wins(e: Column) -> Column:
         later = lambda x, i: F.exists(F.slice(e, i + 2, F.size(e)), lambda y: y["k"] == x["k"])
-        keys = F.transform(e, lambda x: x["k"])
+        keys = e["k"]
         return F.when(F.size(F.array_distinct(keys)) == F.size(e), e).otherwise(F.filter(e, lambda x, i: ~later(x, i)))
 
     # an array of one binds the entries, so they are made once

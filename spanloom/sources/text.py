@@ -19,12 +19,16 @@ def _missing(x: Column) -> Column:
     return F.nullif(x, F.lit("."))
 
 
+#: A line of nine tab-separated fields, the last not empty, that is no comment and not blank. One condition, as it is moved ahead of the
+#: shuffle in which a scan is dealt, and makes the line again there for each time that it names it.
+_GFF_ROW = r"^(?!\s*(#.*)?$)([^\t]*+\t){8}[^\t]++\z"
+
+
 def parse_gff(df: DataFrame, attributes: bool = True) -> DataFrame:
     """Interval rows of nine tab-separated fields; comments, blank lines and other widths are left out.
 
     Sequence names are in lower case, `.` is null; attrs is the attribute map and asterisk marks a trailing `*`."""
-    f = F.split("value", "\t")
-    rows = df.where(~F.col("value").rlike(r"^\s*(#.*)?$")).select(f.alias("f")).where("size(f) = 9 and f[8] <> ''")
+    rows = df.where(F.col("value").rlike(_GFF_ROW)).select(F.split("value", "\t").alias("f"))
     at = lambda k: _missing(F.col("f")[k])
     out = rows.select(
         F.lower(at(0)).alias("sequence"), at(1).alias("source"), at(2).alias("feature"),

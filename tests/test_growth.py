@@ -220,3 +220,12 @@ def test_ranges_of_an_empty_table(spark, where):
 
     for df in (spark.createDataFrame([], "k string, v long"), spark.createDataFrame([(None, 1)], "k string, v long").where("v > 1")):
         assert ordering.Along(df, ["k"], ["v"], 3, where).total("v", "s").done().collect() == []
+
+
+def test_a_line_is_made_once_for_the_condition_of_the_parser(spark):
+    """The condition is moved ahead of the deal of a scan, where the line is made again each time that the condition names it."""
+    from spanloom.plans import registry
+
+    plan = registry.queries()["s6_promoted_columns"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if "Filter" in line]
+    assert conditions and all(line.count("concat_ws") == 1 for line in conditions)

@@ -127,3 +127,23 @@ def test_streaming_ingest(spark, tmp_path):
     ingest(stream_gff(spark, str(tmp_path / "in")), *args).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 3 and got.agg(F.sum("c")).first()[0] == 7
+
+
+def test_odd_lines_are_told_apart_as_by_their_fields(spark):
+    """One condition stands for: no comment, not blank, nine fields, the last not empty."""
+    import itertools
+
+    head = "chr1\ts\tf\t1\t2\t.\t+\t."
+    odd = ["", " ", "\t", "\t" * 8, " \t" * 8 + " ", "\t" * 8 + "x", "\t" * 9, "#", " # x", "#" + "\t" * 8 + "x", "  #a\rb" + "\t" * 8 + "x", "#a b" + "\t" * 8 + "x", "#a" + "\t" * 8 + "\r", " #" + "\t" * 8 + "x"]
+    ends = ["", "x", ".", "#", "*", " ", "\r", "\n", "x\n", "x\ty", "\t", " ", "ID=a;ID=b", "a = b = c ; =d;e=;=;;\t"]
+    found = lines(spark, None, *odd, *[head + "\t" + x for x in ends], *["\n" + head + "\t" + x for x in ends], head, *map("".join, itertools.product("#\t \rx", repeat=4)))
+    f = F.split("value", "\t")
+    want = found.where(~F.col("value").rlike(r"^\s*(#.*)?$") & (F.size(f) == 9) & (f[8] != ""))
+    assert sorted(map(str, T.parse_gff(found, False).collect())) == sorted(map(str, T.parse_gff(want, False).collect())) and T.parse_gff(found).count() == want.count() > 20
+
+
+def test_odd_attributes(spark):
+    """A key goes up to the first `=`, a value to the next; the last of equal keys wins, and a token without `=` is a note."""
+    texts = {"a=b=c": {"a": "b"}, " a = b ;\tc\t": {"a": "b", "Note": "c"}, "a=": {"a": ""}, "=a": {"": "a"}, "=": {"": ""}, "==x": {"": ""}, "a=1;a=2;b;a=3;c": {"a": "3", "Note": "c"}, ";; ;": {}, "*": {}, "a=b*": {"a": "b"}, "a*b": {"Note": "a*b"}, None: {}}
+    got = spark.createDataFrame([(t,) for t in texts], "value string").select("value", X.attribute_map("value").alias("attrs")).collect()
+    assert {r.value: r.attrs for r in got} == texts
